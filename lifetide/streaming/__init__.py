@@ -1,0 +1,7 @@
+"""Streaming.
+
+The published models are batch SQL over one table; despite its name the
+``event_stream`` source is a plain table, and no model uses watermarks,
+event-time windows or state.  Nothing is therefore implemented here; the
+operators in ``lifetide.operators`` are batch DataFrame functions.
+"""
