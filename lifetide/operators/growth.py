@@ -130,37 +130,25 @@ def active_units(activity: DataFrame, grain: str, mode: str = "parity") -> DataF
     )
 
 
-def _no_activity_units(intervals: DataFrame, u: _Units) -> DataFrame:
-    """Unit starts covered by at least one [lo, hi) interval of unit starts.
-
-    +1 at lo, -1 at hi, summed per position (partial aggregation), then a
-    running sum over the positions.  The running sum is one ordered window
-    over the distinct positions, i.e. over at most one row per calendar
-    unit; it is the only unpartitioned step and its input is bounded by
-    the calendar span, not by users or events.
-    """
-    deltas = intervals.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("lo").alias("pos"), F.lit(1).alias("d")),
-                F.struct(F.col("hi").alias("pos"), F.lit(-1).alias("d")),
-            )
-        ).alias("e")
-    ).select("e.pos", "e.d")
-    per_pos = deltas.groupBy("pos").agg(F.sum("d").alias("d"))
-    order = Window.orderBy("pos")
-    segments = per_pos.select(
-        "pos",
-        F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cover"),
-        F.lead("pos").over(order).alias("next_pos"),
-    ).where((F.col("cover") > 0) & F.col("next_pos").isNotNull())
-    days = segments.select(F.explode(F.sequence("pos", F.date_sub("next_pos", 1))).alias("d"))
-    return days.where(u.start(F.col("d")) == F.col("d")).select(F.col("d").alias("_s"))
-
-
-def consolidated_groups(activity: DataFrame, grain: str = "day", mode: str = "parity", strict_subtype: bool | None = None) -> DataFrame:
+KIND_ACTIVE, KIND_CHURN, KIND_SWEEP = 0, 1, 2
+
+
+def consolidated_groups(
+    activity: DataFrame, grain: str = "day", mode: str = "parity", strict_subtype: bool | None = None
+) -> DataFrame:
     """Per (period, trns_type, trns_sub_type): the five user counts and the
-    summed measures (the reference's ``consolidate_table``)."""
+    summed measures (the reference's ``consolidate_table``).
+
+    One linear plan, so the events are scanned and aggregated once:
+
+    1. every active unit emits up to four tagged contributions: its own
+       active group, the Churned unit after a gap (day / strict modes), and
+       +1 / -1 sweep deltas bounding the No Activity units of that gap;
+    2. one aggregation by (kind, unit start, type, sub-type), with partial
+       aggregation, leaves at most a few rows per calendar unit;
+    3. a running sum of the deltas (window per kind, over that small table)
+       marks the covered stretches, which expand to their unit starts.
+    """
     u = _units(grain, mode)
     if strict_subtype is None:
         strict_subtype = mode == "strict"
@@ -168,98 +156,120 @@ def consolidated_groups(activity: DataFrame, grain: str = "day", mode: str = "pa
     first = F.col("_prev_s").isNull()
     if u.step is None:
         retained = ~first
+        churn_at = None
+        sweep_lo = u.nxt(F.date_add("_prev_last", 1))
     else:
         retained = ~first & (next_period(F.col("_prev_s"), u.step) == F.col("_s"))
+        churn_at = next_period(F.col("_prev_s"), u.step)
+        sweep_lo = next_period(F.col("_prev_s"), u.step, 2)
     labels = status_labels("activity", "trns", "miles_earned", "miles_redeemed", F.lit(False), strict_subtype)
 
-    active = (
-        units.select(
-            *u.keys(F.col("_s")),
-            *[c.alias(n) for n, c in labels.items()],
-            first.alias("_new"),
-            retained.alias("_ret"),
-            *MEASURES,
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    null_measures = [F.lit(None).cast("bigint").alias(m) for m in MEASURES]
+
+    def entry(kind: int, start: Column, ttype: Column, sub: Column, counts: list[Column], d: Column, measures: list[Column]) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            start.alias("_s"),
+            ttype.alias("trns_type"),
+            sub.alias("trns_sub_type"),
+            *[c.alias(n) for c, n in zip(counts, COUNT_COLUMNS)],
+            d.alias("_d"),
+            *measures,
         )
-        .groupBy(*u.key_names, "trns_type", "trns_sub_type")
-        .agg(
-            F.count(F.when(F.col("_new"), 1)).alias("new_users"),
-            F.count(F.when(F.col("_ret"), 1)).alias("retained"),
-            F.count(F.when(~F.col("_new") & ~F.col("_ret"), 1)).alias("resurrected"),
-            F.lit(0).cast("bigint").alias("pos_churned"),
-            F.count(F.lit(1)).alias("active"),
-            *[F.sum(m).cast("bigint").alias(m) for m in MEASURES],
-        )
-    )
 
-    gaps = units.where(F.col("_prev_s").isNotNull())
-    zero = F.lit(0).cast("bigint")
-    null = F.lit(None).cast("bigint")
-    parts = [active]
-    if u.step is None:
-        intervals = gaps.select(u.nxt(F.date_add("_prev_last", 1)).alias("lo"), F.col("_s").alias("hi"))
-    else:
-        churn_at = next_period(F.col("_prev_s"), u.step)
-        churn = (
-            gaps.where(churn_at < F.col("_s"))
-            .groupBy(churn_at.alias("_s"))
-            .agg(F.count(F.lit(1)).alias("pos_churned"))
-            .select(
-                *u.keys(F.col("_s")),
-                F.lit(CHURNED).alias("trns_type"),
-                F.lit(CHURNED).alias("trns_sub_type"),
-                zero.alias("new_users"), zero.alias("retained"), zero.alias("resurrected"),
-                F.col("pos_churned").cast("bigint").alias("pos_churned"),
-                zero.alias("active"),
-                *[null.alias(m) for m in MEASURES],
-            )
-        )
-        parts.append(churn)
-        intervals = gaps.select(next_period(F.col("_prev_s"), u.step, 2).alias("lo"), F.col("_s").alias("hi"))
-    idle = _no_activity_units(intervals.where(F.col("lo") < F.col("hi")), u).select(
-        *u.keys(F.col("_s")),
-        F.lit(NO_ACTIVITY).alias("trns_type"),
-        F.lit(NO_ACTIVITY).alias("trns_sub_type"),
-        *[zero.alias(c) for c in COUNT_COLUMNS],
-        *[null.alias(m) for m in MEASURES],
+    null_str = F.lit(None).cast("string")
+    active_entry = entry(
+        KIND_ACTIVE, F.col("_s"), labels["trns_type"], labels["trns_sub_type"],
+        [F.when(first, one).otherwise(zero), F.when(retained, one).otherwise(zero),
+         F.when(~first & ~retained, one).otherwise(zero), zero, one],
+        zero, [F.col(m) for m in MEASURES],
     )
-    parts.append(idle)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _count_rows(groups: DataFrame, ids: list[str]) -> DataFrame:
-    """Unpivot the counts to (user_type, user_cnt) and keep the churn labels on
-    Churned rows only, as the reference filter does."""
-    wide = groups.select(
-        *ids,
-        "new_users",
-        "retained",
-        "resurrected",
-        F.col("pos_churned").alias("tot_churned"),
-        (F.col("pos_churned") * F.lit(-1)).alias("churned"),
-        "active",
+    entries = [active_entry]
+    if churn_at is not None:
+        churned = F.lit(CHURNED)
+        entries.append(F.when(~first & (churn_at < F.col("_s")), entry(
+            KIND_CHURN, churn_at, churned, churned, [zero, zero, zero, one, zero], zero, null_measures)))
+    has_sweep = ~first & (sweep_lo < F.col("_s"))
+    no_counts = [zero] * len(COUNT_COLUMNS)
+    entries.append(F.when(has_sweep, entry(KIND_SWEEP, sweep_lo, null_str, null_str, no_counts, one, null_measures)))
+    entries.append(F.when(has_sweep, entry(KIND_SWEEP, F.col("_s"), null_str, null_str, no_counts, F.lit(-1).cast("bigint"), null_measures)))
+
+    contributions = units.select(F.explode(F.array_compact(F.array(*entries))).alias("c")).select("c.*")
+    groups = contributions.groupBy("kind", "_s", "trns_type", "trns_sub_type").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in COUNT_COLUMNS],
+        F.sum("_d").alias("_d"),
+        *[F.sum(m).cast("bigint").alias(m) for m in MEASURES],
     )
-    churn_like = F.col("user_type").isin("churned", "tot_churned")
-    is_churned = F.col("trns_type") == CHURNED
-    return (
-        wide.unpivot(ids, USER_TYPES, "user_type", "user_cnt")
-        .where(F.col("user_cnt").isNotNull())
-        .where((~is_churned & ~churn_like) | (is_churned & churn_like))
-        .withColumn("type", F.when(F.col("user_type") == "tot_churned", F.lit(TOTAL)).otherwise(F.lit(BREAKDOWN)))
+    # Running sum of the sweep deltas.  Partitioned by kind, the sweep rows
+    # form one partition holding at most two rows per calendar unit.
+    by_pos = Window.partitionBy("kind").orderBy("_s")
+    swept = groups.select(
+        "*",
+        F.sum("_d").over(by_pos.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cover"),
+        F.lead("_s").over(by_pos).alias("_next"),
+    )
+    covered = F.filter(
+        F.sequence(F.col("_s"), F.date_sub(F.col("_next"), 1)), lambda d: u.start(d) == d
     )
+    is_sweep = F.col("kind") == KIND_SWEEP
+    starts = F.when(~is_sweep, F.array(F.col("_s"))).when(
+        (F.col("_cover") > 0) & F.col("_next").isNotNull(), covered
+    )
+    no_activity = F.lit(NO_ACTIVITY)
+    expanded = swept.select(
+        F.explode(starts).alias("_unit"),
+        F.when(is_sweep, no_activity).otherwise(F.col("trns_type")).alias("trns_type"),
+        F.when(is_sweep, no_activity).otherwise(F.col("trns_sub_type")).alias("trns_sub_type"),
+        *COUNT_COLUMNS,
+        *MEASURES,
+    )
+    return expanded.select(*u.keys(F.col("_unit")), "trns_type", "trns_sub_type", *COUNT_COLUMNS, *MEASURES)
 
 
-def _miles_rows(groups: DataFrame, ids: list[str]) -> DataFrame:
-    """Unpivot the miles sums of active groups; NULL sums give no row."""
-    return (
-        groups.where(~F.col("trns_type").isin(CHURNED, NO_ACTIVITY))
-        .select(*ids, *MILES_TYPES)
-        .unpivot(ids, MILES_TYPES, "user_type", "miles_pct")
-        .where(F.col("miles_pct").isNotNull())
-        .withColumn("type", F.lit(TOTAL))
-    )
+def _long_rows(groups: DataFrame, ids: list[str], with_miles: bool) -> DataFrame:
+    """Unpivot a consolidated table to the long format in one ``explode``.
+
+    Count labels (new_users, retained, resurrected, tot_churned = churned
+    users, churned = minus churned users, active) are kept on non-Churned
+    rows except the two churn labels, and on Churned rows only the two
+    churn labels; ``type`` is TOTAL for tot_churned.  Miles labels are kept
+    for active types when the sum is not NULL, with type TOTAL.  Count rows
+    carry ``miles_pct`` 0 and miles rows ``user_cnt`` 0.
+    """
+    is_churned = F.col("trns_type") == CHURNED
+    zero = F.lit(0).cast("bigint")
+    counts = {
+        "new_users": F.col("new_users"),
+        "retained": F.col("retained"),
+        "resurrected": F.col("resurrected"),
+        "tot_churned": F.col("pos_churned"),
+        "churned": F.col("pos_churned") * F.lit(-1),
+        "active": F.col("active"),
+    }
+    rows = []
+    for label in USER_TYPES:
+        churn_like = label in ("churned", "tot_churned")
+        keep = is_churned if churn_like else ~is_churned
+        rows.append(F.struct(
+            keep.alias("keep"),
+            F.lit(TOTAL if label == "tot_churned" else BREAKDOWN).alias("type"),
+            F.lit(label).alias("user_type"),
+            counts[label].cast("bigint").alias("user_cnt"),
+            zero.alias("miles_pct"),
+        ))
+    if with_miles:
+        active_type = ~F.col("trns_type").isin(CHURNED, NO_ACTIVITY)
+        for label in MILES_TYPES:
+            rows.append(F.struct(
+                (active_type & F.col(label).isNotNull()).alias("keep"),
+                F.lit(TOTAL).alias("type"),
+                F.lit(label).alias("user_type"),
+                zero.alias("user_cnt"),
+                F.col(label).alias("miles_pct"),
+            ))
+    out = groups.select(*ids, F.explode(F.array(*rows)).alias("r")).where(F.col("r.keep"))
+    return out.select(*ids, "r.type", "r.user_type", "r.user_cnt", "r.miles_pct")
 
 
 def growth(activity: DataFrame, grain: str = "day", mode: str = "parity", strict_subtype: bool | None = None) -> DataFrame:
@@ -271,24 +281,19 @@ def growth(activity: DataFrame, grain: str = "day", mode: str = "parity", strict
     applies the documented meaning per whole week (reported under the
     month of its Sunday) or month, and tests earned *and* redeemed in the
     sub-type (override with ``strict_subtype``).
+
+    Count and miles labels are disjoint and group keys are unique, so the
+    reference's final SUM over their union is the identity and is skipped.
     """
     u = _units(grain, mode)
     groups = consolidated_groups(activity, grain, mode, strict_subtype)
-    ids = [*u.key_names, "trns_type", "trns_sub_type"]
-    zero = F.lit(0).cast("bigint")
-    counts = _count_rows(groups, ids).withColumn("miles_pct", zero)
-    miles = _miles_rows(groups, ids).withColumn("user_cnt", zero)
-    cols = [*ids, "type", "user_type", "user_cnt", "miles_pct"]
-    # Count and miles labels are disjoint and group keys are unique, so the
-    # reference's final SUM over the union is the identity and is skipped.
-    return counts.select(*cols).unionByName(miles.select(*cols))
+    return _long_rows(groups, [*u.key_names, "trns_type", "trns_sub_type"], with_miles=True)
 
 
 def growth_consolidated(activity: DataFrame, strict_subtype: bool = False) -> DataFrame:
     """Day-grain user counts carrying day, week and month keys (no miles)."""
     groups = consolidated_groups(activity, "day", "parity", strict_subtype)
-    ids = ["cal_day", "trns_type", "trns_sub_type"]
-    rows = _count_rows(groups.drop("cal_month"), ids)
+    rows = _long_rows(groups, ["cal_day", "trns_type", "trns_sub_type"], with_miles=False)
     return rows.select(
         "cal_day",
         week_start("cal_day").alias("cal_week"),
