@@ -58,8 +58,14 @@ def read_event_stream(spark: SparkSession, path: str, fmt: str = "parquet") -> D
 
 
 def _pick(values: list[str], idx: Column) -> Column:
-    """``values[idx]`` with a 0-based integer column; NULL index gives NULL."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + F.lit(1)).cast("int"))
+    """``values[idx]`` with a 0-based integer column; NULL index gives NULL.
+
+    A CASE chain rather than ``element_at`` on a literal array: the latter
+    was seen to return an element for a NULL index on Spark 4.1."""
+    out = F.when(idx == 0, F.lit(values[0]))
+    for i, v in enumerate(values[1:], start=1):
+        out = out.when(idx == i, F.lit(v))
+    return out
 
 
 def _map_type(col: Column, mapping: dict[str, str], keep_other: bool) -> Column:

@@ -1,0 +1,54 @@
+"""Physical-plan shape: one scan, no theta/cartesian joins, no Expand-based
+distinct counting, pushed-down projections."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from lifetide.plans.queries import REGISTRY
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def have_data():
+    if not os.path.exists(f"{SF}/events.parquet"):
+        pytest.skip("driver test data not present")
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY))
+def test_no_nested_loop_or_cartesian(spark, have_data, name):
+    p = plan_text(REGISTRY[name].run(spark, SF))
+    assert "BroadcastNestedLoopJoin" not in p
+    assert "CartesianProduct" not in p
+
+
+@pytest.mark.parametrize("name", [
+    "growth_daily", "growth_weekly", "growth_monthly", "growth_consolidated", "growth_weekly_strict",
+    "growth_daily_orders", "growth_monthly_strict_orders", "user_day_spine", "user_day_status",
+    "triangle_daily", "triangle_weekly_orders", "transaction_breakdown",
+])
+def test_single_scan_and_no_expand(spark, have_data, name):
+    p = plan_text(REGISTRY[name].run(spark, SF))
+    assert p.count("FileScan parquet") == 1, p
+    assert "Expand" not in p, p
+
+
+def test_scan_reads_only_needed_columns(spark, have_data):
+    p = plan_text(REGISTRY["triangle_daily"].run(spark, SF))
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p, p
+
+
+def test_growth_shuffles(spark, have_data):
+    """Day aggregation, the per-user window, the group aggregation and the
+    small sweep window: four exchanges, none of them of raw events except
+    the first (which follows partial aggregation)."""
+    p = plan_text(REGISTRY["growth_daily"].run(spark, SF))
+    assert p.count("Exchange hashpartitioning") == 4, p
+    assert "Exchange SinglePartition" not in p
