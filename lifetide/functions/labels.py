@@ -39,85 +39,88 @@ BREAKDOWN = "BREAKDOWN"
 ACTIVE_TYPES = [ENGAGEMENT, MILES, MILES_AND_ENGAGEMENT]
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def trns_type(activity: Column | str, trns: Column | str, churned: Column) -> Column:
+def trns_type_sql(activity: str = "activity", trns: str = "trns", churned: str = "false") -> str:
     """Engagement / Miles / Miles & Engagement for an active period, else
-    Churned when ``churned`` holds, else No Activity (first match wins;
-    NULL measures never match, exactly as a searched CASE)."""
-    a, t = _col(activity), _col(trns)
+    Churned when ``churned`` holds, else No Activity.  A searched CASE:
+    first match wins and NULL measures never match."""
+    a, t = activity, trns
     return (
-        F.when((a > 0) & (t == 0), F.lit(ENGAGEMENT))
-        .when((a == 0) & (t > 0), F.lit(MILES))
-        .when((a > 0) & (t > 0), F.lit(MILES_AND_ENGAGEMENT))
-        .when(churned, F.lit(CHURNED))
-        .otherwise(F.lit(NO_ACTIVITY))
+        f"CASE WHEN {a} > 0 AND {t} = 0 THEN '{ENGAGEMENT}' "
+        f"WHEN {a} = 0 AND {t} > 0 THEN '{MILES}' "
+        f"WHEN {a} > 0 AND {t} > 0 THEN '{MILES_AND_ENGAGEMENT}' "
+        f"WHEN {churned} THEN '{CHURNED}' "
+        f"ELSE '{NO_ACTIVITY}' END"
     )
 
 
-def trns_sub_type(
-    activity: Column | str,
-    trns: Column | str,
-    earned: Column | str,
-    redeemed: Column | str,
-    churned: Column,
+def trns_sub_type_sql(
+    activity: str = "activity",
+    trns: str = "trns",
+    earned: str = "miles_earned",
+    redeemed: str = "miles_redeemed",
+    churned: str = "false",
     strict: bool = False,
-) -> Column:
+) -> str:
     """Nine ordered branches.
 
     ``strict=False`` keeps the published rule, whose "earned and redeemed"
     branches test the redeemed amount twice, so any redemption reads as
     "Earned & Redeemed".  ``strict=True`` tests earned and redeemed.
     """
-    a, t, e, r = _col(activity), _col(trns), _col(earned), _col(redeemed)
-    both = (e != 0) & (r != 0) if strict else (r != 0) & (r != 0)
-    miles_only = (a == 0) & (t > 0)
-    mixed = (a > 0) & (t > 0)
+    a, t, e, r = activity, trns, earned, redeemed
+    both = f"{e} <> 0 AND {r} <> 0" if strict else f"{r} <> 0 AND {r} <> 0"
+    miles_only = f"{a} = 0 AND {t} > 0"
+    mixed = f"{a} > 0 AND {t} > 0"
     return (
-        F.when((a > 0) & (t == 0), F.lit(ENGAGEMENT))
-        .when(miles_only & both, F.lit(MILES_EARNED_AND_REDEEMED))
-        .when(miles_only & (e == 0), F.lit(MILES_REDEMPTION_ONLY))
-        .when(miles_only & (r == 0), F.lit(MILES_EARNED_ONLY))
-        .when(mixed & both, F.lit(ENGAGEMENT_EARN_REDEEM))
-        .when(mixed & (e == 0), F.lit(ENGAGEMENT_MILES_REDEMPTION))
-        .when(mixed & (r == 0), F.lit(ENGAGEMENT_MILES_EARNED))
-        .when(churned, F.lit(CHURNED))
-        .otherwise(F.lit(NO_ACTIVITY))
+        f"CASE WHEN {a} > 0 AND {t} = 0 THEN '{ENGAGEMENT}' "
+        f"WHEN {miles_only} AND {both} THEN '{MILES_EARNED_AND_REDEEMED}' "
+        f"WHEN {miles_only} AND {e} = 0 THEN '{MILES_REDEMPTION_ONLY}' "
+        f"WHEN {miles_only} AND {r} = 0 THEN '{MILES_EARNED_ONLY}' "
+        f"WHEN {mixed} AND {both} THEN '{ENGAGEMENT_EARN_REDEEM}' "
+        f"WHEN {mixed} AND {e} = 0 THEN '{ENGAGEMENT_MILES_REDEMPTION}' "
+        f"WHEN {mixed} AND {r} = 0 THEN '{ENGAGEMENT_MILES_EARNED}' "
+        f"WHEN {churned} THEN '{CHURNED}' "
+        f"ELSE '{NO_ACTIVITY}' END"
     )
 
 
-def day_flags(
-    is_new: Column, is_active: Column, prev_active: Column, value: Column | None = None
-) -> dict[str, Column]:
-    """The five status flags of one user-period.
+def day_flags_sql(is_new: str, is_active: str, prev_active: str, value: str = "CAST(1 AS BIGINT)") -> dict[str, str]:
+    """The five status flags of one user-period, as SQL text.
 
-    Each flag is ``value`` (default literal 1) when it holds, else NULL:
-    new_user, active, retained (active, not new, previous period active),
-    resurrected (active, not new, previous inactive) and churned (inactive,
-    not new, previous active).  ``is_new`` is tested null-safely (IS TRUE).
+    Each flag is ``value`` when it holds, else NULL: new_user, active,
+    retained (active, not new, previous period active), resurrected
+    (active, not new, previous inactive) and churned (inactive, not new,
+    previous active).  ``is_new`` is tested null-safely (IS TRUE);
+    ``is_active`` and ``prev_active`` must be never-NULL booleans.
     """
-    v = F.lit(1).cast("bigint") if value is None else value
-    new = is_new.eqNullSafe(True)
+    new = f"({is_new}) IS TRUE"
     return {
-        "new_user": F.when(new, v),
-        "active": F.when(is_active, v),
-        "retained": F.when(~new & is_active & prev_active, v),
-        "resurrected": F.when(~new & is_active & ~prev_active, v),
-        "churned": F.when(~new & ~is_active & prev_active, v),
+        "new_user": f"CASE WHEN {new} THEN {value} END",
+        "active": f"CASE WHEN {is_active} THEN {value} END",
+        "retained": f"CASE WHEN NOT {new} AND {is_active} AND {prev_active} THEN {value} END",
+        "resurrected": f"CASE WHEN NOT {new} AND {is_active} AND NOT {prev_active} THEN {value} END",
+        "churned": f"CASE WHEN NOT {new} AND NOT {is_active} AND {prev_active} THEN {value} END",
     }
 
 
-def status_labels(
-    activity: Column | str,
-    trns: Column | str,
-    earned: Column | str,
-    redeemed: Column | str,
-    churned: Column,
-    strict_subtype: bool = False,
-) -> dict[str, Column]:
+def trns_type(activity: str = "activity", trns: str = "trns", churned: str = "false") -> Column:
+    return F.expr(trns_type_sql(activity, trns, churned))
+
+
+def trns_sub_type(
+    activity: str = "activity",
+    trns: str = "trns",
+    earned: str = "miles_earned",
+    redeemed: str = "miles_redeemed",
+    churned: str = "false",
+    strict: bool = False,
+) -> Column:
+    return F.expr(trns_sub_type_sql(activity, trns, earned, redeemed, churned, strict))
+
+
+def status_labels(churned: str = "false", strict_subtype: bool = False) -> dict[str, str]:
+    """trns_type and trns_sub_type over the standard measure columns, as SQL text."""
     return {
-        "trns_type": trns_type(activity, trns, churned),
-        "trns_sub_type": trns_sub_type(activity, trns, earned, redeemed, churned, strict_subtype),
+        "trns_type": trns_type_sql("activity", "trns", churned),
+        "trns_sub_type": trns_sub_type_sql("activity", "trns", "miles_earned", "miles_redeemed", churned, strict_subtype),
     }

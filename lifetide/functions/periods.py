@@ -1,7 +1,10 @@
-"""Calendar buckets as Column expressions (all JVM-side, codegen friendly).
+"""Calendar buckets, as SQL expression text and as Columns.
 
 Weeks start on Sunday; Spark's own ``trunc(d, 'week')`` starts on Monday, so
-the Sunday bucket is computed from ``dayofweek`` (1 = Sunday).
+the Sunday bucket is computed from ``dayofweek`` (1 = Sunday).  The ``*_sql``
+builders return Spark SQL expression text over column names (or other
+expression text); composing text and parsing it once in the JVM keeps plan
+construction cheap.  The Column forms wrap the text with ``F.expr``.
 """
 
 from __future__ import annotations
@@ -12,59 +15,70 @@ from pyspark.sql import functions as F
 GRAINS = ("day", "week", "month")
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _check(grain: str) -> None:
+    if grain not in GRAINS:
+        raise ValueError(f"unknown grain {grain!r}; expected one of {GRAINS}")
 
 
-def week_start(d: Column | str) -> Column:
+def week_start_sql(d: str) -> str:
     """The Sunday on or before date ``d``."""
-    d = _col(d)
-    return F.date_sub(d, F.dayofweek(d) - F.lit(1))
+    return f"date_sub({d}, dayofweek({d}) - 1)"
 
 
-def month_start(d: Column | str) -> Column:
-    """First day of the month of date ``d`` (a DATE)."""
-    return F.trunc(_col(d), "month")
+def month_start_sql(d: str) -> str:
+    """First day of the month of date ``d``."""
+    return f"trunc({d}, 'MM')"
 
 
-def period_start(d: Column | str, grain: str) -> Column:
-    """Start date of the day / Sunday-week / month holding date ``d``."""
-    d = _col(d)
-    if grain == "day":
-        return d
-    if grain == "week":
-        return week_start(d)
-    if grain == "month":
-        return month_start(d)
-    raise ValueError(f"unknown grain {grain!r}; expected one of {GRAINS}")
+def period_start_sql(d: str, grain: str) -> str:
+    _check(grain)
+    return {"day": f"{d}", "week": week_start_sql(d), "month": month_start_sql(d)}[grain]
 
 
-def next_period(start: Column | str, grain: str, n: int = 1) -> Column:
+def next_period_sql(start: str, grain: str, n: int = 1) -> str:
     """Start of the period ``n`` periods after the one starting at ``start``."""
-    start = _col(start)
-    if grain == "day":
-        return F.date_add(start, n)
-    if grain == "week":
-        return F.date_add(start, 7 * n)
-    if grain == "month":
-        return F.add_months(start, n)
-    raise ValueError(f"unknown grain {grain!r}; expected one of {GRAINS}")
+    _check(grain)
+    return {"day": f"date_add({start}, {n})", "week": f"date_add({start}, {7 * n})",
+            "month": f"add_months({start}, {n})"}[grain]
 
 
-def period_offset(later: Column | str, earlier: Column | str, grain: str) -> Column:
+def period_offset_sql(later: str, earlier: str, grain: str) -> str:
     """Whole periods between two period starts, as BIGINT.
 
     Inputs are already period starts, so the week count is an exact division
-    and the month count is calendar arithmetic (``timestampdiff(MONTH)`` would
-    count complete months instead, which only agrees on aligned dates).
+    and the month count is calendar arithmetic (``timestampdiff(MONTH)``
+    would count complete months instead, which only agrees on aligned dates).
     """
-    later, earlier = _col(later), _col(earlier)
-    if grain == "day":
-        out = F.datediff(later, earlier)
-    elif grain == "week":
-        out = F.floor(F.datediff(later, earlier) / F.lit(7))
-    elif grain == "month":
-        out = (F.year(later) - F.year(earlier)) * 12 + (F.month(later) - F.month(earlier))
-    else:
-        raise ValueError(f"unknown grain {grain!r}; expected one of {GRAINS}")
-    return out.cast("bigint")
+    _check(grain)
+    body = {
+        "day": f"datediff({later}, {earlier})",
+        "week": f"datediff({later}, {earlier}) div 7",
+        "month": f"(year({later}) - year({earlier})) * 12 + (month({later}) - month({earlier}))",
+    }[grain]
+    return f"CAST({body} AS BIGINT)"
+
+
+def _name(c: Column | str) -> str:
+    if isinstance(c, str):
+        return c
+    raise TypeError("pass a column name or SQL expression text")
+
+
+def week_start(d: str) -> Column:
+    return F.expr(week_start_sql(_name(d)))
+
+
+def month_start(d: str) -> Column:
+    return F.expr(month_start_sql(_name(d)))
+
+
+def period_start(d: str, grain: str) -> Column:
+    return F.expr(period_start_sql(_name(d), grain))
+
+
+def next_period(start: str, grain: str, n: int = 1) -> Column:
+    return F.expr(next_period_sql(_name(start), grain, n))
+
+
+def period_offset(later: str, earlier: str, grain: str) -> Column:
+    return F.expr(period_offset_sql(_name(later), _name(earlier), grain))

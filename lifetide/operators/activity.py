@@ -9,6 +9,15 @@ from lifetide.functions.labels import MILES_EARNED, MILES_REDEEMED
 
 MEASURES = ["trns_activity", "activity", "trns", "miles_earned", "miles_redeemed"]
 
+_IS_MILES = f"event_type IN ('{MILES_EARNED}', '{MILES_REDEEMED}')"
+_DAY_MEASURES = [
+    "count(event_time) AS trns_activity",
+    f"count(CASE WHEN {_IS_MILES} THEN NULL ELSE event_time END) AS activity",
+    f"count(CASE WHEN {_IS_MILES} THEN event_time END) AS trns",
+    f"CAST(sum(CASE WHEN event_type = '{MILES_EARNED}' THEN miles_amount ELSE 0 END) AS BIGINT) AS miles_earned",
+    f"CAST(sum(CASE WHEN event_type = '{MILES_REDEEMED}' THEN miles_amount ELSE 0 END) AS BIGINT) AS miles_redeemed",
+]
+
 
 def user_day_activity(events: DataFrame) -> DataFrame:
     """Five measures per (day, user).
@@ -22,15 +31,8 @@ def user_day_activity(events: DataFrame) -> DataFrame:
     one row per day per task.  NULL users and days are kept as groups; the
     spine and the cohort operators drop them.
     """
-    et = F.col("event_time")
-    etype = F.col("event_type")
-    is_miles = etype.isin(MILES_EARNED, MILES_REDEEMED)
-    return events.groupBy(F.to_date(et).alias("day"), "user_id").agg(
-        F.count(et).alias("trns_activity"),
-        F.count(F.when(is_miles, F.lit(None)).otherwise(et)).alias("activity"),
-        F.count(F.when(is_miles, et)).alias("trns"),
-        F.sum(F.when(etype == MILES_EARNED, F.col("miles_amount")).otherwise(F.lit(0))).cast("bigint").alias("miles_earned"),
-        F.sum(F.when(etype == MILES_REDEEMED, F.col("miles_amount")).otherwise(F.lit(0))).cast("bigint").alias("miles_redeemed"),
+    return events.groupBy(F.expr("to_date(event_time)").alias("day"), "user_id").agg(
+        *[F.expr(e) for e in _DAY_MEASURES]
     )
 
 
@@ -43,7 +45,7 @@ def active_days(activity: DataFrame) -> DataFrame:
     calendar span however many events a user has.
     """
     w = Window.partitionBy("user_id").orderBy("day")
-    return activity.where(F.col("user_id").isNotNull() & F.col("day").isNotNull()).select(
+    return activity.where("user_id IS NOT NULL AND day IS NOT NULL").select(
         "user_id",
         "day",
         *MEASURES,
@@ -65,16 +67,15 @@ def user_day_spine(activity: DataFrame) -> DataFrame:
     cost is the output size.  ``prev_day`` is then the previous active day
     exactly when it is the day before.
     """
-    marked = active_days(activity)
-    start = F.coalesce(F.date_add("prev_active", 1), F.col("day"))
-    spine = marked.select("*", F.explode(F.sequence(start, F.col("day"))).alias("cal_day"))
-    is_active = F.col("cal_day") == F.col("day")
-    return spine.select(
+    spine = active_days(activity).selectExpr(
+        "*", "explode(sequence(coalesce(date_add(prev_active, 1), day), day)) AS cal_day"
+    )
+    return spine.selectExpr(
         "user_id",
         "cal_day",
-        F.when(is_active, F.col("day")).alias("trns_day"),
-        F.when(F.col("cal_day") == F.date_add("prev_active", 1), F.col("prev_active")).alias("prev_day"),
-        (F.col("cal_day") == F.col("first_seen")).alias("is_new_user"),
+        "CASE WHEN cal_day = day THEN day END AS trns_day",
+        "CASE WHEN cal_day = date_add(prev_active, 1) THEN prev_active END AS prev_day",
+        "cal_day = first_seen AS is_new_user",
         "first_seen",
-        *[F.when(is_active, F.col(m)).alias(m) for m in MEASURES],
+        *[f"CASE WHEN cal_day = day THEN {m} END AS {m}" for m in MEASURES],
     )

@@ -34,7 +34,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lifetide.functions.labels import (
@@ -46,21 +46,22 @@ from lifetide.functions.labels import (
     USER_TYPES,
     status_labels,
 )
-from lifetide.functions.periods import month_start, next_period, week_start
+from lifetide.functions.periods import month_start_sql, next_period_sql, week_start_sql
 from lifetide.operators.activity import MEASURES
 
 MODES = ("parity", "strict")
 COUNT_COLUMNS = ["new_users", "retained", "resurrected", "pos_churned", "active"]
+KIND_ACTIVE, KIND_CHURN, KIND_SWEEP = 0, 1, 2
 
 
 @dataclass(frozen=True)
 class _Units:
-    """How days map to the units a status is computed for."""
+    """How days map to the units a status is computed for (SQL text builders)."""
 
-    start: Callable[[Column], Column]  # unit start of a day
-    keys: Callable[[Column], list[Column]]  # output period columns of a unit start
+    start: Callable[[str], str]  # unit start of a day
+    keys: Callable[[str], list[str]]  # output period columns of a unit start
     key_names: list[str]
-    nxt: Callable[[Column], Column]  # first unit start on or after a day
+    nxt: Callable[[str], str]  # first unit start on or after a day
     step: str | None  # grain of "previous unit" for adjacency, None = parity pieces
 
 
@@ -70,38 +71,39 @@ def _units(grain: str, mode: str) -> _Units:
     if grain == "day":
         return _Units(
             start=lambda d: d,
-            keys=lambda s: [s.alias("cal_day"), month_start(s).alias("cal_month")],
+            keys=lambda s: [f"{s} AS cal_day", f"{month_start_sql(s)} AS cal_month"],
             key_names=["cal_day", "cal_month"],
             nxt=lambda x: x,
             step="day",
         )
     if grain == "month":
         return _Units(
-            start=month_start,
-            keys=lambda s: [s.alias("cal_month")],
+            start=month_start_sql,
+            keys=lambda s: [f"{s} AS cal_month"],
             key_names=["cal_month"],
-            nxt=lambda x: F.when(F.dayofmonth(x) == 1, x).otherwise(F.add_months(month_start(x), 1)),
+            nxt=lambda x: f"CASE WHEN dayofmonth({x}) = 1 THEN {x} ELSE add_months({month_start_sql(x)}, 1) END",
             step="month" if mode == "strict" else None,
         )
     if grain == "week" and mode == "strict":
         return _Units(
-            start=week_start,
-            keys=lambda s: [s.alias("cal_week"), month_start(s).alias("cal_month")],
+            start=week_start_sql,
+            keys=lambda s: [f"{s} AS cal_week", f"{month_start_sql(s)} AS cal_month"],
             key_names=["cal_week", "cal_month"],
-            nxt=lambda x: F.when(week_start(x) == x, x).otherwise(F.date_add(week_start(x), 7)),
+            nxt=lambda x: f"CASE WHEN {week_start_sql(x)} = {x} THEN {x} ELSE date_add({week_start_sql(x)}, 7) END",
             step="week",
         )
     if grain == "week":
         # A week that crosses a month is two pieces, one per month.
-        def piece(d: Column) -> Column:
-            return F.greatest(week_start(d), month_start(d))
+        def piece(d: str) -> str:
+            return f"greatest({week_start_sql(d)}, {month_start_sql(d)})"
 
         return _Units(
             start=piece,
-            keys=lambda s: [week_start(s).alias("cal_week"), month_start(s).alias("cal_month")],
+            keys=lambda s: [f"{week_start_sql(s)} AS cal_week", f"{month_start_sql(s)} AS cal_month"],
             key_names=["cal_week", "cal_month"],
-            nxt=lambda x: F.when(piece(x) == x, x).otherwise(
-                F.least(F.date_add(week_start(x), 7), F.add_months(month_start(x), 1))
+            nxt=lambda x: (
+                f"CASE WHEN {piece(x)} = {x} THEN {x} "
+                f"ELSE least(date_add({week_start_sql(x)}, 7), add_months({month_start_sql(x)}, 1)) END"
             ),
             step=None,
         )
@@ -113,24 +115,25 @@ def active_units(activity: DataFrame, grain: str, mode: str = "parity") -> DataF
     day in it, summed measures, and the previous active unit's start and
     last day (NULL for the user's first unit)."""
     u = _units(grain, mode)
-    act = activity.where(F.col("user_id").isNotNull() & F.col("day").isNotNull())
+    act = activity.where("user_id IS NOT NULL AND day IS NOT NULL")
     if grain == "day":
-        per_unit = act.select(
-            "user_id", F.col("day").alias("_s"), F.col("day").alias("_first"), F.col("day").alias("_last"), *MEASURES
-        )
+        per_unit = act.selectExpr("user_id", "day AS _s", "day AS _first", "day AS _last", *MEASURES)
     else:
-        per_unit = act.groupBy("user_id", u.start(F.col("day")).alias("_s")).agg(
+        per_unit = act.groupBy("user_id", F.expr(u.start("day")).alias("_s")).agg(
             F.min("day").alias("_first"),
             F.max("day").alias("_last"),
-            *[F.sum(m).cast("bigint").alias(m) for m in MEASURES],
+            *[F.expr(f"CAST(sum({m}) AS BIGINT) AS {m}") for m in MEASURES],
         )
     w = Window.partitionBy("user_id").orderBy("_s")
-    return per_unit.select(
-        "*", F.lag("_s").over(w).alias("_prev_s"), F.lag("_last").over(w).alias("_prev_last")
-    )
+    return per_unit.select("*", F.lag("_s").over(w).alias("_prev_s"), F.lag("_last").over(w).alias("_prev_last"))
 
 
-KIND_ACTIVE, KIND_CHURN, KIND_SWEEP = 0, 1, 2
+def _entry(kind: int, start: str, ttype: str, sub: str, counts: list[str], d: str, measures: list[str]) -> str:
+    fields = [f"'kind', {kind}", f"'_s', {start}", f"'trns_type', {ttype}", f"'trns_sub_type', {sub}"]
+    fields += [f"'{n}', CAST({c} AS BIGINT)" for n, c in zip(COUNT_COLUMNS, counts)]
+    fields += [f"'_d', CAST({d} AS BIGINT)"]
+    fields += [f"'{m}', CAST({v} AS BIGINT)" for m, v in zip(MEASURES, measures)]
+    return f"named_struct({', '.join(fields)})"
 
 
 def consolidated_groups(
@@ -152,54 +155,42 @@ def consolidated_groups(
     u = _units(grain, mode)
     if strict_subtype is None:
         strict_subtype = mode == "strict"
-    units = active_units(activity, grain, mode)
-    first = F.col("_prev_s").isNull()
+    first = "_prev_s IS NULL"
     if u.step is None:
-        retained = ~first
+        retained = f"NOT {first}"
         churn_at = None
-        sweep_lo = u.nxt(F.date_add("_prev_last", 1))
+        sweep_lo = u.nxt("date_add(_prev_last, 1)")
     else:
-        retained = ~first & (next_period(F.col("_prev_s"), u.step) == F.col("_s"))
-        churn_at = next_period(F.col("_prev_s"), u.step)
-        sweep_lo = next_period(F.col("_prev_s"), u.step, 2)
-    labels = status_labels("activity", "trns", "miles_earned", "miles_redeemed", F.lit(False), strict_subtype)
-
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    null_measures = [F.lit(None).cast("bigint").alias(m) for m in MEASURES]
-
-    def entry(kind: int, start: Column, ttype: Column, sub: Column, counts: list[Column], d: Column, measures: list[Column]) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            start.alias("_s"),
-            ttype.alias("trns_type"),
-            sub.alias("trns_sub_type"),
-            *[c.alias(n) for c, n in zip(counts, COUNT_COLUMNS)],
-            d.alias("_d"),
-            *measures,
+        retained = f"NOT {first} AND {next_period_sql('_prev_s', u.step)} = _s"
+        churn_at = next_period_sql("_prev_s", u.step)
+        sweep_lo = next_period_sql("_prev_s", u.step, 2)
+    labels = status_labels("false", strict_subtype)
+
+    def flag(cond: str) -> str:
+        return f"CASE WHEN {cond} THEN 1 ELSE 0 END"
+
+    nulls = ["NULL"] * len(MEASURES)
+    zeros = ["0"] * len(COUNT_COLUMNS)
+    entries = [
+        _entry(
+            KIND_ACTIVE, "_s", labels["trns_type"], labels["trns_sub_type"],
+            [flag(first), flag(retained), flag(f"NOT ({first}) AND NOT ({retained})"), "0", "1"],
+            "0", MEASURES,
         )
-
-    null_str = F.lit(None).cast("string")
-    active_entry = entry(
-        KIND_ACTIVE, F.col("_s"), labels["trns_type"], labels["trns_sub_type"],
-        [F.when(first, one).otherwise(zero), F.when(retained, one).otherwise(zero),
-         F.when(~first & ~retained, one).otherwise(zero), zero, one],
-        zero, [F.col(m) for m in MEASURES],
-    )
-    entries = [active_entry]
+    ]
     if churn_at is not None:
-        churned = F.lit(CHURNED)
-        entries.append(F.when(~first & (churn_at < F.col("_s")), entry(
-            KIND_CHURN, churn_at, churned, churned, [zero, zero, zero, one, zero], zero, null_measures)))
-    has_sweep = ~first & (sweep_lo < F.col("_s"))
-    no_counts = [zero] * len(COUNT_COLUMNS)
-    entries.append(F.when(has_sweep, entry(KIND_SWEEP, sweep_lo, null_str, null_str, no_counts, one, null_measures)))
-    entries.append(F.when(has_sweep, entry(KIND_SWEEP, F.col("_s"), null_str, null_str, no_counts, F.lit(-1).cast("bigint"), null_measures)))
-
-    contributions = units.select(F.explode(F.array_compact(F.array(*entries))).alias("c")).select("c.*")
+        churn = _entry(KIND_CHURN, churn_at, f"'{CHURNED}'", f"'{CHURNED}'", ["0", "0", "0", "1", "0"], "0", nulls)
+        entries.append(f"CASE WHEN NOT {first} AND {churn_at} < _s THEN {churn} END")
+    has_sweep = f"NOT {first} AND {sweep_lo} < _s"
+    for pos, d in ((sweep_lo, "1"), ("_s", "-1")):
+        sweep = _entry(KIND_SWEEP, pos, "CAST(NULL AS STRING)", "CAST(NULL AS STRING)", zeros, d, nulls)
+        entries.append(f"CASE WHEN {has_sweep} THEN {sweep} END")
+
+    contributions = active_units(activity, grain, mode).selectExpr(
+        f"explode(array_compact(array({', '.join(entries)}))) AS c"
+    ).select("c.*")
     groups = contributions.groupBy("kind", "_s", "trns_type", "trns_sub_type").agg(
-        *[F.sum(c).cast("bigint").alias(c) for c in COUNT_COLUMNS],
-        F.sum("_d").alias("_d"),
-        *[F.sum(m).cast("bigint").alias(m) for m in MEASURES],
+        *[F.expr(f"CAST(sum({c}) AS BIGINT) AS {c}") for c in [*COUNT_COLUMNS, "_d", *MEASURES]]
     )
     # Running sum of the sweep deltas.  Partitioned by kind, the sweep rows
     # form one partition holding at most two rows per calendar unit.
@@ -209,22 +200,16 @@ def consolidated_groups(
         F.sum("_d").over(by_pos.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cover"),
         F.lead("_s").over(by_pos).alias("_next"),
     )
-    covered = F.filter(
-        F.sequence(F.col("_s"), F.date_sub(F.col("_next"), 1)), lambda d: u.start(d) == d
-    )
-    is_sweep = F.col("kind") == KIND_SWEEP
-    starts = F.when(~is_sweep, F.array(F.col("_s"))).when(
-        (F.col("_cover") > 0) & F.col("_next").isNotNull(), covered
-    )
-    no_activity = F.lit(NO_ACTIVITY)
-    expanded = swept.select(
-        F.explode(starts).alias("_unit"),
-        F.when(is_sweep, no_activity).otherwise(F.col("trns_type")).alias("trns_type"),
-        F.when(is_sweep, no_activity).otherwise(F.col("trns_sub_type")).alias("trns_sub_type"),
+    covered = f"filter(sequence(_s, date_sub(_next, 1)), d -> {u.start('d')} = d)"
+    is_sweep = f"kind = {KIND_SWEEP}"
+    expanded = swept.selectExpr(
+        f"explode(CASE WHEN NOT {is_sweep} THEN array(_s) WHEN _cover > 0 AND _next IS NOT NULL THEN {covered} END) AS _unit",
+        f"CASE WHEN {is_sweep} THEN '{NO_ACTIVITY}' ELSE trns_type END AS trns_type",
+        f"CASE WHEN {is_sweep} THEN '{NO_ACTIVITY}' ELSE trns_sub_type END AS trns_sub_type",
         *COUNT_COLUMNS,
         *MEASURES,
     )
-    return expanded.select(*u.keys(F.col("_unit")), "trns_type", "trns_sub_type", *COUNT_COLUMNS, *MEASURES)
+    return expanded.selectExpr(*u.keys("_unit"), "trns_type", "trns_sub_type", *COUNT_COLUMNS, *MEASURES)
 
 
 def _long_rows(groups: DataFrame, ids: list[str], with_miles: bool) -> DataFrame:
@@ -237,38 +222,31 @@ def _long_rows(groups: DataFrame, ids: list[str], with_miles: bool) -> DataFrame
     for active types when the sum is not NULL, with type TOTAL.  Count rows
     carry ``miles_pct`` 0 and miles rows ``user_cnt`` 0.
     """
-    is_churned = F.col("trns_type") == CHURNED
-    zero = F.lit(0).cast("bigint")
     counts = {
-        "new_users": F.col("new_users"),
-        "retained": F.col("retained"),
-        "resurrected": F.col("resurrected"),
-        "tot_churned": F.col("pos_churned"),
-        "churned": F.col("pos_churned") * F.lit(-1),
-        "active": F.col("active"),
+        "new_users": "new_users",
+        "retained": "retained",
+        "resurrected": "resurrected",
+        "tot_churned": "pos_churned",
+        "churned": "pos_churned * -1",
+        "active": "active",
     }
+    is_churned = f"trns_type = '{CHURNED}'"
     rows = []
     for label in USER_TYPES:
-        churn_like = label in ("churned", "tot_churned")
-        keep = is_churned if churn_like else ~is_churned
-        rows.append(F.struct(
-            keep.alias("keep"),
-            F.lit(TOTAL if label == "tot_churned" else BREAKDOWN).alias("type"),
-            F.lit(label).alias("user_type"),
-            counts[label].cast("bigint").alias("user_cnt"),
-            zero.alias("miles_pct"),
-        ))
+        keep = is_churned if label in ("churned", "tot_churned") else f"NOT {is_churned}"
+        kind = TOTAL if label == "tot_churned" else BREAKDOWN
+        rows.append(
+            f"named_struct('keep', {keep}, 'type', '{kind}', 'user_type', '{label}', "
+            f"'user_cnt', CAST({counts[label]} AS BIGINT), 'miles_pct', CAST(0 AS BIGINT))"
+        )
     if with_miles:
-        active_type = ~F.col("trns_type").isin(CHURNED, NO_ACTIVITY)
+        active_type = f"NOT trns_type IN ('{CHURNED}', '{NO_ACTIVITY}')"
         for label in MILES_TYPES:
-            rows.append(F.struct(
-                (active_type & F.col(label).isNotNull()).alias("keep"),
-                F.lit(TOTAL).alias("type"),
-                F.lit(label).alias("user_type"),
-                zero.alias("user_cnt"),
-                F.col(label).alias("miles_pct"),
-            ))
-    out = groups.select(*ids, F.explode(F.array(*rows)).alias("r")).where(F.col("r.keep"))
+            rows.append(
+                f"named_struct('keep', {active_type} AND {label} IS NOT NULL, 'type', '{TOTAL}', "
+                f"'user_type', '{label}', 'user_cnt', CAST(0 AS BIGINT), 'miles_pct', {label})"
+            )
+    out = groups.selectExpr(*ids, f"explode(array({', '.join(rows)})) AS r").where("r.keep")
     return out.select(*ids, "r.type", "r.user_type", "r.user_cnt", "r.miles_pct")
 
 
@@ -294,10 +272,10 @@ def growth_consolidated(activity: DataFrame, strict_subtype: bool = False) -> Da
     """Day-grain user counts carrying day, week and month keys (no miles)."""
     groups = consolidated_groups(activity, "day", "parity", strict_subtype)
     rows = _long_rows(groups, ["cal_day", "trns_type", "trns_sub_type"], with_miles=False)
-    return rows.select(
+    return rows.selectExpr(
         "cal_day",
-        week_start("cal_day").alias("cal_week"),
-        month_start("cal_day").alias("cal_month"),
+        f"{week_start_sql('cal_day')} AS cal_week",
+        f"{month_start_sql('cal_day')} AS cal_month",
         "trns_type",
         "trns_sub_type",
         "type",

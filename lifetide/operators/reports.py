@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lifetide.functions.labels import ACTIVE_TYPES, USER_TYPES, trns_type
-from lifetide.functions.periods import period_start
+from lifetide.functions.labels import ACTIVE_TYPES, USER_TYPES, trns_type_sql
+from lifetide.functions.periods import period_start_sql
 from lifetide.operators.activity import MEASURES
 from lifetide.operators.retention import COHORT_COLUMN
 
@@ -37,14 +37,14 @@ def transaction_breakdown(activity: DataFrame, grain: str = "day") -> DataFrame:
 
     Works on the per user-day measures: partial aggregation to
     (user, period), then a small group-by; the spine is not needed."""
-    act = activity.where(F.col("user_id").isNotNull() & F.col("day").isNotNull())
+    act = activity.where("user_id IS NOT NULL AND day IS NOT NULL")
     if grain == "day":
-        per = act.select(F.col("day").alias("period_start"), "user_id", *MEASURES)
+        per = act.selectExpr("day AS period_start", "user_id", *MEASURES)
     else:
-        per = act.groupBy(period_start(F.col("day"), grain).alias("period_start"), "user_id").agg(
-            *[F.sum(m).cast("bigint").alias(m) for m in MEASURES]
+        per = act.groupBy(F.expr(period_start_sql("day", grain)).alias("period_start"), "user_id").agg(
+            *[F.expr(f"CAST(sum({m}) AS BIGINT) AS {m}") for m in MEASURES]
         )
-    labelled = per.withColumn("trns_type", trns_type("activity", "trns", F.lit(False)))
+    labelled = per.withColumn("trns_type", F.expr(trns_type_sql()))
     return (
         labelled.where(F.col("trns_type").isin(*ACTIVE_TYPES))
         .groupBy("period_start", "trns_type")

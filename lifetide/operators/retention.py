@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lifetide.functions.periods import month_start, period_offset, period_start
+from lifetide.functions.periods import month_start_sql, period_offset_sql, period_start_sql
 
 COHORT_COLUMN = {"day": "cohort_date", "week": "cohort_week_date", "month": "cohort_month_date"}
 
@@ -14,8 +14,8 @@ def user_periods(events: DataFrame, grain: str) -> DataFrame:
     """Distinct (user_id, period) pairs of known users; the period is NULL for
     events without a time.  Partially aggregated before the shuffle."""
     return (
-        events.where(F.col("user_id").isNotNull())
-        .select("user_id", period_start(F.to_date("event_time"), grain).alias("period"))
+        events.where("user_id IS NOT NULL")
+        .selectExpr("user_id", f"{period_start_sql('to_date(event_time)', grain)} AS period")
         .distinct()
     )
 
@@ -39,21 +39,21 @@ def triangle(events: DataFrame, grain: str = "day", periods: DataFrame | None =
     ``periods`` may pass precomputed ``user_periods(events, grain)``.
     """
     up = periods if periods is not None else user_periods(events, grain)
-    whole_user = Window.partitionBy("user_id")
-    with_cohort = up.select("period", F.min("period").over(whole_user).alias("cohort"))
-    counts = with_cohort.where(F.col("cohort").isNotNull()).groupBy("cohort", "period").agg(
-        F.count(F.lit(1)).alias("users")
+    with_cohort = up.select("period", F.min("period").over(Window.partitionBy("user_id")).alias("cohort"))
+    counts = (
+        with_cohort.where("cohort IS NOT NULL")
+        .groupBy("cohort", "period")
+        .agg(F.count(F.lit(1)).alias("users"))
+        .withColumn("period_offset", F.expr(period_offset_sql("period", "cohort", grain)))
     )
-    offset = period_offset(F.col("period"), F.col("cohort"), grain)
-    size = F.max(F.when(offset == 0, F.col("users"))).over(Window.partitionBy("cohort"))
-    out = counts.select(
-        month_start("period").alias("cal_month"),
-        month_start("cohort").alias("cohort_ref_month"),
-        F.col("cohort").alias(COHORT_COLUMN[grain]),
-        offset.alias("period_offset"),
-        F.col("users").cast("bigint").alias("users"),
-        size.cast("bigint").alias("cohort_size"),
-    )
-    return out.where(F.col("cohort_size").isNotNull()).withColumn(
-        "retention_rate", F.try_divide(F.col("users").cast("double"), F.col("cohort_size").cast("double"))
+    size = F.max(F.expr("CASE WHEN period_offset = 0 THEN users END")).over(Window.partitionBy("cohort"))
+    out = counts.select("*", size.alias("cohort_size")).where("cohort_size IS NOT NULL")
+    return out.selectExpr(
+        f"{month_start_sql('period')} AS cal_month",
+        f"{month_start_sql('cohort')} AS cohort_ref_month",
+        f"cohort AS {COHORT_COLUMN[grain]}",
+        "period_offset",
+        "CAST(users AS BIGINT) AS users",
+        "CAST(cohort_size AS BIGINT) AS cohort_size",
+        "try_divide(CAST(users AS DOUBLE), CAST(cohort_size AS DOUBLE)) AS retention_rate",
     )

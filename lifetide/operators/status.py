@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from lifetide.functions.labels import day_flags, status_labels
-from lifetide.functions.periods import month_start, week_start
+from lifetide.functions.labels import day_flags_sql, status_labels
+from lifetide.functions.periods import month_start_sql, week_start_sql
 from lifetide.operators.activity import MEASURES
 
 
@@ -14,19 +13,17 @@ def user_day_status(spine: DataFrame, strict_subtype: bool = False) -> DataFrame
     """Add week / month buckets, five 1-or-NULL status flags and the
     transaction type / sub-type labels to every spine row.  Pure
     projection: no shuffle."""
-    active = F.col("trns_day").isNotNull()
-    prev = F.col("prev_day").isNotNull()
-    churned = ~active & prev
-    flags = day_flags(F.col("is_new_user"), active, prev)
-    labels = status_labels("activity", "trns", "miles_earned", "miles_redeemed", churned, strict_subtype)
-    return spine.select(
+    active, prev = "trns_day IS NOT NULL", "prev_day IS NOT NULL"
+    flags = day_flags_sql("is_new_user", active, prev)
+    labels = status_labels(f"NOT ({active}) AND {prev}", strict_subtype)
+    return spine.selectExpr(
         "user_id",
-        week_start("cal_day").alias("cal_week"),
-        month_start("cal_day").alias("cal_month"),
+        f"{week_start_sql('cal_day')} AS cal_week",
+        f"{month_start_sql('cal_day')} AS cal_month",
         "cal_day",
         "trns_day",
         "prev_day",
-        *[c.alias(n) for n, c in flags.items()],
-        *[c.alias(n) for n, c in labels.items()],
+        *[f"{e} AS {n}" for n, e in flags.items()],
+        *[f"{e} AS {n}" for n, e in labels.items()],
         *MEASURES,
     )

@@ -1,16 +1,20 @@
 """Build every model as stored tables, the way a scheduled job would.
 
 ``user_day_activity`` (the per user-day measures) is the one shared
-intermediate: it is written once and read back, so every later model starts
+intermediate: it is written once under the cluster's shared checkpoint
+folder (``spark.checkpoint.dir``) and read back, so every later model starts
 from a stored table.  That cuts the lineage to the raw events, lets the
 growth and retention models share one scan of them, and means a lost
-executor never forces a rescan of the raw events.  Tables named ``table``
-in the published project are written; ``view`` ones are written too, since
-a stored result is what a dashboard reads.
+executor never forces a rescan of the raw events.  Models materialised as
+tables in the published project are written under ``out_dir``; the view
+models are written too (a stored result is what a dashboard reads) and
+every model can be registered as a temporary view.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lifetide.operators import (
@@ -29,6 +33,7 @@ from lifetide.operators import (
     user_day_status,
 )
 from lifetide.operators.retention import user_periods
+from lifetide.session import checkpoint_dir
 
 GROWTH_KEYS = {"day": ["cal_day", "cal_month"], "week": ["cal_week", "cal_month"], "month": ["cal_month"]}
 GRAIN_NAME = {"day": "daily", "week": "weekly", "month": "monthly"}
@@ -47,15 +52,18 @@ def build_all(
     out_dir: str,
     fmt: str = "parquet",
     include_spine: bool = True,
+    register_views: bool = False,
 ) -> dict[str, str]:
     """Write all models under ``out_dir`` (a shared location on a cluster).
 
     Returns {model name: path}.  ``include_spine=False`` skips the
     gap-filled user x day tables (``growth_transactions`` and
     ``growth_accounting_frm_day``), whose size is users x active span; the
-    growth tables do not need them.
+    growth tables do not need them.  ``register_views`` also exposes every
+    stored model as a temporary view of the same name.
     """
     out = out_dir.rstrip("/")
+    stage = f"{checkpoint_dir(spark).rstrip('/')}/lifetide-stage-{uuid.uuid4().hex}"
     paths: dict[str, str] = {}
 
     def save(name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
@@ -72,9 +80,10 @@ def build_all(
     save("fct_events", fact_events(events))
     save("event_ordinal", event_ordinal(events))
 
-    # Shared intermediate: one aggregation of the raw events.
-    save("user_day_activity", user_day_activity(events))
-    activity = load("user_day_activity")
+    # Shared intermediate: one aggregation of the raw events, staged in the
+    # shared checkpoint folder.
+    _write(user_day_activity(events), f"{stage}/user_day_activity", "parquet")
+    activity = spark.read.parquet(f"{stage}/user_day_activity")
 
     if include_spine:
         save("growth_transactions", user_day_spine(activity))
@@ -96,4 +105,7 @@ def build_all(
         periods = user_periods(activity.withColumnRenamed("day", "event_time"), grain)
         save(f"triangle_retention_{name}", triangle(events, grain, periods=periods))
         save(f"cohort_matrix_{name}", cohort_matrix(load(f"triangle_retention_{name}"), grain))
+    if register_views:
+        for name in paths:
+            load(name).createOrReplaceTempView(name)
     return paths

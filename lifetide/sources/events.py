@@ -10,7 +10,7 @@ the scan; no filter is applied here, so every row of the table flows on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,69 +57,54 @@ def read_event_stream(spark: SparkSession, path: str, fmt: str = "parquet") -> D
     return conform_events(spark.read.format(fmt).load(path))
 
 
-def _pick(values: list[str], idx: Column) -> Column:
-    """``values[idx]`` with a 0-based integer column; NULL index gives NULL.
+def _case_index(expr: str, values: list[str]) -> str:
+    """``values[expr]`` for a 0-based integer expression; NULL gives NULL."""
+    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {expr} {whens} END"
 
-    A CASE chain rather than ``element_at`` on a literal array: the latter
-    was seen to return an element for a NULL index on Spark 4.1."""
-    out = F.when(idx == 0, F.lit(values[0]))
-    for i, v in enumerate(values[1:], start=1):
-        out = out.when(idx == i, F.lit(v))
-    return out
 
+def _case_map(expr: str, mapping: dict[str, str], keep_other: bool) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {expr} {whens}" + (f" ELSE {expr} END" if keep_other else " END")
 
-def _map_type(col: Column, mapping: dict[str, str], keep_other: bool) -> Column:
-    out = None
-    for src, dst in mapping.items():
-        out = F.when(col == src, F.lit(dst)) if out is None else out.when(col == src, F.lit(dst))
-    return out.otherwise(col if keep_other else F.lit(None).cast("string"))
 
-
-def _miles_columns(event_type: Column, amount: Column) -> list[Column]:
-    is_miles = event_type.isin(MILES_EARNED, MILES_REDEEMED)
-    return [
-        F.when(is_miles, F.lit(MILES_CATEGORY)).otherwise(F.lit(ENGAGEMENT_CATEGORY))
-        .alias("transaction_category"),
-        F.when(is_miles, F.floor(amount).cast("bigint")).alias("miles_amount"),
-    ]
+_IS_MILES = f"event_type IN ('{MILES_EARNED}', '{MILES_REDEEMED}')"
+_MILES_COLUMNS = [
+    f"CASE WHEN {_IS_MILES} THEN '{MILES_CATEGORY}' ELSE '{ENGAGEMENT_CATEGORY}' END AS transaction_category",
+    f"CASE WHEN {_IS_MILES} THEN CAST(floor(_amount) AS BIGINT) END AS miles_amount",
+]
 
 
 def from_events_table(events: DataFrame) -> DataFrame:
     """Map the driver's ``events`` table (dense, one month) onto the source."""
-    k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
-    etype = _map_type(F.col("event_type"), EVENTS_TYPE_MAP, keep_other=True)
-    staged = events.select(
-        F.col("ts").cast("timestamp_ntz").alias("event_time"),
-        F.col("user_id").cast("bigint").alias("user_id"),
-        etype.alias("event_type"),
-        F.col("value").alias("_amount"),
-        _pick(PLATFORMS, k % 3).alias("platform"),
-        _pick(UTM_SOURCES, k % 4).alias("utm_source"),
-        _pick(COUNTRIES, k % 5).alias("country"),
+    staged = events.selectExpr(
+        "CAST(ts AS TIMESTAMP_NTZ) AS event_time",
+        "CAST(user_id AS BIGINT) AS user_id",
+        f"{_case_map('event_type', EVENTS_TYPE_MAP, keep_other=True)} AS event_type",
+        "value AS _amount",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS _k",
     )
-    return staged.select(
-        "event_time", "user_id", "event_type",
-        *_miles_columns(F.col("event_type"), F.col("_amount")),
-        "platform", "utm_source", "country",
+    return staged.selectExpr(
+        "event_time", "user_id", "event_type", *_MILES_COLUMNS,
+        f"{_case_index('_k % 3', PLATFORMS)} AS platform",
+        f"{_case_index('_k % 4', UTM_SOURCES)} AS utm_source",
+        f"{_case_index('_k % 5', COUNTRIES)} AS country",
     )
 
 
 def from_orders_table(orders: DataFrame) -> DataFrame:
     """Map the driver's ``orders`` table (sparse, 6.6 years) onto the source."""
-    etype = _map_type(F.col("o_orderstatus"), ORDERS_TYPE_MAP, keep_other=False)
-    staged = orders.select(
-        F.col("o_orderdate").cast("timestamp_ntz").alias("event_time"),
-        F.col("o_custkey").cast("bigint").alias("user_id"),
-        etype.alias("event_type"),
-        F.col("o_totalprice").alias("_amount"),
-        F.col("o_orderpriority").alias("platform"),
-        F.concat(F.lit("orders-"), F.col("o_orderstatus")).alias("utm_source"),
-        _pick(COUNTRIES, F.col("o_custkey") % 5).alias("country"),
+    staged = orders.selectExpr(
+        "CAST(o_orderdate AS TIMESTAMP_NTZ) AS event_time",
+        "CAST(o_custkey AS BIGINT) AS user_id",
+        f"{_case_map('o_orderstatus', ORDERS_TYPE_MAP, keep_other=False)} AS event_type",
+        "o_totalprice AS _amount",
+        "o_orderpriority AS platform",
+        "concat('orders-', o_orderstatus) AS utm_source",
+        f"{_case_index('o_custkey % 5', COUNTRIES)} AS country",
     )
-    return staged.select(
-        "event_time", "user_id", "event_type",
-        *_miles_columns(F.col("event_type"), F.col("_amount")),
-        "platform", "utm_source", "country",
+    return staged.selectExpr(
+        "event_time", "user_id", "event_type", *_MILES_COLUMNS, "platform", "utm_source", "country"
     )
 
 
