@@ -186,9 +186,12 @@ def consolidated_groups(
         sweep = _entry(KIND_SWEEP, pos, "CAST(NULL AS STRING)", "CAST(NULL AS STRING)", zeros, d, nulls)
         entries.append(f"CASE WHEN {has_sweep} THEN {sweep} END")
 
-    contributions = active_units(activity, grain, mode).selectExpr(
-        f"explode(array_compact(array({', '.join(entries)}))) AS c"
-    ).select("c.*")
+    contributions = (
+        active_units(activity, grain, mode)
+        .selectExpr(f"explode(array({', '.join(entries)})) AS c")
+        .where("c IS NOT NULL")
+        .select("c.*")
+    )
     groups = contributions.groupBy("kind", "_s", "trns_type", "trns_sub_type").agg(
         *[F.expr(f"CAST(sum({c}) AS BIGINT) AS {c}") for c in [*COUNT_COLUMNS, "_d", *MEASURES]]
     )
