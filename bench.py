@@ -33,7 +33,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, shuffle_partitions=cpus)
+    min_part = os.environ.get("BENCH_MIN_PARTITION", "")
+    spark = local_session(cpus, shuffle_partitions=cpus, min_partition_size=min_part or None)
     times: dict[str, float] = {}
     for name in names:
         run = REGISTRY[name].run

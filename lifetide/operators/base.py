@@ -14,9 +14,8 @@ def calendar(events: DataFrame) -> DataFrame:
     by the calendar span, never by the event count.  No events, or only NULL
     times, give no rows.
     """
-    day = F.to_date("event_time")
-    bounds = events.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-    return bounds.select(F.explode(F.sequence("lo", "hi")).alias("day"))
+    bounds = events.agg(F.expr("min(to_date(event_time)) AS lo"), F.expr("max(to_date(event_time)) AS hi"))
+    return bounds.selectExpr("explode(sequence(lo, hi)) AS day")
 
 
 def dim_users(events: DataFrame) -> DataFrame:
@@ -31,16 +30,16 @@ def dim_users(events: DataFrame) -> DataFrame:
     AQE splits any remaining skewed partition.
     """
     firsts = (
-        events.where(F.col("user_id").isNotNull() & F.col("event_time").isNotNull())
+        events.where("user_id IS NOT NULL AND event_time IS NOT NULL")
         .groupBy("user_id")
         .agg(F.min("event_time").alias("first_event_time"))
     )
-    details = events.select(
+    details = events.selectExpr(
         "user_id",
-        F.col("event_time").alias("first_event_time"),
-        F.col("platform").alias("first_platform"),
-        F.col("utm_source").alias("first_utm_source"),
-        F.col("country").alias("first_country"),
+        "event_time AS first_event_time",
+        "platform AS first_platform",
+        "utm_source AS first_utm_source",
+        "country AS first_country",
     )
     return details.join(firsts, ["user_id", "first_event_time"], "inner").select(
         "user_id", "first_event_time", "first_platform", "first_utm_source", "first_country"
@@ -70,16 +69,16 @@ def event_ordinal(events: DataFrame, bucket: str = "hour") -> DataFrame:
     group and NULL times sort first, like ascending SQL order.
     """
     keys = ["_uk", "_un", "_bk", "_bn"]
-    b = F.date_trunc(bucket, "event_time")
     # Non-null join/partition keys, so the join output partitioning is reused
     # by the per-bucket window (a null-safe join would re-shuffle the events).
-    ev = events.select(
+    b = f"date_trunc('{bucket}', event_time)"
+    ev = events.selectExpr(
         "user_id",
         "event_time",
-        F.coalesce(F.col("user_id"), F.lit(0)).alias("_uk"),
-        F.col("user_id").isNull().alias("_un"),
-        F.coalesce(b, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias("_bk"),
-        b.isNull().alias("_bn"),
+        "coalesce(user_id, 0) AS _uk",
+        "user_id IS NULL AS _un",
+        f"coalesce({b}, TIMESTAMP_NTZ '1970-01-01 00:00:00') AS _bk",
+        f"{b} IS NULL AS _bn",
     )
     counts = ev.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     before = (
@@ -89,11 +88,8 @@ def event_ordinal(events: DataFrame, bucket: str = "hour") -> DataFrame:
     )
     bases = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     within = Window.partitionBy(*keys).orderBy(F.col("event_time").asc_nulls_first())
-    return (
-        ev.join(bases, keys, "inner")
-        .select(
-            "user_id",
-            "event_time",
-            (F.col("_base") + F.row_number().over(within)).cast("bigint").alias("session_number"),
-        )
+    return ev.join(bases, keys, "inner").select(
+        "user_id",
+        "event_time",
+        (F.col("_base") + F.row_number().over(within)).cast("bigint").alias("session_number"),
     )

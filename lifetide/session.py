@@ -15,8 +15,17 @@ REQUIRED_CONF = {
 }
 
 
-def local_session(cores: int = 8, shuffle_partitions: int | None = None, app_name: str = "lifetide") -> SparkSession:
-    """A local session for tests and benchmarks (UI off, no extra ports)."""
+def local_session(
+    cores: int = 8,
+    shuffle_partitions: int | None = None,
+    app_name: str = "lifetide",
+    min_partition_size: str | None = None,
+) -> SparkSession:
+    """A local session for tests and benchmarks (UI off, no extra ports).
+
+    ``min_partition_size`` lowers AQE's coalescing floor so that small test
+    inputs still spread over all local cores (a cluster keeps its own
+    advisory size, typically 64-256 MB)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -26,6 +35,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app_nam
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if min_partition_size:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", min_partition_size)
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
