@@ -31,10 +31,12 @@ def test_registry_matches_oracle_sf0001(spark, name):
     assert ok, msg
 
 
-def random_events(seed: int, n: int = 600) -> pd.DataFrame:
+def random_events(seed: int, n: int = 600, hot_share: float = 0.0) -> pd.DataFrame:
+    """Random driver-shaped ``events`` rows; ``hot_share`` of them go to user 1."""
     rng = np.random.default_rng(seed)
     start = dt.datetime(2024, 1, 20)
     users = rng.integers(1, 12, n).astype("float")
+    users[rng.random(n) < hot_share] = 1
     users[rng.random(n) < 0.03] = np.nan
     # Users are active in bursts separated by gaps of days to weeks.
     day = rng.choice(np.r_[0:6, 14:17, 30:33, 45, 60:70], n)
@@ -58,10 +60,11 @@ def random_events(seed: int, n: int = 600) -> pd.DataFrame:
     })
 
 
-@pytest.fixture(scope="module", params=[7, 11])
+@pytest.fixture(scope="module", params=[(7, 0.0), (11, 0.0), (13, 0.34)], ids=["r7", "r11", "hot13"])
 def random_dir(request):
-    d = tempfile.mkdtemp(prefix=f"lifetide-rand-{request.param}-")
-    random_events(request.param).to_parquet(f"{d}/events.parquet", index=False)
+    seed, hot = request.param
+    d = tempfile.mkdtemp(prefix=f"lifetide-rand-{seed}-")
+    random_events(seed, hot_share=hot).to_parquet(f"{d}/events.parquet", index=False)
     # The orders table is unused by events keys but the views expect it.
     pd.DataFrame({
         "o_orderkey": pd.array([], dtype="int64"), "o_custkey": pd.array([], dtype="int64"),

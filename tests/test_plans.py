@@ -52,3 +52,35 @@ def test_growth_shuffles(spark, have_data):
     p = plan_text(REGISTRY["growth_daily"].run(spark, SF))
     assert p.count("Exchange hashpartitioning") == 4, p
     assert "Exchange SinglePartition" not in p
+
+
+def _operators(plan: str) -> list[tuple[int, str]]:
+    """(depth, node text) for each line of a physical plan tree."""
+    out = []
+    for line in plan.splitlines():
+        stripped = line.lstrip(" :+-")
+        if stripped:
+            out.append((len(line) - len(stripped), stripped))
+    return out
+
+
+@pytest.mark.parametrize("name", [
+    "growth_daily", "growth_weekly_orders", "growth_monthly_strict", "user_day_spine", "triangle_daily",
+    "triangle_monthly_orders",
+])
+def test_per_user_windows_run_on_aggregated_rows(spark, have_data, name):
+    """A user holding a third of all events must not reach a window as raw
+    rows: below every Window there is a HashAggregate before the scan."""
+    ops = _operators(plan_text(REGISTRY[name].run(spark, SF)))
+    windows = [i for i, (_, op) in enumerate(ops) if op.startswith("Window")]
+    assert windows
+    for i in windows:
+        below = [op for _, op in ops[i + 1:]]
+        scan = next(j for j, op in enumerate(below) if op.startswith("FileScan"))
+        assert any(op.startswith("HashAggregate") for op in below[:scan]), (name, ops[i][1])
+
+
+def test_event_ordinal_partitions_by_user_and_bucket(spark, have_data):
+    p = plan_text(REGISTRY["event_ordinal"].run(spark, SF))
+    row_number = next(op for _, op in _operators(p) if op.startswith("Window [row_number()"))
+    assert "_bk" in row_number and "_uk" in row_number, row_number
