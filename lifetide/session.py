@@ -65,3 +65,31 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
     sc.setCheckpointDir(fallback)
     return fallback
+
+
+def input_size_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under ``path`` (Hadoop FileSystem content summary; one
+    metadata call on the driver, no data read)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle sizing for an input of ``input_bytes``.
+
+    AQE can only merge shuffle partitions, never split them (except for skew
+    joins), so the initial count must be large enough that the first
+    shuffle (events partially aggregated per user-day) stays near
+    ``partition_bytes`` per partition; AQE then coalesces the much smaller
+    later stages.  Parquet input expands several-fold in memory, so the
+    compressed size is a conservative proxy.
+    """
+    n = max(1, min(max_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
