@@ -53,6 +53,8 @@ def build_all(
     fmt: str = "parquet",
     include_spine: bool = True,
     register_views: bool = False,
+    partition_by: dict[str, list[str]] | None = None,
+    keep_stage: bool = False,
 ) -> dict[str, str]:
     """Write all models under ``out_dir`` (a shared location on a cluster).
 
@@ -60,15 +62,21 @@ def build_all(
     gap-filled user x day tables (``growth_transactions`` and
     ``growth_accounting_frm_day``), whose size is users x active span; the
     growth tables do not need them.  ``register_views`` also exposes every
-    stored model as a temporary view of the same name.
+    stored model as a temporary view of the same name.  ``partition_by``
+    maps a model name to directory-partition columns (for example
+    ``{"growth_transactions": ["cal_month"]}``) so readers can prune by
+    period.  The staged intermediate is deleted once every model is
+    written, unless ``keep_stage``.
     """
     out = out_dir.rstrip("/")
     stage = f"{checkpoint_dir(spark).rstrip('/')}/lifetide-stage-{uuid.uuid4().hex}"
     paths: dict[str, str] = {}
 
-    def save(name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
+    parts = partition_by or {}
+
+    def save(name: str, df: DataFrame) -> None:
         path = f"{out}/{name}"
-        _write(df, path, fmt, partition_by)
+        _write(df, path, fmt, parts.get(name))
         paths[name] = path
 
     def load(name: str) -> DataFrame:
@@ -105,7 +113,16 @@ def build_all(
         periods = user_periods(activity.withColumnRenamed("day", "event_time"), grain)
         save(f"triangle_retention_{name}", triangle(events, grain, periods=periods))
         save(f"cohort_matrix_{name}", cohort_matrix(load(f"triangle_retention_{name}"), grain))
+    if not keep_stage:
+        _delete(spark, stage)
     if register_views:
         for name in paths:
             load(name).createOrReplaceTempView(name)
     return paths
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` through the Hadoop FileSystem API."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

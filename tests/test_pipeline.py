@@ -41,8 +41,14 @@ def test_build_all_matches_queries(spark):
     if not os.path.exists(f"{SF}/events.parquet"):
         pytest.skip("driver test data not present")
     out = tempfile.mkdtemp(prefix="lifetide-out-")
-    paths = build_all(spark, load_source(spark, SF, "events"), out, register_views=True)
+    paths = build_all(
+        spark, load_source(spark, SF, "events"), out, register_views=True,
+        partition_by={"growth_transactions": ["cal_day"]},
+    )
     assert set(SAME) <= set(paths)
+    assert any(p.startswith("cal_day=") for p in os.listdir(paths["growth_transactions"]))
+    stage_root = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    assert not [d for d in os.listdir(stage_root) if d.startswith("lifetide-stage-")]
     for model, key in SAME.items():
         stored = spark.table(model)
         want = REGISTRY[key].run(spark, SF)
