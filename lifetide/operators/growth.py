@@ -113,19 +113,26 @@ def _units(grain: str, mode: str) -> _Units:
 def active_units(activity: DataFrame, grain: str, mode: str = "parity") -> DataFrame:
     """One row per active (user, unit): unit start ``_s``, first/last active
     day in it, summed measures, and the previous active unit's start and
-    last day (NULL for the user's first unit)."""
+    last day (NULL for the user's first unit).
+
+    The lag runs over the user's active *days* (one exchange by user); the
+    previous active day of a unit's first day is the last day of the
+    previous active unit.  Rolling days up to units afterwards keeps the
+    user partitioning, so no second exchange is needed.
+    """
     u = _units(grain, mode)
     act = activity.where("user_id IS NOT NULL AND day IS NOT NULL")
+    days = act.select("user_id", "day", *MEASURES, F.lag("day").over(Window.partitionBy("user_id").orderBy("day")).alias("_pd"))
     if grain == "day":
-        per_unit = act.selectExpr("user_id", "day AS _s", "day AS _first", "day AS _last", *MEASURES)
+        per_unit = days.selectExpr("user_id", "day AS _s", "day AS _first", "day AS _last", *MEASURES, "_pd AS _prev_last")
     else:
-        per_unit = act.groupBy("user_id", F.expr(u.start("day")).alias("_s")).agg(
+        per_unit = days.groupBy("user_id", F.expr(u.start("day")).alias("_s")).agg(
             F.min("day").alias("_first"),
             F.max("day").alias("_last"),
             *[F.expr(f"CAST(sum({m}) AS BIGINT) AS {m}") for m in MEASURES],
+            F.expr("min_by(_pd, day) AS _prev_last"),
         )
-    w = Window.partitionBy("user_id").orderBy("_s")
-    return per_unit.select("*", F.lag("_s").over(w).alias("_prev_s"), F.lag("_last").over(w).alias("_prev_last"))
+    return per_unit.selectExpr("*", f"{u.start('_prev_last')} AS _prev_s")
 
 
 def _entry(kind: int, start: str, ttype: str, sub: str, counts: list[str], d: str, measures: list[str]) -> str:
