@@ -19,7 +19,7 @@ _DAY_MEASURES = [
 ]
 
 
-def user_day_activity(events: DataFrame) -> DataFrame:
+def user_day_activity(events: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Five measures per (day, user).
 
     trns_activity counts timed events; activity counts the non-miles ones
@@ -29,10 +29,11 @@ def user_day_activity(events: DataFrame) -> DataFrame:
 
     Partial aggregation runs before the shuffle, so a hot user is reduced to
     one row per day per task.  NULL users and days are kept as groups; the
-    spine and the cohort operators drop them.
+    spine and the cohort operators drop them.  ``extra`` adds further
+    aggregate expressions (SQL text) to the same pass.
     """
     return events.groupBy(F.expr("to_date(event_time)").alias("day"), "user_id").agg(
-        *[F.expr(e) for e in _DAY_MEASURES]
+        *[F.expr(e) for e in _DAY_MEASURES + (extra or [])]
     )
 
 

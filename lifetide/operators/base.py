@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def calendar(events: DataFrame) -> DataFrame:
+def calendar(events: DataFrame, time_col: str = "event_time") -> DataFrame:
     """Every date from the first to the last event date, both included.
 
     One global min/max (partial aggregates per task, one row to the driver
@@ -14,11 +14,11 @@ def calendar(events: DataFrame) -> DataFrame:
     by the calendar span, never by the event count.  No events, or only NULL
     times, give no rows.
     """
-    bounds = events.agg(F.expr("min(to_date(event_time)) AS lo"), F.expr("max(to_date(event_time)) AS hi"))
+    bounds = events.agg(F.expr(f"min(to_date({time_col})) AS lo"), F.expr(f"max(to_date({time_col})) AS hi"))
     return bounds.selectExpr("explode(sequence(lo, hi)) AS day")
 
 
-def dim_users(events: DataFrame) -> DataFrame:
+def dim_users(events: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """First-touch attributes per user.
 
     The first event time comes from a partially aggregated ``min`` (a hot
@@ -28,12 +28,15 @@ def dim_users(events: DataFrame) -> DataFrame:
     the inner join, so they drop out.  The join is a shuffle join keyed on
     both columns, so a hot user is spread over its distinct timestamps, and
     AQE splits any remaining skewed partition.
+
+    ``firsts`` may pass precomputed (user_id, first_event_time) rows.
     """
-    firsts = (
-        events.where("user_id IS NOT NULL AND event_time IS NOT NULL")
-        .groupBy("user_id")
-        .agg(F.min("event_time").alias("first_event_time"))
-    )
+    if firsts is None:
+        firsts = (
+            events.where("user_id IS NOT NULL AND event_time IS NOT NULL")
+            .groupBy("user_id")
+            .agg(F.min("event_time").alias("first_event_time"))
+        )
     details = events.selectExpr(
         "user_id",
         "event_time AS first_event_time",

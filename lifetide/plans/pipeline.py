@@ -16,6 +16,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lifetide.operators import (
     calendar,
@@ -82,17 +83,27 @@ def build_all(
     def load(name: str) -> DataFrame:
         return spark.read.format(fmt).load(paths[name])
 
-    # Leaves that read the raw events directly.
-    save("calendar", calendar(events))
-    save("dim_users", dim_users(events))
+    # Shared intermediate: one aggregation of the raw events, staged in the
+    # shared checkpoint folder.  It also carries each user-day's first event
+    # time, so the first-touch table needs no second aggregation of the events.
+    _write(
+        user_day_activity(events, extra=["min(event_time) AS _first_time"]),
+        f"{stage}/user_day_activity",
+        "parquet",
+    )
+    staged = spark.read.parquet(f"{stage}/user_day_activity")
+    activity = staged.drop("_first_time")
+
+    save("calendar", calendar(activity, time_col="day"))
+    firsts = (
+        staged.where("user_id IS NOT NULL AND _first_time IS NOT NULL")
+        .groupBy("user_id")
+        .agg(F.min("_first_time").alias("first_event_time"))
+    )
+    save("dim_users", dim_users(events, firsts=firsts))
     save("fct_events", fact_events(events))
     save("event_ordinal", event_ordinal(events))
 
-    # Shared intermediate: one aggregation of the raw events, staged in the
-    # shared checkpoint folder.
-    _write(user_day_activity(events), f"{stage}/user_day_activity", "parquet")
-    activity = spark.read.parquet(f"{stage}/user_day_activity")
-
     if include_spine:
         save("growth_transactions", user_day_spine(activity))
         save("growth_accounting_frm_day", user_day_status(load("growth_transactions")))
