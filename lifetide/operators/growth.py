@@ -9,8 +9,9 @@ user x day spine is never built here.
 
 * Each active unit (a day, a (Sunday week, month) piece, a week or a month)
   of a user is one row carrying its summed measures.  One window over the
-  user's active units (bounded by the calendar span, whatever the event
-  count) gives the previous active unit.
+  user's active days (bounded by the calendar span, whatever the event
+  count) gives each unit the previous active day, hence the previous
+  active unit.
 * An active unit is new when it is the user's first; otherwise retained or
   resurrected by whether the previous *calendar* unit was active (``day``
   and the ``strict`` modes).  In ``parity`` week / month mode the lag runs
@@ -111,9 +112,9 @@ def _units(grain: str, mode: str) -> _Units:
 
 
 def active_units(activity: DataFrame, grain: str, mode: str = "parity") -> DataFrame:
-    """One row per active (user, unit): unit start ``_s``, first/last active
-    day in it, summed measures, and the previous active unit's start and
-    last day (NULL for the user's first unit).
+    """One row per active (user, unit): unit start ``_s``, summed measures,
+    and the previous active unit's start ``_prev_s`` and last active day
+    ``_prev_last`` (NULL for the user's first unit).
 
     The lag runs over the user's active *days* (one exchange by user); the
     previous active day of a unit's first day is the last day of the
@@ -122,14 +123,14 @@ def active_units(activity: DataFrame, grain: str, mode: str = "parity") -> DataF
     """
     u = _units(grain, mode)
     act = activity.where("user_id IS NOT NULL AND day IS NOT NULL")
-    days = act.select("user_id", "day", *MEASURES, F.lag("day").over(Window.partitionBy("user_id").orderBy("day")).alias("_pd"))
+    prev_day = F.lag("day").over(Window.partitionBy("user_id").orderBy("day"))
+    days = act.select("user_id", "day", *MEASURES, prev_day.alias("_pd"))
     if grain == "day":
-        per_unit = days.selectExpr("user_id", "day AS _s", "day AS _first", "day AS _last", *MEASURES, "_pd AS _prev_last")
+        per_unit = days.selectExpr("user_id", "day AS _s", *MEASURES, "_pd AS _prev_last")
     else:
         per_unit = days.groupBy("user_id", F.expr(u.start("day")).alias("_s")).agg(
-            F.min("day").alias("_first"),
-            F.max("day").alias("_last"),
             *[F.expr(f"CAST(sum({m}) AS BIGINT) AS {m}") for m in MEASURES],
+            # The previous active day of the unit's first day.
             F.expr("min_by(_pd, day) AS _prev_last"),
         )
     return per_unit.selectExpr("*", f"{u.start('_prev_last')} AS _prev_s")
