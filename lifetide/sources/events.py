@@ -52,9 +52,21 @@ def conform_events(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def read_event_stream(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a stored ``event_stream`` table (any Spark batch format)."""
-    return conform_events(spark.read.format(fmt).load(path))
+TEXT_FORMATS = ("csv", "json", "text")
+
+
+def read_event_stream(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
+    """Read a stored ``event_stream`` table in any Spark batch format.
+
+    Self-describing formats (parquet, orc, ...) keep their stored types and
+    are cast to ``EVENT_SCHEMA``; text formats are read with the declared
+    schema, so no inference pass runs over the data.  ``options`` go to the
+    reader (for example ``header="true"`` for CSV).
+    """
+    reader = spark.read.format(fmt).options(**options)
+    if fmt in TEXT_FORMATS:
+        reader = reader.schema(EVENT_SCHEMA)
+    return conform_events(reader.load(path))
 
 
 def _case_index(expr: str, values: list[str]) -> str:
