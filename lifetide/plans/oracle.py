@@ -1,11 +1,18 @@
-"""Independent DuckDB SQL for every registered query.
-
-The SQL follows the *literal* shape of the published models (calendar theta
-join, DISTINCT, COUNT(DISTINCT), UNPIVOT, self-joins), so it checks the
-Spark rewrites against unrewritten semantics.  DuckDB dialect notes: DATE()
-is a cast, Sunday weeks are ``d - dayofweek(d)`` (0 = Sunday), month
-truncation returns a TIMESTAMP and is cast back, SUM(BIGINT) is HUGEINT and
-is cast back, ascending NULLs sort last unless told otherwise.
+"""DuckDB SQL for every registered query: a brute-force specification.
+
+Each query is written the plain, quadratic way, independently of the Spark
+operators: the user x day grid is a range join of the calendar with every
+user's first..last active day; "previous day active" is a self-join on the
+day before; status counts are ``COUNT(DISTINCT user_id) FILTER (...)`` per
+group; the long format is a ``UNION ALL`` per label; week / month pieces are
+numbered per user; cohorts come from a per-user ``min``.  None of the Spark
+shortcuts (sequence-built spine, gap sweep, plain counts, days-first roll-up)
+is used here, so the differential tests check them against the definition.
+
+DuckDB dialect notes: dates are casts of timestamps, Sunday weeks are
+``d - dayofweek(d)`` (0 = Sunday), month truncation returns a TIMESTAMP and
+is cast back, SUM(BIGINT) is HUGEINT and is cast back, ascending NULLs sort
+last unless told otherwise.
 """
 
 from __future__ import annotations
@@ -72,6 +79,11 @@ event_stream AS (
 SOURCES = {"events": EVENTS_SOURCE, "orders": ORDERS_SOURCE}
 
 
+
+MILES = "('miles_earned', 'miles_redeemed')"
+GRAIN_COHORT = {"day": "cohort_date", "week": "cohort_week_date", "month": "cohort_month_date"}
+
+
 def _week(d: str) -> str:
     return f"({d} - CAST(dayofweek({d}) AS INTEGER))"
 
@@ -80,428 +92,323 @@ def _month(d: str) -> str:
     return f"CAST(date_trunc('month', {d}) AS DATE)"
 
 
-# -- base models ---------------------------------------------------------------
+def _with(*ctes: str) -> str:
+    return "WITH " + ",".join(ctes)
 
-CALENDAR = """
-calendar AS (
-  SELECT CAST(gs.day AS DATE) AS day
-  FROM (
-    SELECT unnest(generate_series(
-      (SELECT MIN(CAST(event_time AS DATE)) FROM event_stream),
-      (SELECT MAX(CAST(event_time AS DATE)) FROM event_stream),
-      INTERVAL 1 DAY)) AS day
-  ) gs
-)"""
 
-DIM_USERS = """
-first_event_time AS (
-  SELECT user_id, MIN(event_time) AS first_event_time
-  FROM event_stream
-  GROUP BY user_id
-),
-first_event_details AS (
-  SELECT e.user_id, e.event_time, e.platform AS first_platform,
-         e.utm_source AS first_utm_source, e.country AS first_country
-  FROM event_stream e
-  JOIN first_event_time fe ON e.user_id = fe.user_id AND e.event_time = fe.first_event_time
-),
-dim_users AS (
-  SELECT user_id, event_time AS first_event_time, first_platform, first_utm_source, first_country
-  FROM first_event_details
-)"""
+# -- shared building blocks --------------------------------------------------
 
-FCT_EVENTS = """
-fct_events AS (
-  SELECT event_time, user_id, event_type, transaction_category, miles_amount FROM event_stream
-)"""
-
-EVENT_ORDINAL = """
-event_ordinal AS (
-  SELECT user_id, event_time,
-         COUNT(*) OVER (PARTITION BY user_id ORDER BY event_time ASC NULLS FIRST
-                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_number
+DAY_MEASURES = f"""
+day_measures AS (
+  SELECT
+    CAST(event_time AS DATE) AS day,
+    user_id,
+    count(event_time) AS trns_activity,
+    count(event_time) FILTER (WHERE event_type IS NULL OR event_type NOT IN {MILES}) AS activity,
+    count(event_time) FILTER (WHERE event_type IN {MILES}) AS trns,
+    CAST(sum(CASE WHEN event_type = 'miles_earned' THEN miles_amount ELSE 0 END) AS BIGINT) AS miles_earned,
+    CAST(sum(CASE WHEN event_type = 'miles_redeemed' THEN miles_amount ELSE 0 END) AS BIGINT) AS miles_redeemed
   FROM event_stream
+  GROUP BY 1, 2
 )"""
 
-USER_ACTIVITY = """
-user_activity AS (
-  SELECT
-    CAST(ua.event_time AS DATE) AS day,
-    ua.user_id,
-    COUNT(ua.event_time) AS trns_activity,
-    COUNT(CASE WHEN ua.event_type = 'reward_search' THEN ua.event_time
-               WHEN ua.event_type IN ('miles_earned', 'miles_redeemed') THEN NULL
-               ELSE ua.event_time END) AS activity,
-    COUNT(CASE WHEN ua.event_type IN ('miles_earned', 'miles_redeemed') THEN ua.event_time ELSE NULL END) AS trns,
-    CAST(SUM(CASE WHEN ua.event_type = 'miles_earned' THEN ua.miles_amount ELSE 0 END) AS BIGINT) AS miles_earned,
-    CAST(SUM(CASE WHEN ua.event_type = 'miles_redeemed' THEN ua.miles_amount ELSE 0 END) AS BIGINT) AS miles_redeemed
-  FROM event_stream ua
-  GROUP BY CAST(ua.event_time AS DATE), ua.user_id
+CALENDAR_DAYS = """
+calendar_days AS (
+  SELECT CAST(x AS DATE) AS day
+  FROM (
+    SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS x
+    FROM (SELECT min(CAST(event_time AS DATE)) AS lo, max(CAST(event_time AS DATE)) AS hi FROM event_stream) bounds
+  ) series
 )"""
 
-# growth_transactions: calendar theta join, DISTINCT, windows, trim, measures.
-GROWTH_TRANSACTIONS = """
-all_data AS (
-  SELECT ad.user_id, CAST(ad.event_time AS DATE) AS day
-  FROM event_stream ad
-  GROUP BY ad.user_id, CAST(ad.event_time AS DATE)
-),
-logged_data AS (
-  SELECT ld.user_id, ld.day, MIN(ld.day) AS first_seen, MAX(ld.day) AS last_trns
-  FROM all_data ld
-  GROUP BY ld.user_id, ld.day
-),
-with_calendar_days AS (
-  SELECT
-    c.user_id, c.cal_day, c.trns_day,
-    LAG(c.trns_day) OVER (PARTITION BY c.user_id ORDER BY c.cal_day) AS prev_day,
-    MIN(c.first_seen) OVER (PARTITION BY c.user_id) AS first_seen,
-    MAX(c.trns_day) OVER (PARTITION BY c.user_id) AS last_trns
-  FROM (
-    SELECT f.user_id, f.cal_day, g.day AS trns_day, g.first_seen
-    FROM (
-      SELECT DISTINCT e.user_id, d.day AS cal_day
-      FROM calendar AS d
-      LEFT JOIN logged_data e ON d.day >= e.day
-    ) f
-    LEFT JOIN logged_data g ON f.user_id = g.user_id AND f.cal_day = g.day
-  ) c
-),
-range_raw AS (
-  SELECT DISTINCT h.user_id, h.first_seen, h.last_trns FROM with_calendar_days h
+# Every calendar day of every user's active span, its measures and whether
+# the calendar day before was active.
+SPINE = """
+user_span AS (
+  SELECT user_id, min(day) AS first_day, max(day) AS last_day
+  FROM day_measures
+  WHERE user_id IS NOT NULL AND day IS NOT NULL
+  GROUP BY user_id
 ),
-growth_transactions AS (
+spine AS (
   SELECT
-    grw.user_id, grw.cal_day, grw.trns_day, grw.prev_day,
-    CASE WHEN grw.cal_day = grw.first_seen THEN TRUE ELSE FALSE END AS is_new_user,
-    grw.first_seen,
-    p_ua.trns_activity, p_ua.activity, p_ua.trns, p_ua.miles_earned, p_ua.miles_redeemed
-  FROM with_calendar_days grw
-  INNER JOIN range_raw j
-    ON grw.user_id = j.user_id AND grw.cal_day BETWEEN j.first_seen AND j.last_trns
-  LEFT JOIN user_activity p_ua
-    ON grw.user_id = p_ua.user_id AND grw.cal_day = p_ua.day
+    s.user_id,
+    c.day AS cal_day,
+    m.day AS trns_day,
+    p.day AS prev_day,
+    c.day = s.first_day AS is_new_user,
+    s.first_day AS first_seen,
+    m.trns_activity, m.activity, m.trns, m.miles_earned, m.miles_redeemed
+  FROM user_span s
+  JOIN calendar_days c ON c.day BETWEEN s.first_day AND s.last_day
+  LEFT JOIN day_measures m ON m.user_id = s.user_id AND m.day = c.day
+  LEFT JOIN day_measures p ON p.user_id = s.user_id AND p.day = c.day - 1
 )"""
 
 
-def _sub_type(prev_null_test: str, strict: bool) -> str:
-    both = "miles_earned <> 0 AND miles_redeemed <> 0" if strict else "miles_redeemed <> 0 AND miles_redeemed <> 0"
-    return f"""CASE
-      WHEN gt.activity > 0 AND gt.trns = 0 THEN 'Engagement'
-      WHEN gt.activity = 0 AND gt.trns > 0 AND {both} THEN 'Miles Earned & Redeemed'
-      WHEN gt.activity = 0 AND gt.trns > 0 AND miles_earned = 0 THEN 'Miles Redemption Only'
-      WHEN gt.activity = 0 AND gt.trns > 0 AND miles_redeemed = 0 THEN 'Miles Earned Only'
-      WHEN gt.activity > 0 AND gt.trns > 0 AND {both} THEN 'Engagement & Earn & Redeem'
-      WHEN gt.activity > 0 AND gt.trns > 0 AND miles_earned = 0 THEN 'Engagement & Miles Redemption'
-      WHEN gt.activity > 0 AND gt.trns > 0 AND miles_redeemed = 0 THEN 'Engagement & Miles Earned'
-      WHEN {prev_null_test} THEN 'Churned'
-      ELSE 'No Activity'
-    END"""
-
+def _type_case(a: str, t: str, churn: str) -> str:
+    return (
+        f"CASE WHEN {a} > 0 AND {t} > 0 THEN 'Miles & Engagement' "
+        f"WHEN {a} > 0 AND {t} = 0 THEN 'Engagement' "
+        f"WHEN {a} = 0 AND {t} > 0 THEN 'Miles' "
+        f"WHEN {churn} THEN 'Churned' ELSE 'No Activity' END"
+    )
 
-def _type(prev_null_test: str) -> str:
-    return f"""CASE
-      WHEN gt.activity > 0 AND gt.trns = 0 THEN 'Engagement'
-      WHEN gt.activity = 0 AND gt.trns > 0 THEN 'Miles'
-      WHEN gt.activity > 0 AND gt.trns > 0 THEN 'Miles & Engagement'
-      WHEN {prev_null_test} THEN 'Churned'
-      ELSE 'No Activity'
-    END"""
 
+def _sub_type_case(a: str, t: str, e: str, r: str, churn: str, strict: bool) -> str:
+    """Decision table by activity class.  Without ``strict`` the
+    earned-and-redeemed test looks at the redeemed amount only, as published."""
+    other = f"CASE WHEN {churn} THEN 'Churned' ELSE 'No Activity' END"
+    both = f"{e} <> 0 AND {r} <> 0" if strict else f"{r} <> 0"
+    miles = (
+        f"CASE WHEN {both} THEN 'Miles Earned & Redeemed' WHEN {e} = 0 THEN 'Miles Redemption Only' "
+        f"WHEN {r} = 0 THEN 'Miles Earned Only' ELSE {other} END"
+    )
+    mixed = (
+        f"CASE WHEN {both} THEN 'Engagement & Earn & Redeem' WHEN {e} = 0 THEN 'Engagement & Miles Redemption' "
+        f"WHEN {r} = 0 THEN 'Engagement & Miles Earned' ELSE {other} END"
+    )
+    return (
+        f"CASE WHEN {a} > 0 AND {t} = 0 THEN 'Engagement' "
+        f"WHEN {a} = 0 AND {t} > 0 THEN {miles} "
+        f"WHEN {a} > 0 AND {t} > 0 THEN {mixed} "
+        f"ELSE {other} END"
+    )
 
-DAY_CHURN_TEST = "gt.trns_day IS NULL AND gt.prev_day IS NOT NULL"
 
+def _labels(churn: str, strict: bool) -> str:
+    return (
+        f"{_type_case('activity', 'trns', churn)} AS trns_type, "
+        f"{_sub_type_case('activity', 'trns', 'miles_earned', 'miles_redeemed', churn, strict)} AS trns_sub_type"
+    )
 
-def _day_flags(value: str) -> str:
-    return f"""
-    CASE WHEN gt.is_new_user IS TRUE THEN {value} END AS new_user,
-    CASE WHEN gt.cal_day = gt.trns_day THEN {value} END AS active,
-    CASE WHEN gt.is_new_user IS TRUE THEN NULL
-         WHEN gt.cal_day = gt.trns_day AND gt.prev_day IS NULL THEN NULL
-         WHEN gt.cal_day = gt.trns_day AND gt.prev_day IS NOT NULL THEN {value}
-         ELSE NULL END AS retained,
-    CASE WHEN gt.is_new_user IS TRUE THEN NULL
-         WHEN gt.cal_day = gt.trns_day AND gt.prev_day IS NULL THEN {value}
-         ELSE NULL END AS resurrected,
-    CASE WHEN gt.is_new_user IS TRUE THEN NULL
-         WHEN gt.trns_day IS NULL AND gt.prev_day IS NOT NULL THEN {value}
-         ELSE NULL END AS churned"""
-
-
-USER_DAY_STATUS = f"""
-frm_day AS (
-  SELECT
-    gt.user_id,
-    {_week('gt.cal_day')} AS cal_week,
-    {_month('gt.cal_day')} AS cal_month,
-    gt.cal_day, gt.trns_day, gt.prev_day,
-    {_day_flags('CAST(1 AS BIGINT)')},
-    {_type(DAY_CHURN_TEST)} AS trns_type,
-    {_sub_type(DAY_CHURN_TEST, False)} AS trns_sub_type,
-    gt.trns_activity, gt.activity, gt.trns, gt.miles_earned, gt.miles_redeemed
-  FROM growth_transactions gt
-)"""
 
-GROWTH_DAILY_ROWS = f"""
-growth_daily AS (
+# Spine rows with the three facts every status is made of, and the labels.
+LABELLED_DAYS = f"""
+labelled_days AS (
   SELECT
-    gt.user_id, gt.cal_day, {_month('gt.cal_day')} AS cal_month, gt.trns_day, gt.prev_day,
-    {_day_flags('gt.user_id')},
-    {_type(DAY_CHURN_TEST)} AS trns_type,
-    {_sub_type(DAY_CHURN_TEST, False)} AS trns_sub_type,
-    gt.trns_activity, gt.activity, gt.trns, gt.miles_earned, gt.miles_redeemed
-  FROM growth_transactions gt
-)"""
-
-
-def _consolidate(src: str, keys: list[str]) -> str:
-    k = ", ".join(f"l.{c}" for c in keys)
-    return f"""
-consolidate_table AS (
-  SELECT {k}, l.trns_type, l.trns_sub_type,
-    COUNT(DISTINCT l.active) AS active,
-    COUNT(DISTINCT l.new_user) AS new_users,
-    COUNT(DISTINCT l.retained) AS retained,
-    COUNT(DISTINCT l.resurrected) AS resurrected,
-    COUNT(DISTINCT l.churned) AS pos_churned,
-    COUNT(DISTINCT l.churned) * -1 AS neg_churned,
-    CAST(SUM(l.trns_activity) AS BIGINT) AS trns_activity,
-    CAST(SUM(l.activity) AS BIGINT) AS activity,
-    CAST(SUM(l.trns) AS BIGINT) AS trns,
-    CAST(SUM(l.miles_earned) AS BIGINT) AS miles_earned,
-    CAST(SUM(l.miles_redeemed) AS BIGINT) AS miles_redeemed
-  FROM {src} l
-  GROUP BY {k}, l.trns_type, l.trns_sub_type
+    *,
+    trns_day IS NOT NULL AS is_active,
+    prev_day IS NOT NULL AS was_active,
+    {_labels("trns_day IS NULL AND prev_day IS NOT NULL", False)}
+  FROM spine
 )"""
 
 
-def _breakdowns(keys: list[str]) -> str:
-    k = ", ".join(keys)
+def _status_counts(src: str, keys: list[str], select_keys: list[str]) -> str:
+    """Distinct users per status in each (period, type, sub-type) group."""
     return f"""
-breakdown_user_cnt AS (
-  SELECT * FROM (
-    SELECT {k}, trns_type, trns_sub_type,
-      CASE WHEN user_type = 'tot_churned' THEN 'TOTAL' ELSE 'BREAKDOWN' END AS type,
-      user_type, user_cnt
-    FROM (
-      SELECT {k}, trns_type, trns_sub_type, new_users, retained, resurrected,
-             pos_churned AS tot_churned, neg_churned AS churned, active
-      FROM consolidate_table
-    ) UNPIVOT (user_cnt FOR user_type IN (new_users, retained, resurrected, tot_churned, churned, active))
-  ) a
-  WHERE ((trns_type <> 'Churned' AND NOT user_type IN ('churned', 'tot_churned'))
-      OR (trns_type = 'Churned' AND user_type IN ('churned', 'tot_churned')))
-),
-breakdown_user_miles AS (
-  SELECT * FROM (
-    SELECT {k}, trns_type, trns_sub_type, 'TOTAL' AS type, miles_trns_type, miles_pct
-    FROM (
-      SELECT {k}, trns_type, trns_sub_type, miles_earned, miles_redeemed FROM consolidate_table
-    ) UNPIVOT (miles_pct FOR miles_trns_type IN (miles_earned, miles_redeemed))
-  ) a
-  WHERE NOT (trns_type IN ('Churned', 'No Activity'))
+status_groups AS (
+  SELECT
+    {", ".join(select_keys)}, trns_type, trns_sub_type,
+    count(DISTINCT user_id) FILTER (WHERE is_new_user) AS new_users,
+    count(DISTINCT user_id) FILTER (WHERE NOT is_new_user AND is_active AND was_active) AS retained,
+    count(DISTINCT user_id) FILTER (WHERE NOT is_new_user AND is_active AND NOT was_active) AS resurrected,
+    count(DISTINCT user_id) FILTER (WHERE NOT is_new_user AND NOT is_active AND was_active) AS churned_users,
+    count(DISTINCT user_id) FILTER (WHERE is_active) AS active,
+    CAST(sum(miles_earned) AS BIGINT) AS miles_earned,
+    CAST(sum(miles_redeemed) AS BIGINT) AS miles_redeemed
+  FROM {src}
+  GROUP BY {", ".join(keys)}, trns_type, trns_sub_type
 )"""
 
 
-def _final_union(keys: list[str]) -> str:
+def _long_rows(keys: list[str], with_miles: bool) -> str:
+    """One SELECT per output label over ``status_groups``."""
     k = ", ".join(keys)
-    return f"""
-SELECT {k}, trns_type, trns_sub_type, type, user_type,
-       CAST(SUM(user_cnt) AS BIGINT) AS user_cnt,
-       CAST(SUM(miles_pct) AS BIGINT) AS miles_pct
-FROM (
-  SELECT {k}, trns_type, trns_sub_type, type, user_type, user_cnt, 0 AS miles_pct
-  FROM breakdown_user_cnt
-  UNION ALL
-  SELECT {k}, trns_type, trns_sub_type, type, miles_trns_type AS user_type, 0 AS user_cnt, miles_pct
-  FROM breakdown_user_miles
-) u
-GROUP BY {k}, trns_type, trns_sub_type, type, user_type"""
-
-
-def _period_movement(grain: str, strict: bool) -> str:
-    """Per-user period roll-up of the spine plus the guarded LAG (weekly /
-    monthly models).  Parity groups weeks by (week, month) and orders the
-    lag by (week, month); strict groups by the week alone, reports it under
-    the month of its Sunday, and lags over a complete period spine."""
-    if grain == "week":
-        period = _week("gt.cal_day")
-        month = _month(_week("gt.cal_day")) if strict else _month("gt.cal_day")
-        keys_sel = f"{month} AS cal_month, {period} AS cal_period"
-        group = f"{period}, {month}"
-        order = "cal_period" if strict else "cal_period, cal_month"
-    else:
-        period = _month("gt.cal_day")
-        keys_sel = f"{period} AS cal_month, {period} AS cal_period"
-        group = period
-        order = "cal_period"
-    roll = f"""
-gt_raw AS (
-  SELECT {keys_sel}, gt.user_id,
-    SUM(CASE WHEN gt.trns_day IS NOT NULL THEN 1 ELSE 0 END) AS no_trns,
-    SUM(CASE WHEN gt.is_new_user IS TRUE THEN 1 ELSE 0 END) AS is_new_user,
-    CAST(SUM(gt.trns_activity) AS BIGINT) AS trns_activity,
-    CAST(SUM(gt.activity) AS BIGINT) AS activity,
-    CAST(SUM(gt.trns) AS BIGINT) AS trns,
-    CAST(SUM(gt.miles_earned) AS BIGINT) AS miles_earned,
-    CAST(SUM(gt.miles_redeemed) AS BIGINT) AS miles_redeemed
-  FROM growth_transactions gt
-  GROUP BY {group}, gt.user_id
-),"""
-    if not strict:
-        return roll + f"""
-gt_raw_movement AS (
-  SELECT r.*,
-    CASE WHEN r.no_trns > 0 THEN LAG(r.cal_period) OVER (PARTITION BY r.user_id ORDER BY {order}) END AS trns_prev,
-    CASE WHEN r.no_trns > 0 THEN r.cal_period END AS trns_period
-  FROM gt_raw r
-)"""
-    step = "INTERVAL 7 DAY" if grain == "week" else "INTERVAL 1 MONTH"
-    # Strict: the previous *calendar* period's activity, looked up by key.
-    return roll + f"""
-gt_raw_movement AS (
-  SELECT r.*,
-    CASE WHEN p.no_trns > 0 THEN p.cal_period END AS trns_prev,
-    CASE WHEN r.no_trns > 0 THEN r.cal_period END AS trns_period
-  FROM gt_raw r
-  LEFT JOIN gt_raw p
-    ON p.user_id = r.user_id AND p.cal_period = CAST(r.cal_period - {step} AS DATE)
-)"""
 
+    def row(kind: str, label: str, cnt: str, miles: str, where: str) -> str:
+        return (
+            f"SELECT {k}, trns_type, trns_sub_type, '{kind}' AS type, '{label}' AS user_type, "
+            f"CAST({cnt} AS BIGINT) AS user_cnt, CAST({miles} AS BIGINT) AS miles_pct "
+            f"FROM status_groups WHERE {where}"
+        )
 
-def _period_status(grain: str, strict: bool) -> str:
-    churn = "gt.trns_period IS NULL AND gt.trns_prev IS NOT NULL"
-    week_col = "gt.cal_period AS cal_week," if grain == "week" else ""
-    return f"""
-growth_period AS (
-  SELECT
-    gt.user_id, gt.cal_month, {week_col}
-    CASE WHEN gt.is_new_user = 1 THEN gt.user_id END AS new_user,
-    CASE WHEN gt.cal_period = gt.trns_period THEN gt.user_id END AS active,
-    CASE WHEN gt.is_new_user = 1 THEN NULL
-         WHEN gt.cal_period = gt.trns_period AND gt.trns_prev IS NULL THEN NULL
-         WHEN gt.cal_period = gt.trns_period AND gt.trns_prev IS NOT NULL THEN gt.user_id
-         ELSE NULL END AS retained,
-    CASE WHEN gt.is_new_user = 1 THEN NULL
-         WHEN gt.cal_period = gt.trns_period AND gt.trns_prev IS NULL THEN gt.user_id
-         ELSE NULL END AS resurrected,
-    CASE WHEN gt.is_new_user = 1 THEN NULL
-         WHEN {churn} THEN gt.user_id
-         ELSE NULL END AS churned,
-    {_type(churn)} AS trns_type,
-    {_sub_type(churn, strict)} AS trns_sub_type,
-    gt.trns_activity, gt.activity, gt.trns, gt.miles_earned, gt.miles_redeemed
-  FROM gt_raw_movement gt
-)"""
-
-
-def _with(*ctes: str) -> str:
-    return "WITH " + ",".join(ctes)
+    not_churn = "trns_type <> 'Churned'"
+    is_churn = "trns_type = 'Churned'"
+    parts = [row("BREAKDOWN", lab, lab, "0", not_churn) for lab in ("new_users", "retained", "resurrected", "active")]
+    parts.append(row("TOTAL", "tot_churned", "churned_users", "0", is_churn))
+    parts.append(row("BREAKDOWN", "churned", "-churned_users", "0", is_churn))
+    if with_miles:
+        for m in ("miles_earned", "miles_redeemed"):
+            parts.append(row("TOTAL", m, "0", m, f"trns_type NOT IN ('Churned', 'No Activity') AND {m} IS NOT NULL"))
+    return "\nUNION ALL\n".join(parts)
 
 
 def _spine_ctes(source: str) -> list[str]:
-    return [SOURCES[source], CALENDAR, USER_ACTIVITY, GROWTH_TRANSACTIONS]
+    return [SOURCES[source], DAY_MEASURES, CALENDAR_DAYS, SPINE]
 
 
 # -- query builders --------------------------------------------------------------
 
 
 def calendar_sql(source: str) -> str:
-    return _with(SOURCES[source], CALENDAR) + "\nSELECT day FROM calendar"
+    return _with(SOURCES[source], CALENDAR_DAYS) + "\nSELECT day FROM calendar_days"
 
 
 def dim_users_sql(source: str) -> str:
-    return _with(SOURCES[source], DIM_USERS) + "\nSELECT * FROM dim_users"
+    return _with(SOURCES[source]) + """
+SELECT e.user_id, e.event_time AS first_event_time, e.platform AS first_platform,
+       e.utm_source AS first_utm_source, e.country AS first_country
+FROM event_stream e
+WHERE e.event_time = (SELECT min(x.event_time) FROM event_stream x WHERE x.user_id = e.user_id)"""
 
 
 def fct_events_sql(source: str) -> str:
-    return _with(SOURCES[source], FCT_EVENTS) + "\nSELECT * FROM fct_events"
+    return _with(SOURCES[source]) + (
+        "\nSELECT event_time, user_id, event_type, transaction_category, miles_amount FROM event_stream"
+    )
 
 
 def event_ordinal_sql(source: str) -> str:
-    return _with(SOURCES[source], EVENT_ORDINAL) + "\nSELECT * FROM event_ordinal"
+    return _with(SOURCES[source]) + """
+SELECT user_id, event_time,
+       row_number() OVER (PARTITION BY user_id ORDER BY event_time ASC NULLS FIRST) AS session_number
+FROM event_stream"""
 
 
 def user_day_activity_sql(source: str) -> str:
-    return _with(SOURCES[source], USER_ACTIVITY) + "\nSELECT * FROM user_activity"
+    return _with(SOURCES[source], DAY_MEASURES) + "\nSELECT * FROM day_measures"
 
 
 def user_day_spine_sql(source: str) -> str:
-    return _with(*_spine_ctes(source)) + "\nSELECT * FROM growth_transactions"
+    return _with(*_spine_ctes(source)) + """
+SELECT user_id, cal_day, trns_day, prev_day, is_new_user, first_seen,
+       trns_activity, activity, trns, miles_earned, miles_redeemed
+FROM spine"""
 
 
 def user_day_status_sql(source: str) -> str:
-    return _with(*_spine_ctes(source), USER_DAY_STATUS) + "\nSELECT * FROM frm_day"
+    one = "CAST(1 AS BIGINT)"
+    return _with(*_spine_ctes(source), LABELLED_DAYS) + f"""
+SELECT
+  user_id, {_week('cal_day')} AS cal_week, {_month('cal_day')} AS cal_month, cal_day, trns_day, prev_day,
+  CASE WHEN is_new_user THEN {one} END AS new_user,
+  CASE WHEN is_active THEN {one} END AS active,
+  CASE WHEN NOT is_new_user AND is_active AND was_active THEN {one} END AS retained,
+  CASE WHEN NOT is_new_user AND is_active AND NOT was_active THEN {one} END AS resurrected,
+  CASE WHEN NOT is_new_user AND NOT is_active AND was_active THEN {one} END AS churned,
+  trns_type, trns_sub_type,
+  trns_activity, activity, trns, miles_earned, miles_redeemed
+FROM labelled_days"""
 
 
 def growth_daily_sql(source: str) -> str:
     keys = ["cal_day", "cal_month"]
-    return _with(
-        *_spine_ctes(source), GROWTH_DAILY_ROWS, _consolidate("growth_daily", keys), _breakdowns(keys)
-    ) + _final_union(keys)
-
-
-def growth_period_sql(source: str, grain: str, strict: bool = False) -> str:
-    keys = ["cal_week", "cal_month"] if grain == "week" else ["cal_month"]
     return _with(
         *_spine_ctes(source),
-        _period_movement(grain, strict),
-        _period_status(grain, strict),
-        _consolidate("growth_period", keys),
-        _breakdowns(keys),
-    ) + _final_union(keys)
+        LABELLED_DAYS,
+        _status_counts("labelled_days", ["cal_day"], ["cal_day", f"{_month('cal_day')} AS cal_month"]),
+    ) + "\n" + _long_rows(keys, with_miles=True)
 
 
 def growth_consolidated_sql(source: str) -> str:
-    keys = ["cal_day"]
+    counts = _long_rows(["cal_day"], with_miles=False)
     return _with(
-        *_spine_ctes(source), GROWTH_DAILY_ROWS, _consolidate("growth_daily", keys), _breakdowns(keys)
+        *_spine_ctes(source),
+        LABELLED_DAYS,
+        _status_counts("labelled_days", ["cal_day"], ["cal_day"]),
     ) + f"""
 SELECT cal_day, {_week('cal_day')} AS cal_week, {_month('cal_day')} AS cal_month,
        trns_type, trns_sub_type, type, user_type, user_cnt
-FROM breakdown_user_cnt"""
+FROM ({counts}) c"""
 
 
-def _triangle_ctes(grain: str) -> str:
-    if grain == "day":
-        p, cohort, offset = "CAST(event_time AS DATE)", "cohort_date", "date_diff('day', cohort, event_period)"
-    elif grain == "week":
-        p = _week("CAST(event_time AS DATE)")
-        cohort, offset = "cohort_week_date", "date_diff('day', cohort, event_period) // 7"
+def growth_period_sql(source: str, grain: str, strict: bool = False) -> str:
+    """Week / month growth from per-user period pieces of the day grid.
+
+    Published (``strict=False``): a week is split at month ends; a piece
+    counts as new when it holds the user's first day, and an active piece has
+    a known predecessor whenever it is not the user's first piece (the
+    previous piece always exists on the grid).  Strict: whole weeks under the
+    month of their Sunday, or months; the predecessor is the previous
+    calendar period, known when the user was active in it.
+    """
+    if grain == "week":
+        period = _week("cal_day")
+        month = _month(period) if strict else _month("cal_day")
+        keys = ["cal_week", "cal_month"]
+        piece_keys = f"{period} AS cal_week, {month} AS cal_month"
+        order = "cal_week" if strict else "cal_week, cal_month"
+        period_col = "cal_week"
+        step = "INTERVAL 7 DAY"
+    elif grain == "month":
+        keys = ["cal_month"]
+        piece_keys = f"{_month('cal_day')} AS cal_month"
+        order = "cal_month"
+        period_col = "cal_month"
+        step = "INTERVAL 1 MONTH"
+    else:
+        raise ValueError(grain)
+    pieces = f"""
+pieces AS (
+  SELECT
+    user_id, {piece_keys},
+    bool_or(trns_day IS NOT NULL) AS is_active,
+    bool_or(is_new_user) AS is_new_user,
+    CAST(sum(trns_activity) AS BIGINT) AS trns_activity,
+    CAST(sum(activity) AS BIGINT) AS activity,
+    CAST(sum(trns) AS BIGINT) AS trns,
+    CAST(sum(miles_earned) AS BIGINT) AS miles_earned,
+    CAST(sum(miles_redeemed) AS BIGINT) AS miles_redeemed
+  FROM spine
+  GROUP BY ALL
+)"""
+    if strict:
+        known = f"""
+with_prev AS (
+  SELECT p.*, coalesce(q.is_active, FALSE) AS was_active
+  FROM pieces p
+  LEFT JOIN pieces q
+    ON q.user_id = p.user_id AND q.{period_col} = CAST(p.{period_col} - {step} AS DATE)
+)"""
     else:
-        p = _month("CAST(event_time AS DATE)")
-        cohort = "cohort_month_date"
-        offset = "(year(event_period) - year(cohort)) * 12 + (month(event_period) - month(cohort))"
+        known = f"""
+with_prev AS (
+  SELECT *, is_active AND row_number() OVER (PARTITION BY user_id ORDER BY {order}) > 1 AS was_active
+  FROM pieces
+)"""
+    labelled = f"""
+labelled_pieces AS (
+  SELECT *, {_labels("NOT is_active AND was_active", strict)}
+  FROM with_prev
+)"""
+    return _with(
+        *_spine_ctes(source), pieces, known, labelled, _status_counts("labelled_pieces", keys, keys)
+    ) + "\n" + _long_rows(keys, with_miles=True)
+
+
+def _triangle_ctes(grain: str) -> str:
+    day = "CAST(event_time AS DATE)"
+    period = {"day": day, "week": _week(day), "month": _month(day)}[grain]
+    offset = {
+        "day": "date_diff('day', r.cohort, r.period)",
+        "week": "date_diff('day', r.cohort, r.period) // 7",
+        "month": "(year(r.period) - year(r.cohort)) * 12 + (month(r.period) - month(r.cohort))",
+    }[grain]
     return f"""
-user_cohorts AS (
-  SELECT user_id, MIN({p}) AS cohort FROM event_stream GROUP BY user_id
-),
-user_events AS (
-  SELECT user_id, {p} AS event_period FROM event_stream GROUP BY user_id, {p}
+user_periods AS (
+  SELECT DISTINCT user_id, {period} AS period FROM event_stream WHERE user_id IS NOT NULL
 ),
-cohort_activity AS (
-  SELECT uc.cohort, ue.event_period, ue.user_id
-  FROM user_cohorts uc JOIN user_events ue USING (user_id)
+first_period AS (
+  SELECT user_id, min(period) AS cohort FROM user_periods GROUP BY user_id
 ),
-cohort_counts AS (
-  SELECT cohort, event_period, CAST({offset} AS BIGINT) AS period_offset,
-         COUNT(DISTINCT user_id) AS users
-  FROM cohort_activity
-  GROUP BY cohort, event_period, period_offset
-),
-cohort_size AS (
-  SELECT cohort, users AS size FROM cohort_counts WHERE period_offset = 0
+period_users AS (
+  SELECT f.cohort, u.period, count(DISTINCT u.user_id) AS users
+  FROM user_periods u JOIN first_period f ON f.user_id = u.user_id
+  GROUP BY f.cohort, u.period
 ),
 triangle AS (
   SELECT
-    {_month('cc.event_period')} AS cal_month,
-    {_month('cc.cohort')} AS cohort_ref_month,
-    cc.cohort AS {cohort},
-    cc.period_offset,
-    cc.users,
-    cs.size AS cohort_size,
-    CASE WHEN cs.size = 0 THEN NULL ELSE CAST(cc.users AS DOUBLE) / cs.size END AS retention_rate
-  FROM cohort_counts cc JOIN cohort_size cs USING (cohort)
+    {_month('r.period')} AS cal_month,
+    {_month('r.cohort')} AS cohort_ref_month,
+    r.cohort AS {GRAIN_COHORT[grain]},
+    CAST({offset} AS BIGINT) AS period_offset,
+    r.users,
+    z.users AS cohort_size,
+    CASE WHEN z.users = 0 THEN NULL ELSE CAST(r.users AS DOUBLE) / z.users END AS retention_rate
+  FROM period_users r
+  JOIN period_users z ON z.cohort = r.cohort AND z.period = z.cohort
 )"""
 
 
@@ -510,7 +417,7 @@ def triangle_sql(source: str, grain: str) -> str:
 
 
 def cohort_matrix_sql(source: str, grain: str) -> str:
-    cohort = {"day": "cohort_date", "week": "cohort_week_date", "month": "cohort_month_date"}[grain]
+    cohort = GRAIN_COHORT[grain]
     return _with(SOURCES[source], _triangle_ctes(grain)) + f"""
 SELECT * FROM (
   PIVOT (SELECT {cohort}, period_offset, retention_rate FROM triangle WHERE period_offset IS NOT NULL)
@@ -530,32 +437,28 @@ def status_report_sql(growth_sql: str, keys: list[str]) -> str:
 
 
 def transaction_breakdown_sql(source: str, grain: str) -> str:
-    """Active user-periods by transaction type (type from the period sums)."""
-    if grain == "day":
-        period = "gt.cal_day"
-    elif grain == "week":
-        period = _week("gt.cal_day")
-    else:
-        period = _month("gt.cal_day")
-    return _with(*_spine_ctes(source)) + f"""
+    """Active users per period and transaction type (type from the period sums)."""
+    period = {"day": "day", "week": _week("day"), "month": _month("day")}[grain]
+    return _with(SOURCES[source], DAY_MEASURES) + f"""
 , per_period AS (
-  SELECT {period} AS period_start, gt.user_id,
-    CAST(SUM(gt.trns_activity) AS BIGINT) AS trns_activity,
-    CAST(SUM(gt.activity) AS BIGINT) AS activity,
-    CAST(SUM(gt.trns) AS BIGINT) AS trns,
-    CAST(SUM(gt.miles_earned) AS BIGINT) AS miles_earned,
-    CAST(SUM(gt.miles_redeemed) AS BIGINT) AS miles_redeemed
-  FROM growth_transactions gt
-  WHERE gt.trns_day IS NOT NULL
-  GROUP BY {period}, gt.user_id
+  SELECT {period} AS period_start, user_id,
+    CAST(sum(trns_activity) AS BIGINT) AS trns_activity,
+    CAST(sum(activity) AS BIGINT) AS activity,
+    CAST(sum(trns) AS BIGINT) AS trns,
+    CAST(sum(miles_earned) AS BIGINT) AS miles_earned,
+    CAST(sum(miles_redeemed) AS BIGINT) AS miles_redeemed
+  FROM day_measures
+  WHERE user_id IS NOT NULL AND day IS NOT NULL
+  GROUP BY 1, 2
 ),
 labelled AS (
-  SELECT gt.*, {_type('FALSE')} AS trns_type FROM per_period gt
+  SELECT *, {_type_case('activity', 'trns', 'FALSE')} AS trns_type FROM per_period
 )
 SELECT period_start, trns_type,
-       COUNT(*) AS users,
-       CAST(SUM(trns_activity) AS BIGINT) AS events,
-       CAST(SUM(miles_earned) AS BIGINT) AS miles_earned,
-       CAST(SUM(miles_redeemed) AS BIGINT) AS miles_redeemed
+       count(*) AS users,
+       CAST(sum(trns_activity) AS BIGINT) AS events,
+       CAST(sum(miles_earned) AS BIGINT) AS miles_earned,
+       CAST(sum(miles_redeemed) AS BIGINT) AS miles_redeemed
 FROM labelled
+WHERE trns_type IN ('Engagement', 'Miles', 'Miles & Engagement')
 GROUP BY period_start, trns_type"""
