@@ -64,11 +64,11 @@ def trns_sub_type_sql(
     """Nine ordered branches.
 
     ``strict=False`` keeps the published rule, whose "earned and redeemed"
-    branches test the redeemed amount twice, so any redemption reads as
+    branches look at the redeemed amount only, so any redemption reads as
     "Earned & Redeemed".  ``strict=True`` tests earned and redeemed.
     """
     a, t, e, r = activity, trns, earned, redeemed
-    both = f"{e} <> 0 AND {r} <> 0" if strict else f"{r} <> 0 AND {r} <> 0"
+    both = f"{e} <> 0 AND {r} <> 0" if strict else f"{r} <> 0"
     miles_only = f"{a} = 0 AND {t} > 0"
     mixed = f"{a} > 0 AND {t} > 0"
     return (
