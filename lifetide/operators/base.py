@@ -18,34 +18,33 @@ def calendar(events: DataFrame, time_col: str = "event_time") -> DataFrame:
     return bounds.selectExpr("explode(sequence(lo, hi)) AS day")
 
 
-def dim_users(events: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
-    """First-touch attributes per user.
-
-    The first event time comes from a partially aggregated ``min`` (a hot
-    user costs one row per task), then the events are joined back on
-    (user_id, event_time).  Ties at the first instant keep one row each,
-    which ``min_by`` would collapse.  NULL users and NULL times never match
-    the inner join, so they drop out.  The join is a shuffle join keyed on
-    both columns, so a hot user is spread over its distinct timestamps, and
-    AQE splits any remaining skewed partition.
-
-    ``firsts`` may pass precomputed (user_id, first_event_time) rows.
+def dim_users(events: DataFrame) -> DataFrame:
+    """First-touch attributes per user: every event at the user's first
+    instant (ties keep one row each, which ``min_by`` would collapse).
+
+    ``rank() = 1`` over (user_id ORDER BY event_time), after dropping NULL
+    users and times (ascending order would put NULL times first).  Catalyst
+    turns the rank filter into a group limit that also runs *before* the
+    shuffle (WindowGroupLimit, partial): each task keeps only its local
+    first-instant rows per user, so one scan suffices, the shuffle carries
+    at most a few rows per user and task instead of every event, and a user
+    holding a third of all events arrives at its final task as a handful of
+    rows.  Only events tied at the exact first instant are all kept, as the
+    result requires.
     """
-    if firsts is None:
-        firsts = (
-            events.where("user_id IS NOT NULL AND event_time IS NOT NULL")
-            .groupBy("user_id")
-            .agg(F.min("event_time").alias("first_event_time"))
+    first = F.rank().over(Window.partitionBy("user_id").orderBy("event_time"))
+    return (
+        events.where("user_id IS NOT NULL AND event_time IS NOT NULL")
+        .select(
+            "user_id",
+            F.col("event_time").alias("first_event_time"),
+            F.col("platform").alias("first_platform"),
+            F.col("utm_source").alias("first_utm_source"),
+            F.col("country").alias("first_country"),
+            first.alias("_rank"),
         )
-    details = events.selectExpr(
-        "user_id",
-        "event_time AS first_event_time",
-        "platform AS first_platform",
-        "utm_source AS first_utm_source",
-        "country AS first_country",
-    )
-    return details.join(firsts, ["user_id", "first_event_time"], "inner").select(
-        "user_id", "first_event_time", "first_platform", "first_utm_source", "first_country"
+        .where("_rank = 1")
+        .drop("_rank")
     )
 
 

@@ -84,3 +84,12 @@ def test_event_ordinal_partitions_by_user_and_bucket(spark, have_data):
     p = plan_text(REGISTRY["event_ordinal"].run(spark, SF))
     row_number = next(op for _, op in _operators(p) if op.startswith("Window [row_number()"))
     assert "_bk" in row_number and "_uk" in row_number, row_number
+
+
+def test_dim_users_limits_groups_before_the_shuffle(spark, have_data):
+    """First touch scans once and keeps each task's local first instant per
+    user before the exchange, so a hot user is not shuffled whole."""
+    ops = [op for _, op in _operators(plan_text(REGISTRY["dim_users"].run(spark, SF)))]
+    exchange = next(i for i, op in enumerate(ops) if op.startswith("Exchange"))
+    assert any(op.startswith("WindowGroupLimit") and "Partial" in op for op in ops[exchange:])
+    assert sum(op.startswith("FileScan") for op in ops) == 1
