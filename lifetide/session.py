@@ -5,13 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings every job here relies on: UTC dates and AQE (runtime coalescing of
-# shuffle partitions and skew-join splitting).
+# Settings every job here relies on: UTC dates, AQE (runtime coalescing of
+# shuffle partitions and skew-join splitting), and the window group limit
+# that lets first touch (rank = 1) cut each user down before its shuffle.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }
 
 
