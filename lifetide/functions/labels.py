@@ -1,5 +1,7 @@
-"""Status flags and transaction-type labels as Column expressions.
+"""Status flags and transaction-type labels.
 
+The ``*_sql`` builders return Spark SQL CASE text over column names (parsed
+once in the JVM); ``trns_type`` / ``trns_sub_type`` wrap them as Columns.
 The label strings are fixed values: downstream dashboards filter on them, so
 they must be spelled exactly as below.
 """
