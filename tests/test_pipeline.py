@@ -41,14 +41,16 @@ def test_build_all_matches_queries(spark):
     if not os.path.exists(f"{SF}/events.parquet"):
         pytest.skip("driver test data not present")
     out = tempfile.mkdtemp(prefix="lifetide-out-")
+    stage_root = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    stages_before = {d for d in os.listdir(stage_root) if d.startswith("lifetide-stage-")}
     paths = build_all(
         spark, load_source(spark, SF, "events"), out, register_views=True,
         partition_by={"growth_transactions": ["cal_day"]},
     )
     assert set(SAME) <= set(paths)
     assert any(p.startswith("cal_day=") for p in os.listdir(paths["growth_transactions"]))
-    stage_root = spark.sparkContext.getCheckpointDir().replace("file:", "")
-    assert not [d for d in os.listdir(stage_root) if d.startswith("lifetide-stage-")]
+    stages_after = {d for d in os.listdir(stage_root) if d.startswith("lifetide-stage-")}
+    assert stages_after == stages_before
     for model, key in SAME.items():
         stored = spark.table(model)
         want = REGISTRY[key].run(spark, SF)
@@ -56,3 +58,17 @@ def test_build_all_matches_queries(spark):
         cw, rw = spark_rows(want)
         assert cs == cw, model
         assert sorted(map(repr, rs)) == sorted(map(repr, rw)), model
+
+
+def test_build_all_without_spine_keeps_stage_on_request(spark):
+    if not os.path.exists(f"{SF}/events.parquet"):
+        pytest.skip("driver test data not present")
+    out = tempfile.mkdtemp(prefix="lifetide-out-")
+    paths = build_all(spark, load_source(spark, SF, "orders"), out, include_spine=False, keep_stage=True)
+    assert "growth_transactions" not in paths and "growth_accounting_frm_day" not in paths
+    stored = spark.read.parquet(paths["growth_accounting_weekly"])
+    want = REGISTRY["growth_weekly_orders"].run(spark, SF)
+    assert sorted(map(repr, spark_rows(stored)[1])) == sorted(map(repr, spark_rows(want)[1]))
+    stage_root = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    staged = [d for d in os.listdir(stage_root) if d.startswith("lifetide-stage-")]
+    assert any(os.path.exists(f"{stage_root}/{d}/user_day_activity") for d in staged)
