@@ -107,6 +107,18 @@ def _build() -> dict[str, Query]:
         _on("orders", lambda ev: status_report(growth(user_day_activity(ev), "week"), _growth_keys("week"))),
         oracle.status_report_sql(oracle.growth_period_sql("orders", "week"), _growth_keys("week")),
     )
+    q["cohort_matrix_weekly_orders"] = Query(
+        _on("orders", lambda ev: cohort_matrix(triangle(ev, "week"), "week")),
+        oracle.cohort_matrix_sql("orders", "week"),
+    )
+    q["status_report_monthly_orders"] = Query(
+        _on("orders", lambda ev: status_report(growth(user_day_activity(ev), "month"), _growth_keys("month"))),
+        oracle.status_report_sql(oracle.growth_period_sql("orders", "month"), _growth_keys("month")),
+    )
+    q["transaction_breakdown_weekly_orders"] = Query(
+        _on("orders", lambda ev: transaction_breakdown(user_day_activity(ev), "week")),
+        oracle.transaction_breakdown_sql("orders", "week"),
+    )
     q["transaction_breakdown"] = Query(
         _on("events", lambda ev: transaction_breakdown(user_day_activity(ev), "day")),
         oracle.transaction_breakdown_sql("events", "day"),
