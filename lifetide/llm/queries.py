@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifetide.llm import bpe, packing
-from lifetide.llm.common import key_and_text, table
+from lifetide.llm import bpe, packing, simhash
+from lifetide.llm.common import table
 
 
 def byte_bpe_path() -> str:
@@ -34,9 +34,16 @@ def op8_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_forced_boundary_bpe": op7_forced_boundary_bpe,
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
+    "op9_simhash_gray_index": op9_simhash_gray_index,
 }
 
 ORACLE_SQL: dict[str, str] = {}
