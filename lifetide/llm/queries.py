@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifetide.llm import bpe, packing, simhash
+from lifetide.llm import bpe, packing, simhash, substring_dedup
 from lifetide.llm.common import table
 
 
@@ -17,6 +17,10 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op7_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = byte_bpe_path()
     encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
@@ -41,6 +45,7 @@ def op9_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_compact_windows": op6_compact_windows,
     "op7_forced_boundary_bpe": op7_forced_boundary_bpe,
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
     "op9_simhash_gray_index": op9_simhash_gray_index,
