@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifetide.llm import bpe, packing, simhash, substring_dedup
-from lifetide.llm.common import table
+from lifetide.llm import bpe, compression_classifier, packing, secret_scan, simhash, substring_dedup
+from lifetide.llm.common import crc_bucket, table
 
 
 def byte_bpe_path() -> str:
@@ -17,6 +17,38 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_aho_corasick_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    listed = "array_join(transform({}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
+    base = "filter(spans, s -> s.kind IN ('assign', 'access', 'hex'))"
+    return found.select(
+        "doc_id",
+        *[F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) AS long)").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(F.expr(listed.format(base)).cast("binary"), 256).alias("base_sha256"),
+        F.expr(listed.format("spans")).alias("spans"),
+    )
+
+
+#: Fixed value: scores from here on predict label 1.
+KEEP_SCORE = 0.3
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> compression_classifier.Model:
+    """Learned from the labels whose id is not held out (crc32 modulo 5 is 0)."""
+    return compression_classifier.train(docs, labels.where(crc_bucket("doc_id", 5) != 0))
+
+
+def op4_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    return compression_classifier.score(docs, model).select(
+        "doc_id",
+        (crc_bucket("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= KEEP_SCORE, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.passages(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -45,6 +77,8 @@ def op9_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_aho_corasick_secrets": op3_aho_corasick_secrets,
+    "op4_compression_classifier": op4_compression_classifier,
     "op6_compact_windows": op6_compact_windows,
     "op7_forced_boundary_bpe": op7_forced_boundary_bpe,
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
