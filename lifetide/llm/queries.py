@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifetide.llm import bpe, compression_classifier, packing, secret_scan, simhash, substring_dedup
-from lifetide.llm.common import crc_bucket, table
+from lifetide.llm import bpe, compression_classifier, decision_list, packing, secret_scan, simhash, substring_dedup
+from lifetide.llm.common import crc_bucket, stored, table
 
 
 def byte_bpe_path() -> str:
@@ -43,7 +43,7 @@ def op4_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_model(docs, table(spark, sf_dir, "labels"))
     return compression_classifier.score(docs, model).select(
         "doc_id",
-        (crc_bucket("doc_id", 5) == 0).alias("held_out"),
+        F.coalesce(crc_bucket("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
         "score",
         F.when(F.col("score") >= KEEP_SCORE, 1).otherwise(0).alias("predicted"),
     )
@@ -76,6 +76,18 @@ def op9_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = stored(decision_list.measure(table(spark, sf_dir, "documents")), "measured")
+    labels = table(spark, sf_dir, "labels").where(crc_bucket("doc_id", 5) != 0)
+    rules = decision_list.learn(measured, labels)
+    base_failed = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
+    return measured.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base_failed.alias("base_failed"),
+        decision_list.verdict(rules).alias("rejected_by"),
+    ).withColumn("kept", F.expr("NOT base_failed AND rejected_by IS NULL"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_aho_corasick_secrets": op3_aho_corasick_secrets,
     "op4_compression_classifier": op4_compression_classifier,
@@ -83,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_forced_boundary_bpe": op7_forced_boundary_bpe,
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
     "op9_simhash_gray_index": op9_simhash_gray_index,
+    "op10_decision_list": op10_decision_list,
 }
 
 ORACLE_SQL: dict[str, str] = {}
