@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifetide.llm import bpe, compression_classifier, decision_list, packing, secret_scan, simhash, substring_dedup
+from lifetide.llm import (
+    bpe,
+    compression_classifier,
+    decision_list,
+    host_reputation,
+    packing,
+    secret_scan,
+    simhash,
+    spotsigs,
+    substring_dedup,
+)
 from lifetide.llm.common import crc_bucket, stored, table
 
 
@@ -17,6 +27,31 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_by_next(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.fingerprint("sigs").alias("fingerprint"),
+        spotsigs.fingerprint("edited_sigs").alias("edited_fingerprint"),
+        spotsigs.likeness("sigs", "edited_sigs").alias("near_edited"),
+        spotsigs.likeness("sigs", "next_sigs").alias("near_next"),
+    )
+
+
+#: Fixed value: where a page's path names the document that it shows.
+PAGE_DOCUMENT = "^/[a-z]+/([0-9]+)"
+
+
+def op2_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("good"))
+    shown = pages.select(*host_reputation.parts("url"))
+    shown = shown.select("host", F.expr(f"try_cast(regexp_extract(path, '{PAGE_DOCUMENT}', 1) AS bigint)").alias("doc_id"))
+    outcomes = shown.join(labels, "doc_id").select("host", "good")
+    return host_reputation.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_aho_corasick_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     listed = "array_join(transform({}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
@@ -89,6 +124,8 @@ def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spotsigs": op1_spotsigs,
+    "op2_host_reputation": op2_host_reputation,
     "op3_aho_corasick_secrets": op3_aho_corasick_secrets,
     "op4_compression_classifier": op4_compression_classifier,
     "op6_compact_windows": op6_compact_windows,
@@ -98,4 +135,58 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decision_list": op10_decision_list,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_host_reputation": """
+WITH split AS (
+  SELECT page_id,
+         CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+  FROM pages),
+addressed AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM split),
+named AS (
+  SELECT *, array_to_string(list_slice(string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.'), -2, -1), '.') AS dom
+  FROM addressed),
+placed AS (SELECT *, string_split(dom, '.')[-1] AS suf FROM named),
+outcomes AS (
+  SELECT p.host, p.dom, p.suf, l.quality AS good
+  FROM placed p JOIN labels l ON l.doc_id = try_cast(regexp_extract(p.path, '^/[a-z]+/([0-9]+)', 1) AS BIGINT)
+  WHERE l.quality IN (0, 1)),
+overall AS (SELECT coalesce(avg(good), 0.5) AS share FROM outcomes),
+counted AS (
+  SELECT 1 AS lev, suf AS name, count(*) AS n, sum(good) AS k FROM outcomes GROUP BY suf
+  UNION ALL SELECT 2, dom, count(*), sum(good) FROM outcomes GROUP BY dom
+  UNION ALL SELECT 3, host, count(*), sum(good) FROM outcomes GROUP BY host),
+moments AS (
+  SELECT lev, count(*) AS g, sum(n) AS n, sum(n * n) AS sq, sum(n * (k / n - share) ** 2) AS spread, any_value(share) AS share
+  FROM counted, overall GROUP BY lev),
+dispersion AS (
+  SELECT lev, CASE WHEN g < 2 OR share * (1 - share) = 0 OR n <= g THEN NULL
+    ELSE (spread - share * (1 - share) * (g - 1)) / (share * (1 - share) * (n - sq / n - (g - 1))) END AS rho
+  FROM moments),
+strengths AS (SELECT lev, CASE WHEN rho > 0 THEN least(1000.0, greatest(1.0, 1 / rho - 1)) ELSE 1000.0 END AS s FROM dispersion),
+one AS (
+  SELECT coalesce((SELECT s FROM strengths WHERE lev = 1), 1000.0) AS s1, coalesce((SELECT s FROM strengths WHERE lev = 2), 1000.0) AS s2,
+         coalesce((SELECT s FROM strengths WHERE lev = 3), 1000.0) AS s3, (SELECT share FROM overall) AS share),
+rated AS (
+  SELECT p.page_id, p.host, p.path,
+         coalesce(h.n, 0) AS n3, coalesce(h.k, 0) AS k3, s3,
+         (coalesce(d.k, 0) + s2 * (coalesce(x.k, 0) + s1 * share) / (coalesce(x.n, 0) + s1)) / (coalesce(d.n, 0) + s2) AS m2
+  FROM placed p CROSS JOIN one
+  LEFT JOIN counted h ON h.lev = 3 AND h.name = p.host
+  LEFT JOIN counted d ON d.lev = 2 AND d.name = p.dom
+  LEFT JOIN counted x ON x.lev = 1 AND x.name = p.suf),
+posterior AS (SELECT *, k3 + s3 * m2 AS a, n3 - k3 + s3 * (1 - m2) AS b FROM rated),
+rules(verdict, host, path) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fitting AS (
+  SELECT p.*, r.verdict AS said, r.host || r.path AS rule,
+         row_number() OVER (PARTITION BY p.page_id, p.host, p.path ORDER BY length(r.host || r.path) DESC NULLS LAST) AS place
+  FROM posterior p LEFT JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, host, path, rule,
+       coalesce(said, CASE WHEN a / (a + b) + 1.645 * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))) < 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM fitting WHERE place = 1
+""",
+}
