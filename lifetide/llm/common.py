@@ -12,6 +12,22 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Words whose hash one task keeps (about 60 MB).
+CACHE_WORDS = 400_000
+
+
+class WordHashes(dict):
+    """Word -> 64-bit hash, kept while there are at most ``CACHE_WORDS``."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        out = self[word] = xxhash.xxh64_intdigest(word)
+        return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -13,6 +13,7 @@ from lifetide.llm import (
     decision_list,
     host_reputation,
     packing,
+    pitman_yor,
     secret_scan,
     simhash,
     spotsigs,
@@ -84,6 +85,20 @@ def op4_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = pitman_yor.train(docs.where(crc_bucket("doc_id", 10) != 0))
+    return pitman_yor.score(docs, model).select(
+        "doc_id",
+        F.coalesce(crc_bucket("doc_id", 10) == 0, F.lit(False)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.settings.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.passages(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -128,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_host_reputation": op2_host_reputation,
     "op3_aho_corasick_secrets": op3_aho_corasick_secrets,
     "op4_compression_classifier": op4_compression_classifier,
+    "op5_pitman_yor": op5_pitman_yor,
     "op6_compact_windows": op6_compact_windows,
     "op7_forced_boundary_bpe": op7_forced_boundary_bpe,
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
