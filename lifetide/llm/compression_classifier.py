@@ -98,16 +98,21 @@ def difference(sizes: np.ndarray, mean: float) -> np.ndarray:
     return (bad - good + PRIOR * mean) / (raw + PRIOR)
 
 
+def scaled(x: np.ndarray, low: float, high: float) -> np.ndarray:
+    """From -1 at ``low`` to 0 at ``high``, limited to that."""
+    return (np.clip(x, low, high) - high) / max(high - low, 1e-9)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
     """Intercept and slope of the weighted, slightly ridged logistic fit (Newton)."""
     beta = np.zeros(2)
     design = np.stack([np.ones_like(x), x], axis=1)
-    for _ in range(50):
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         gradient = design.T @ (weight * (y - p)) - ridge * beta
         hessian = (design * (weight * p * (1 - p))[:, None]).T @ design + ridge * np.eye(2)
         step = np.linalg.solve(hessian, gradient)
-        beta += np.clip(step, -20, 20)
+        beta += step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-9:
             break
     return float(beta[0]), float(beta[1])
@@ -180,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     x = difference(sizes, mean)
     first, middle = np.quantile(x[y == 1], [0.01, 0.5])
     low, high = float(2 * first - middle), float(middle)
-    intercept, slope = logistic(np.clip(x, low, high), y, weight)
+    intercept, slope = logistic(scaled(x, low, high), y, weight)
     return Model(model.good, model.bad, mean, intercept, slope, low, high)
 
 
@@ -200,7 +205,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def scores(model: Model, sizes: Sizes, texts: list[str | None]) -> np.ndarray:
     found = np.array([sizes(t) for t in texts], float).reshape(-1, 3)
-    x = model.intercept + model.slope * np.clip(difference(found, model.mean), model.low, model.high)
+    x = model.intercept + model.slope * scaled(difference(found, model.mean), model.low, model.high)
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
