@@ -41,12 +41,12 @@ from lifetide.llm.common import key_and_text
 
 BLOCK = 256
 LEVEL = 3
-DICTIONARY_BYTES = 32 << 10
+DICTIONARY_BYTES = 64 << 10
 DICTIONARY_ROWS = 1500
 CALIBRATION_ROWS = 1500
 BLOCKS_PER_TEXT = 16
 #: Bytes that stand for what is known before a text is read.
-PRIOR = 150.0
+PRIOR = 60.0
 
 
 @dataclass(frozen=True)
