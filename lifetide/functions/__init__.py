@@ -1,47 +1,25 @@
-"""Column functions: period buckets and the status / type labels.
+"""Period buckets and the status / type labels, as Spark SQL expression text
+(composable, parsed once in the JVM)."""
 
-Each has a ``*_sql`` form returning Spark SQL expression text (composable,
-parsed once in the JVM) and a Column form.
-"""
-
-from lifetide.functions.labels import (
-    day_flags_sql,
-    status_labels,
-    trns_sub_type,
-    trns_sub_type_sql,
-    trns_type,
-    trns_type_sql,
-)
+from lifetide.functions.labels import day_flags_sql, status_labels, trns_sub_type_sql, trns_type_sql
 from lifetide.functions.periods import (
     GRAINS,
-    month_start,
     month_start_sql,
-    next_period,
     next_period_sql,
-    period_offset,
     period_offset_sql,
-    period_start,
     period_start_sql,
-    week_start,
     week_start_sql,
 )
 
 __all__ = [
     "GRAINS",
     "day_flags_sql",
-    "month_start",
     "month_start_sql",
-    "next_period",
     "next_period_sql",
-    "period_offset",
     "period_offset_sql",
-    "period_start",
     "period_start_sql",
     "status_labels",
-    "trns_sub_type",
     "trns_sub_type_sql",
-    "trns_type",
     "trns_type_sql",
-    "week_start",
     "week_start_sql",
 ]

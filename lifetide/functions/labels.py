@@ -1,16 +1,13 @@
 """Status flags and transaction-type labels.
 
 The ``*_sql`` builders return Spark SQL CASE text over column names (parsed
-once in the JVM); ``trns_type`` / ``trns_sub_type`` wrap them as Columns.
+once in the JVM).
 The label strings are fixed values: downstream dashboards filter on them, so
 they must be spelled exactly as below.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # ---------------------------------------------------------------------------
 # Fixed values (must be spelled exactly like this for result parity).
 # Event types read from the source:
@@ -65,7 +62,7 @@ def trns_sub_type_sql(
 ) -> str:
     """Nine ordered branches.
 
-    ``strict=False`` keeps the published rule, whose "earned and redeemed"
+    ``strict=False`` keeps the parity rule, whose "earned and redeemed"
     branches look at the redeemed amount only, so any redemption reads as
     "Earned & Redeemed".  ``strict=True`` tests earned and redeemed.
     """
@@ -105,21 +102,6 @@ def day_flags_sql(is_new: str, is_active: str, prev_active: str, value: str = "C
     }
 
 
-def trns_type(activity: str = "activity", trns: str = "trns", churned: str = "false") -> Column:
-    return F.expr(trns_type_sql(activity, trns, churned))
-
-
-def trns_sub_type(
-    activity: str = "activity",
-    trns: str = "trns",
-    earned: str = "miles_earned",
-    redeemed: str = "miles_redeemed",
-    churned: str = "false",
-    strict: bool = False,
-) -> Column:
-    return F.expr(trns_sub_type_sql(activity, trns, earned, redeemed, churned, strict))
-
-
 def status_labels(churned: str = "false", strict_subtype: bool = False) -> dict[str, str]:
     """trns_type and trns_sub_type over the standard measure columns, as SQL text."""
     return {

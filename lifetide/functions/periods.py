@@ -1,17 +1,14 @@
-"""Calendar buckets, as SQL expression text and as Columns.
+"""Calendar buckets, as SQL expression text.
 
 Weeks start on Sunday; Spark's own ``trunc(d, 'week')`` starts on Monday, so
 the Sunday bucket is computed from ``dayofweek`` (1 = Sunday).  The ``*_sql``
 builders return Spark SQL expression text over column names (or other
 expression text); composing text and parsing it once in the JVM keeps plan
-construction cheap.  The Column forms wrap the text with ``F.expr``.
+construction cheap.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 GRAINS = ("day", "week", "month")
 
 
@@ -56,29 +53,3 @@ def period_offset_sql(later: str, earlier: str, grain: str) -> str:
         "month": f"(year({later}) - year({earlier})) * 12 + (month({later}) - month({earlier}))",
     }[grain]
     return f"CAST({body} AS BIGINT)"
-
-
-def _name(c: Column | str) -> str:
-    if isinstance(c, str):
-        return c
-    raise TypeError("pass a column name or SQL expression text")
-
-
-def week_start(d: str) -> Column:
-    return F.expr(week_start_sql(_name(d)))
-
-
-def month_start(d: str) -> Column:
-    return F.expr(month_start_sql(_name(d)))
-
-
-def period_start(d: str, grain: str) -> Column:
-    return F.expr(period_start_sql(_name(d), grain))
-
-
-def next_period(start: str, grain: str, n: int = 1) -> Column:
-    return F.expr(next_period_sql(_name(start), grain, n))
-
-
-def period_offset(later: str, earlier: str, grain: str) -> Column:
-    return F.expr(period_offset_sql(_name(later), _name(earlier), grain))

@@ -1,21 +1,11 @@
-"""Session helpers: the settings the operators assume, and the checkpoint
-directory taken from the cluster's ``spark.checkpoint.dir``."""
+"""Session helpers: a local session, and the checkpoint directory taken from
+the cluster's ``spark.checkpoint.dir``.  The operators set nothing in the
+caller's session."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings every job here relies on: UTC dates, AQE (runtime coalescing of
-# shuffle partitions and skew-join splitting), and the window group limit
-# that lets first touch (rank = 1) cut each user down before its shuffle.
-REQUIRED_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
-}
-
 
 def local_session(
     cores: int = 8,
@@ -36,26 +26,20 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.session.timeZone", "UTC")
     )
     if min_partition_size:
         builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", min_partition_size)
-    for k, v in REQUIRED_CONF.items():
-        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def apply_required_conf(spark: SparkSession) -> None:
-    for k, v in REQUIRED_CONF.items():
-        spark.conf.set(k, v)
-
-
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) is ``fallback`` installed.
+    Only where it is unset (tests on one machine) is ``fallback`` installed.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -67,31 +51,3 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
     sc.setCheckpointDir(fallback)
     return fallback
-
-
-def input_size_bytes(spark: SparkSession, path: str) -> int:
-    """Total bytes under ``path`` (Hadoop FileSystem content summary; one
-    metadata call on the driver, no data read)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
-
-
-def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict[str, str]:
-    """Shuffle sizing for an input of ``input_bytes``.
-
-    AQE can only merge shuffle partitions, never split them (except for skew
-    joins), so the initial count must be large enough that the first
-    shuffle (events partially aggregated per user-day) stays near
-    ``partition_bytes`` per partition; AQE then coalesces the much smaller
-    later stages.  Parquet input expands several-fold in memory, so the
-    compressed size is a conservative proxy.
-    """
-    n = max(1, min(max_partitions, -(-input_bytes // partition_bytes)))
-    return {
-        "spark.sql.shuffle.partitions": str(n),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-    }

@@ -40,33 +40,88 @@ MILES_CATEGORY = "miles"
 ENGAGEMENT_CATEGORY = "engagement"
 
 
+#: Columns without which no model can be built; the others default to NULL.
+REQUIRED_COLUMNS = ["event_time", "user_id", "event_type"]
+#: Digits after the point kept of amounts that come as floating point or text.
+FRACTION_DIGITS = 9
+
+
+def _utc(column: str) -> str:
+    """UTC wall clock of an instant, whatever the session's time zone."""
+    seconds = f"CAST(CAST(unix_micros(`{column}`) AS DECIMAL(24, 6)) / 1000000 AS DECIMAL(18, 6))"
+    return f"TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})"
+
+
+def _checked(column: str, value: str) -> str:
+    """``value``, an expression that is NULL where it fails; fails the query
+    there instead of losing the row's value."""
+    message = f"concat('{column}: malformed value ', `{column}`)"
+    return f"CASE WHEN `{column}` IS NOT NULL AND {value} IS NULL THEN raise_error({message}) ELSE {value} END"
+
+
+def _time(column: str, kind: T.DataType) -> str:
+    if isinstance(kind, T.TimestampType):
+        return _utc(column)
+    if isinstance(kind, T.StringType):
+        # Text that names a zone is an instant; other text is UTC wall clock.
+        zone = f"`{column}` RLIKE ':[0-9.]+ ?(Z|UTC|[+-][0-9]{{2}}:?[0-9]{{2}})$'"
+        instant = f"to_utc_timestamp(try_cast(`{column}` AS TIMESTAMP), current_timezone())"
+        return _checked(column, f"CASE WHEN {zone} THEN CAST({instant} AS TIMESTAMP_NTZ) ELSE try_cast(`{column}` AS TIMESTAMP_NTZ) END")
+    return f"CAST(`{column}` AS TIMESTAMP_NTZ)"
+
+
+def _amount(column: str, kind: T.DataType) -> str:
+    """Whole amounts stay BIGINT; others are exact decimals."""
+    if isinstance(kind, T.IntegralType):
+        return f"CAST(`{column}` AS BIGINT)"
+    digits = kind.scale if isinstance(kind, T.DecimalType) else FRACTION_DIGITS
+    if isinstance(kind, T.StringType):
+        return _checked(column, f"try_cast(`{column}` AS DECIMAL(38, {digits}))")
+    return f"CAST(`{column}` AS {'BIGINT' if digits == 0 else f'DECIMAL(38, {digits})'})"
+
+
 def conform_events(df: DataFrame) -> DataFrame:
-    """Project any DataFrame carrying the eight source columns onto
-    ``EVENT_SCHEMA`` (order and types).  Missing optional columns are NULL."""
+    """Project any DataFrame carrying the source columns onto the eight
+    columns of ``EVENT_SCHEMA``.
+
+    Instants (TIMESTAMP) become UTC wall clock whatever the session's time
+    zone.  ``miles_amount`` is BIGINT for whole-number types and an exact
+    DECIMAL for others.  Missing attributes are NULL; a missing required
+    column is an error, and so is text that does not parse."""
+    missing = [c for c in REQUIRED_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"event stream without required columns {missing}; it has {df.columns}")
     cols = []
     for field in EVENT_SCHEMA.fields:
-        if field.name in df.columns:
-            cols.append(F.col(field.name).cast(field.dataType).alias(field.name))
+        if field.name not in df.columns:
+            cols.append(f"CAST(NULL AS {field.dataType.simpleString()}) AS {field.name}")
+            continue
+        kind = df.schema[field.name].dataType
+        if field.name == "event_time":
+            value = _time(field.name, kind)
+        elif field.name == "miles_amount":
+            value = _amount(field.name, kind)
+        elif field.name == "user_id" and isinstance(kind, T.StringType):
+            value = _checked(field.name, f"try_cast(`{field.name}` AS BIGINT)")
         else:
-            cols.append(F.lit(None).cast(field.dataType).alias(field.name))
-    return df.select(*cols)
-
-
-TEXT_FORMATS = ("csv", "json", "text")
+            value = f"CAST(`{field.name}` AS {field.dataType.simpleString()})"
+        cols.append(f"{value} AS {field.name}")
+    return df.selectExpr(*cols)
 
 
 def read_event_stream(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
     """Read a stored ``event_stream`` table in any Spark batch format.
 
-    Self-describing formats (parquet, orc, ...) keep their stored types and
-    are cast to ``EVENT_SCHEMA``; text formats are read with the declared
-    schema, so no inference pass runs over the data.  ``options`` go to the
-    reader (for example ``header="true"`` for CSV).
-    """
-    reader = spark.read.format(fmt).options(**options)
-    if fmt in TEXT_FORMATS:
-        reader = reader.schema(EVENT_SCHEMA)
-    return conform_events(reader.load(path))
+    Self-describing formats (parquet, orc, ...) keep their stored types.  CSV
+    columns are matched by the header's names and JSON fields by theirs, both
+    as text, so a malformed value is an error and never NULL.  ``options`` go
+    to the reader (for JSON, ``samplingRatio`` shortens the pass that finds
+    the fields)."""
+    if fmt == "csv":
+        options = {"header": "true", "mode": "FAILFAST"} | options
+    elif fmt == "json":
+        options = {"primitivesAsString": "true", "mode": "FAILFAST"} | options
+    return conform_events(spark.read.format(fmt).options(**options).load(path))
 
 
 def _case_index(expr: str, values: list[str]) -> str:
