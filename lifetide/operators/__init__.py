@@ -1,10 +1,10 @@
-"""DataFrame -> DataFrame operators, one per published model (plus reports)."""
+"""DataFrame -> DataFrame operators, one per model, plus reports."""
 
-from lifetide.operators.activity import active_days, user_day_activity, user_day_spine
+from lifetide.operators.activity import active_days, user_day_activity, user_day_spine, user_days
 from lifetide.operators.base import calendar, dim_users, event_ordinal, fact_events
 from lifetide.operators.growth import consolidated_groups, growth, growth_consolidated
-from lifetide.operators.reports import cohort_matrix, status_report, transaction_breakdown
-from lifetide.operators.retention import triangle, user_periods
+from lifetide.operators.reports import cohort_matrix, status_report, status_report_of, transaction_breakdown
+from lifetide.operators.retention import triangle, triangle_from_days, user_periods
 from lifetide.operators.status import user_day_status
 
 __all__ = [
@@ -18,10 +18,13 @@ __all__ = [
     "growth",
     "growth_consolidated",
     "status_report",
+    "status_report_of",
     "transaction_breakdown",
     "triangle",
+    "triangle_from_days",
     "user_day_activity",
     "user_day_spine",
     "user_day_status",
+    "user_days",
     "user_periods",
 ]

@@ -14,11 +14,17 @@ _DAY_MEASURES = [
     "count(event_time) AS trns_activity",
     f"count(CASE WHEN {_IS_MILES} THEN NULL ELSE event_time END) AS activity",
     f"count(CASE WHEN {_IS_MILES} THEN event_time END) AS trns",
-    f"CAST(sum(CASE WHEN event_type = '{MILES_EARNED}' THEN miles_amount ELSE 0 END) AS BIGINT) AS miles_earned",
-    f"CAST(sum(CASE WHEN event_type = '{MILES_REDEEMED}' THEN miles_amount ELSE 0 END) AS BIGINT) AS miles_redeemed",
+    f"sum(CASE WHEN event_type = '{MILES_EARNED}' THEN miles_amount ELSE 0 END) AS miles_earned",
+    f"sum(CASE WHEN event_type = '{MILES_REDEEMED}' THEN miles_amount ELSE 0 END) AS miles_redeemed",
 ]
 
 
+def measure_types(df: DataFrame) -> dict[str, str]:
+    """SQL types of the measures: BIGINT, or a decimal for fractional miles.
+    Sums are cast back to them, so every model keeps one type."""
+    return {m: df.schema[m].dataType.simpleString() for m in MEASURES}
+
+
 def user_day_activity(events: DataFrame) -> DataFrame:
     """Five measures per (day, user).
 
@@ -36,24 +42,34 @@ def user_day_activity(events: DataFrame) -> DataFrame:
     )
 
 
-def active_days(activity: DataFrame) -> DataFrame:
-    """Active user-days with the previous active day (``prev_active``) and the
-    user's first day (``first_seen``).
+def user_days(activity: DataFrame) -> DataFrame:
+    """``activity`` with each row's previous and next active day and the
+    user's first one (``prev_active``, ``next_active``, ``first_seen``).
 
-    One window over the user's *active* days: after the day aggregation a
-    user has at most one row per calendar day, so no partition outgrows the
-    calendar span however many events a user has.
+    One window over the user's days: after the day aggregation a user has at
+    most one row per calendar day (and one without), so no partition outgrows
+    the calendar span however many events a user has.  Rows without a day
+    come first and give the following day no predecessor.  A table that has
+    the columns already (``plans.pipeline`` stores one) is returned as it is.
     """
+    if "prev_active" in activity.columns:
+        return activity
     w = Window.partitionBy("user_id").orderBy("day")
-    return activity.where("user_id IS NOT NULL AND day IS NOT NULL").select(
+    return activity.select(
         "user_id",
         "day",
         *MEASURES,
         F.lag("day").over(w).alias("prev_active"),
+        F.lead("day").over(w).alias("next_active"),
         F.min("day").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("first_seen"),
     )
 
 
+def active_days(activity: DataFrame) -> DataFrame:
+    """``user_days`` of known users on known days."""
+    return user_days(activity.where("user_id IS NOT NULL AND day IS NOT NULL"))
+
+
 def user_day_spine(activity: DataFrame) -> DataFrame:
     """Every day from each user's first to last active day (growth_transactions).
 

@@ -53,45 +53,61 @@ def fact_events(events: DataFrame) -> DataFrame:
     return events.select("event_time", "user_id", "event_type", "transaction_category", "miles_amount")
 
 
-def event_ordinal(events: DataFrame, bucket: str = "hour") -> DataFrame:
+#: Rows that one task at most numbers for a single (user, instant) run.
+ORDINAL_CHUNK = 100_000
+
+
+def event_ordinal(events: DataFrame) -> DataFrame:
     """Running count of each user's events in time order (``session_number``).
 
-    Equivalent to ``row_number() over (partition by user_id order by
-    event_time)`` but without sorting a whole user in one task: a user that
-    holds a third of all events would otherwise land in a single partition.
+    Equal to ``row_number() over (partition by user_id order by event_time)``
+    without sorting a user, or any share of one that grows with the data, in
+    one task.  Events of one user at one instant are interchangeable in the
+    result, so they are only counted:
 
-    1. events per (user, time bucket), partially aggregated;
-    2. events before each bucket = running sum over the user's buckets (at
-       most one row per bucket, bounded by the calendar span);
-    3. row number inside (user, bucket), plus that base.
+    1. events per (user, instant), partially aggregated before the shuffle;
+    2. events before each instant: running sums within the second (at most a
+       million instants), of seconds within the hour (3600) and of hours
+       within the user (bounded by the calendar);
+    3. each instant's run of numbers, cut into chunks that are dealt out
+       before they are expanded.
 
-    Ties on event_time fall in one bucket and get consecutive numbers in an
-    arbitrary order, as in the window form; the multiset of
-    (user_id, event_time, session_number) is the same.  NULL users form one
-    group and NULL times sort first, like ascending SQL order.
+    NULL users form one group; NULL times sort first, like ascending SQL
+    order, and are one instant.
     """
-    keys = ["_uk", "_un", "_bk", "_bn"]
-    # Non-null join/partition keys, so the join output partitioning is reused
-    # by the per-bucket window (a null-safe join would re-shuffle the events).
-    b = f"date_trunc('{bucket}', event_time)"
-    ev = events.selectExpr(
-        "user_id",
-        "event_time",
-        "coalesce(user_id, 0) AS _uk",
+    second = "date_trunc('second', event_time)"
+    instants = events.groupBy("user_id", "event_time").agg(F.count(F.lit(1)).alias("_n"))
+    # Non-null keys, so that the joins below are plain equalities.
+    epoch = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+    keyed = instants.selectExpr(
+        "coalesce(user_id, 0) AS _u",
         "user_id IS NULL AS _un",
-        f"coalesce({b}, TIMESTAMP_NTZ '1970-01-01 00:00:00') AS _bk",
-        f"{b} IS NULL AS _bn",
+        f"coalesce({second}, {epoch}) AS _s",
+        "event_time IS NULL AS _tn",
+        "event_time",
+        "_n",
     )
-    counts = ev.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = (
-        Window.partitionBy("_uk", "_un")
-        .orderBy(F.col("_bn").desc(), F.col("_bk"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    in_second = Window.partitionBy("_u", "_un", "_tn", "_s").orderBy("event_time")
+    counted = keyed.select("*", (F.sum("_n").over(in_second) - F.col("_n")).alias("_before"))
+    seconds = keyed.groupBy("_u", "_un", "_tn", "_s").agg(F.sum("_n").alias("_n")).withColumn("_h", F.expr("date_trunc('hour', _s)"))
+    in_hour = Window.partitionBy("_u", "_un", "_tn", "_h").orderBy("_s")
+    hours = seconds.groupBy("_u", "_un", "_tn", "_h").agg(F.sum("_n").alias("_n"))
+    in_user = Window.partitionBy("_u", "_un").orderBy(F.col("_tn").desc(), F.col("_h"))
+    hours = hours.select("_u", "_un", "_tn", "_h", (F.sum("_n").over(in_user) - F.col("_n")).alias("_hour_base"))
+    bases = (
+        seconds.select("*", (F.sum("_n").over(in_hour) - F.col("_n")).alias("_second_base"))
+        .join(hours, ["_u", "_un", "_tn", "_h"])
+        .select("_u", "_un", "_tn", "_s", (F.col("_hour_base") + F.col("_second_base")).alias("_base"))
     )
-    bases = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy(*keys).orderBy(F.col("event_time").asc_nulls_first())
-    return ev.join(bases, keys, "inner").select(
-        "user_id",
+    runs = counted.join(bases, ["_u", "_un", "_tn", "_s"]).selectExpr(
+        "CASE WHEN NOT _un THEN _u END AS user_id",
         "event_time",
-        (F.col("_base") + F.row_number().over(within)).cast("bigint").alias("session_number"),
+        "_base + _before AS _from",
+        "_n",
+        f"explode(sequence(0L, (_n - 1) DIV {ORDINAL_CHUNK})) AS _chunk",
     )
+    dealt = runs.repartition("user_id", "event_time", "_chunk")
+    first = f"_chunk * {ORDINAL_CHUNK} + 1"
+    return dealt.selectExpr(
+        "user_id", "event_time", "_from", f"explode(sequence({first}, least(_n, {first} + {ORDINAL_CHUNK - 1}))) AS _i"
+    ).selectExpr("user_id", "event_time", "_from + _i AS session_number")

@@ -5,29 +5,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lifetide.functions.labels import ACTIVE_TYPES, USER_TYPES, trns_type_sql
-from lifetide.functions.periods import period_start_sql
-from lifetide.operators.activity import MEASURES
+from lifetide.functions.labels import ACTIVE_TYPES, CHURNED, USER_TYPES, trns_type_sql
+from lifetide.functions.periods import period_offset_sql, period_start_sql
+from lifetide.operators.activity import MEASURES, measure_types
+from lifetide.operators.growth import consolidated_groups
 from lifetide.operators.retention import COHORT_COLUMN
 
 
 def cohort_matrix(tri: DataFrame, grain: str = "day") -> DataFrame:
-    """Cohort rows x period-offset columns of retention rates (the triangle
-    heatmap).  Offsets with no returning user stay NULL cells.  The pivot
-    values are the distinct offsets present; there are at most as many as
-    calendar periods, so the pivot stays narrow relative to the data."""
+    """The triangle heatmap's cells: one row per cohort and offset from 0 to
+    the last period that any cohort reaches, with ``users`` 0 and a NULL
+    ``retention_rate`` where nobody returned.
+
+    One aggregation of the triangle per cohort (a map of its offsets, at most
+    one per calendar period), the last period over that small table, and an
+    explode: one scan, a fixed schema, no limit on offsets and no job before
+    the action.
+    """
     cohort = COHORT_COLUMN[grain]
-    return (
-        tri.where(F.col("period_offset").isNotNull())
+    period = {
+        "day": "date_add({c}, CAST(period_offset AS INT))",
+        "week": "date_add({c}, CAST(period_offset * 7 AS INT))",
+        "month": "add_months({c}, CAST(period_offset AS INT))",
+    }[grain].format(c=cohort)
+    per_cohort = (
+        tri.where("period_offset IS NOT NULL")
         .groupBy(cohort)
-        .pivot("period_offset")
-        .agg(F.first("retention_rate"))
+        .agg(
+            F.expr("map_from_entries(collect_list(struct(period_offset, struct(users, retention_rate)))) AS cells"),
+            F.max("cohort_size").alias("cohort_size"),
+            F.expr(f"max({period}) AS last"),
+        )
     )
+    ended = per_cohort.withColumn("last", F.expr("max(last) OVER ()"))
+    grid = ended.select(cohort, "cohort_size", "cells", F.expr(f"explode(sequence(0L, {period_offset_sql('last', cohort, grain)})) AS period_offset"))
+    return grid.select(
+        cohort,
+        "period_offset",
+        F.expr("coalesce(cells[period_offset].users, 0L) AS users"),
+        "cohort_size",
+        F.expr("cells[period_offset].retention_rate AS retention_rate"),
+    )
+
+
+def status_report(activity: DataFrame, grain: str = "day", mode: str = "parity") -> DataFrame:
+    """Per period: one column per user type with the summed counts, taken from
+    the consolidated groups before they are unpivoted.  A type that has no
+    group in the period is NULL."""
+    groups = consolidated_groups(activity, grain, mode)
+    keys = [c for c in groups.columns if c.startswith("cal_")]
+    stay = f"CASE WHEN trns_type <> '{CHURNED}' THEN {{}} END"
+    gone = f"CASE WHEN trns_type = '{CHURNED}' THEN pos_churned END"
+    counts = {t: stay.format(t) for t in ("new_users", "retained", "resurrected", "active")}
+    counts |= {"tot_churned": gone, "churned": f"-({gone})"}
+    return groups.groupBy(*keys).agg(*[F.expr(f"CAST(sum({counts[t]}) AS BIGINT) AS {t}") for t in USER_TYPES])
 
 
-def status_report(growth_long: DataFrame, keys: list[str]) -> DataFrame:
-    """Per period: one column per user type with the summed ``user_cnt``
-    (explicit pivot values, so no extra job discovers them)."""
+def status_report_of(growth_long: DataFrame, keys: list[str]) -> DataFrame:
+    """The same from a stored long growth table."""
     return growth_long.groupBy(*keys).pivot("user_type", USER_TYPES).agg(F.sum("user_cnt").cast("bigint"))
 
 
@@ -38,11 +73,12 @@ def transaction_breakdown(activity: DataFrame, grain: str = "day") -> DataFrame:
     Works on the per user-day measures: partial aggregation to
     (user, period), then a small group-by; the spine is not needed."""
     act = activity.where("user_id IS NOT NULL AND day IS NOT NULL")
+    types = measure_types(activity)
     if grain == "day":
         per = act.selectExpr("day AS period_start", "user_id", *MEASURES)
     else:
         per = act.groupBy(F.expr(period_start_sql("day", grain)).alias("period_start"), "user_id").agg(
-            *[F.expr(f"CAST(sum({m}) AS BIGINT) AS {m}") for m in MEASURES]
+            *[F.expr(f"CAST(sum({m}) AS {t}) AS {m}") for m, t in types.items()]
         )
     labelled = per.withColumn("trns_type", F.expr(trns_type_sql()))
     return (
@@ -51,7 +87,7 @@ def transaction_breakdown(activity: DataFrame, grain: str = "day") -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("users"),
             F.sum("trns_activity").cast("bigint").alias("events"),
-            F.sum("miles_earned").cast("bigint").alias("miles_earned"),
-            F.sum("miles_redeemed").cast("bigint").alias("miles_redeemed"),
+            F.sum("miles_earned").cast(types["miles_earned"]).alias("miles_earned"),
+            F.sum("miles_redeemed").cast(types["miles_redeemed"]).alias("miles_redeemed"),
         )
     )

@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from lifetide.plans.queries import REGISTRY
 
@@ -80,10 +81,52 @@ def test_per_user_windows_run_on_aggregated_rows(spark, have_data, name):
         assert any(op.startswith("HashAggregate") for op in below[:scan]), (name, ops[i][1])
 
 
-def test_event_ordinal_partitions_by_user_and_bucket(spark, have_data):
-    p = plan_text(REGISTRY["event_ordinal"].run(spark, SF))
-    row_number = next(op for _, op in _operators(p) if op.startswith("Window [row_number()"))
-    assert "_bk" in row_number and "_uk" in row_number, row_number
+def test_event_ordinal_windows_are_bounded(spark, have_data):
+    """No window holds a whole user's events: one numbers the instants of a
+    second, one the seconds of an hour, one a user's hours."""
+    ops = [op for _, op in _operators(plan_text(REGISTRY["event_ordinal"].run(spark, SF)))]
+    keys = [op.rsplit("], [", 2)[-2] for op in ops if op.startswith("Window [")]
+    assert sorted("_s#" in k or "_h#" in k for k in keys) == [False, True, True]
+    user = next(i for i, op in enumerate(ops) if op.startswith("Window [") and "_h#" not in op.rsplit("], [", 2)[-2] and "_s#" not in op.rsplit("], [", 2)[-2])
+    assert any(op.startswith("HashAggregate(keys=[_u") and "_h" in op for op in ops[user:])
+
+
+def test_event_ordinal_spreads_a_hot_user(spark):
+    """A third of all rows is one user inside one hour, a third one user
+    without times, partly at one instant: no task reads or makes a share of
+    the rows that follows them."""
+    from lifetide.operators import base, event_ordinal
+
+    n = 30_000
+    rows = spark.range(3 * n).selectExpr(
+        f"""CASE WHEN id < {n} THEN TIMESTAMP_NTZ '2024-01-01 10:00:00' + make_dt_interval(0, 0, 0, id % 3000 + (id % 7) / 10)
+                 WHEN id < {n + n // 2} THEN TIMESTAMP_NTZ '2024-01-02 10:00:00'
+                 WHEN id < {2 * n} THEN NULL ELSE TIMESTAMP_NTZ '2024-01-03 00:00:00' + make_dt_interval(0, 0, 0, id) END AS event_time""",
+        f"CASE WHEN id < {n} THEN 1L WHEN id < {2 * n} THEN 2L ELSE id END AS user_id",
+    )
+    old, base.ORDINAL_CHUNK = base.ORDINAL_CHUNK, 500
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        out = event_ordinal(rows)
+        made = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        bad = out.groupBy("user_id").agg(F.count("*").alias("n"), F.min("session_number").alias("lo"), F.max("session_number").alias("hi"), F.countDistinct("session_number").alias("d"))
+        assert bad.where("lo <> 1 OR hi <> n OR d <> n").count() == 0 and out.count() == 3 * n
+        assert out.where("user_id = 2 AND event_time IS NULL").agg(F.max("session_number")).first()[0] == n // 2
+    finally:
+        base.ORDINAL_CHUNK = old
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert len(made) == 40 and max(r["count"] for r in made) < 4 * (3 * n / 40)
+
+
+def test_cohort_matrix_and_status_report_plans(spark, have_data):
+    """One scan each; the report adds one exchange to the groups' four."""
+    assert plan_text(REGISTRY["cohort_matrix_weekly_orders"].run(spark, SF)).count("FileScan parquet") == 1
+    report = plan_text(REGISTRY["status_report_weekly_orders"].run(spark, SF))
+    assert report.count("FileScan parquet") == 1
+    assert report.count("Exchange ") <= plan_text(REGISTRY["growth_weekly_orders"].run(spark, SF)).count("Exchange ") + 1
 
 
 def test_dim_users_limits_groups_before_the_shuffle(spark, have_data):
