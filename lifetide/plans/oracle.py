@@ -13,6 +13,10 @@ DuckDB dialect notes: dates are casts of timestamps, Sunday weeks are
 ``d - dayofweek(d)`` (0 = Sunday), month truncation returns a TIMESTAMP and
 is cast back, SUM(BIGINT) is HUGEINT and is cast back, ascending NULLs sort
 last unless told otherwise.
+
+Fixed values (must be spelled exactly like this for result parity): the event
+types, the transaction types and sub-types, the user types and row kinds that
+appear below as string literals.
 """
 
 from __future__ import annotations
@@ -145,6 +149,9 @@ spine AS (
   LEFT JOIN day_measures p ON p.user_id = s.user_id AND p.day = c.day - 1
 )"""
 
+# Strict periods go on to the calendar's end: a user who leaves is idle there.
+SPINE_TO_END = SPINE.replace("AND s.last_day", "AND (SELECT max(day) FROM calendar_days)")
+
 
 def _type_case(a: str, t: str, churn: str) -> str:
     return (
@@ -235,8 +242,8 @@ def _long_rows(keys: list[str], with_miles: bool) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _spine_ctes(source: str) -> list[str]:
-    return [SOURCES[source], DAY_MEASURES, CALENDAR_DAYS, SPINE]
+def _spine_ctes(source: str, to_end: bool = False) -> list[str]:
+    return [SOURCES[source], DAY_MEASURES, CALENDAR_DAYS, SPINE_TO_END if to_end else SPINE]
 
 
 # -- query builders --------------------------------------------------------------
@@ -317,25 +324,23 @@ FROM ({counts}) c"""
 def growth_period_sql(source: str, grain: str, strict: bool = False) -> str:
     """Week / month growth from per-user period pieces of the day grid.
 
-    Published (``strict=False``): a week is split at month ends; a piece
-    counts as new when it holds the user's first day, and an active piece has
-    a known predecessor whenever it is not the user's first piece (the
-    previous piece always exists on the grid).  Strict: whole weeks under the
-    month of their Sunday, or months; the predecessor is the previous
-    calendar period, known when the user was active in it.
+    ``strict=False``: a week is split at month ends; a piece counts as new
+    when it holds the user's first day, and an active piece has a known
+    predecessor when the user has a piece before it.  Strict: whole weeks
+    under the month of their Sunday, or months, from the user's first day to
+    the calendar's end; the predecessor is the previous calendar period, known
+    when the user was active in it.
     """
     if grain == "week":
         period = _week("cal_day")
         month = _month(period) if strict else _month("cal_day")
         keys = ["cal_week", "cal_month"]
         piece_keys = f"{period} AS cal_week, {month} AS cal_month"
-        order = "cal_week" if strict else "cal_week, cal_month"
         period_col = "cal_week"
         step = "INTERVAL 7 DAY"
     elif grain == "month":
         keys = ["cal_month"]
         piece_keys = f"{_month('cal_day')} AS cal_month"
-        order = "cal_month"
         period_col = "cal_month"
         step = "INTERVAL 1 MONTH"
     else:
@@ -344,6 +349,7 @@ def growth_period_sql(source: str, grain: str, strict: bool = False) -> str:
 pieces AS (
   SELECT
     user_id, {piece_keys},
+    min(cal_day) AS piece_day,
     bool_or(trns_day IS NOT NULL) AS is_active,
     bool_or(is_new_user) AS is_new_user,
     CAST(sum(trns_activity) AS BIGINT) AS trns_activity,
@@ -365,8 +371,10 @@ with_prev AS (
     else:
         known = f"""
 with_prev AS (
-  SELECT *, is_active AND row_number() OVER (PARTITION BY user_id ORDER BY {order}) > 1 AS was_active
-  FROM pieces
+  SELECT p.*, p.is_active AND q.piece_day IS NOT NULL AS was_active
+  FROM pieces p
+  LEFT JOIN (SELECT user_id, min(piece_day) AS piece_day FROM pieces GROUP BY user_id) q
+    ON q.user_id = p.user_id AND q.piece_day < p.piece_day
 )"""
     labelled = f"""
 labelled_pieces AS (
@@ -374,7 +382,7 @@ labelled_pieces AS (
   FROM with_prev
 )"""
     return _with(
-        *_spine_ctes(source), pieces, known, labelled, _status_counts("labelled_pieces", keys, keys)
+        *_spine_ctes(source, strict), pieces, known, labelled, _status_counts("labelled_pieces", keys, keys)
     ) + "\n" + _long_rows(keys, with_miles=True)
 
 
@@ -417,22 +425,31 @@ def triangle_sql(source: str, grain: str) -> str:
 
 
 def cohort_matrix_sql(source: str, grain: str) -> str:
+    """Every cohort x every period from it to the last one, by a range join."""
     cohort = GRAIN_COHORT[grain]
-    return _with(SOURCES[source], _triangle_ctes(grain)) + f"""
-SELECT * FROM (
-  PIVOT (SELECT {cohort}, period_offset, retention_rate FROM triangle WHERE period_offset IS NOT NULL)
-  ON period_offset USING first(retention_rate) GROUP BY {cohort}
-) p"""
-
-
-def status_report_sql(growth_sql: str, keys: list[str]) -> str:
-    """Wide report over a long growth table given as a full query."""
-    from lifetide.functions.labels import USER_TYPES
-
-    k = ", ".join(keys)
-    cols = ",\n  ".join(
-        f"CAST(SUM(CASE WHEN user_type = '{t}' THEN user_cnt END) AS BIGINT) AS {t}" for t in USER_TYPES
-    )
+    offset = {
+        "day": "date_diff('day', c.cohort, p.period)",
+        "week": "date_diff('day', c.cohort, p.period) // 7",
+        "month": "(year(p.period) - year(c.cohort)) * 12 + (month(p.period) - month(c.cohort))",
+    }[grain]
+    step = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAY", "month": "INTERVAL 1 MONTH"}[grain]
+    return _with(SOURCES[source], _triangle_ctes(grain)) + f""",
+bounds AS (SELECT min(period) AS lo, max(period) AS hi FROM user_periods),
+periods AS (SELECT CAST(unnest(generate_series(lo, hi, {step})) AS DATE) AS period FROM bounds WHERE lo IS NOT NULL),
+cohorts AS (SELECT {cohort} AS cohort, max(cohort_size) AS cohort_size FROM triangle GROUP BY {cohort})
+SELECT c.cohort AS {cohort}, CAST({offset} AS BIGINT) AS period_offset, coalesce(t.users, 0) AS users,
+       c.cohort_size, t.retention_rate
+FROM cohorts c
+JOIN periods p ON p.period >= c.cohort
+LEFT JOIN triangle t ON t.{cohort} = c.cohort AND t.period_offset = {offset}"""
+
+
+def status_report_sql(source: str, grain: str) -> str:
+    """Wide report over the long growth table of the grain."""
+    growth_sql = growth_daily_sql(source) if grain == "day" else growth_period_sql(source, grain)
+    k = {"day": "cal_day, cal_month", "week": "cal_week, cal_month", "month": "cal_month"}[grain]
+    types = ["new_users", "retained", "resurrected", "tot_churned", "churned", "active"]
+    cols = ",\n  ".join(f"CAST(SUM(CASE WHEN user_type = '{t}' THEN user_cnt END) AS BIGINT) AS {t}" for t in types)
     return f"SELECT {k},\n  {cols}\nFROM ({growth_sql}) g\nGROUP BY {k}"
 
 

@@ -1,14 +1,12 @@
 """Build every model as stored tables, the way a scheduled job would.
 
-``user_day_activity`` (the per user-day measures) is the one shared
-intermediate: it is written once under the cluster's shared checkpoint
-folder (``spark.checkpoint.dir``) and read back, so every later model starts
-from a stored table.  That cuts the lineage to the raw events, lets the
-growth and retention models share one scan of them, and means a lost
-executor never forces a rescan of the raw events.  Models materialised as
-tables in the published project are written under ``out_dir``; the view
-models are written too (a stored result is what a dashboard reads) and
-every model can be registered as a temporary view.
+``user_days`` (the per user-day measures with each user's neighbouring days)
+is the one shared intermediate: it is written once, clustered by user, under
+the cluster's shared checkpoint folder (``spark.checkpoint.dir``) and read
+back.  That cuts the lineage to the raw events, and the growth, spine, report
+and retention models need no window over users of their own.  Every model is
+a stored table under ``out_dir``; those that are cheap to recompute can stay
+views instead, computed when they are read.
 """
 
 from __future__ import annotations
@@ -16,6 +14,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lifetide.operators import (
     calendar,
@@ -24,22 +23,31 @@ from lifetide.operators import (
     event_ordinal,
     fact_events,
     growth,
-    growth_consolidated,
-    status_report,
+    status_report_of,
     transaction_breakdown,
     triangle,
+    triangle_from_days,
     user_day_activity,
     user_day_spine,
     user_day_status,
+    user_days,
 )
-from lifetide.operators.retention import user_periods
+from lifetide.operators.growth import consolidated_rows
 from lifetide.session import checkpoint_dir
 
 GROWTH_KEYS = {"day": ["cal_day", "cal_month"], "week": ["cal_week", "cal_month"], "month": ["cal_month"]}
 GRAIN_NAME = {"day": "daily", "week": "weekly", "month": "monthly"}
+#: Tasks that write one directory of a partitioned table at most.
+FILES_PER_DIRECTORY = 8
 
 
 def _write(df: DataFrame, path: str, fmt: str, partition_by: list[str] | None = None) -> None:
+    """Write ``df``; rows of a partitioned table are first brought together by
+    directory, each spread over a few tasks, so files stay few and none is
+    written by one task alone."""
+    if partition_by:
+        rest = [c for c in df.columns if c not in partition_by]
+        df = df.repartition(*partition_by, F.pmod(F.xxhash64(*rest), F.lit(FILES_PER_DIRECTORY)))
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -53,6 +61,7 @@ def build_all(
     fmt: str = "parquet",
     include_spine: bool = True,
     register_views: bool = False,
+    lazy_views: bool = False,
     partition_by: dict[str, list[str]] | None = None,
     keep_stage: bool = False,
 ) -> dict[str, str]:
@@ -62,16 +71,18 @@ def build_all(
     gap-filled user x day tables (``growth_transactions`` and
     ``growth_accounting_frm_day``), whose size is users x active span; the
     growth tables do not need them.  ``register_views`` also exposes every
-    stored model as a temporary view of the same name.  ``partition_by``
-    maps a model name to directory-partition columns (for example
-    ``{"growth_transactions": ["cal_month"]}``) so readers can prune by
-    period.  The staged intermediate is deleted once every model is
-    written, unless ``keep_stage``.
+    stored model as a temporary view of the same name.  ``lazy_views`` keeps
+    the calendar, the user dimension, the event ordinals and the triangles as
+    temporary views over ``events`` that are computed when read, never stale,
+    instead of storing them.  ``partition_by`` maps a model name to
+    directory-partition columns (for example ``{"growth_transactions":
+    ["cal_day"]}``) so readers can prune by period.  The staged intermediate
+    is deleted when the build ends, also if a model fails, unless
+    ``keep_stage``.
     """
     out = out_dir.rstrip("/")
     stage = f"{checkpoint_dir(spark).rstrip('/')}/lifetide-stage-{uuid.uuid4().hex}"
     paths: dict[str, str] = {}
-
     parts = partition_by or {}
 
     def save(name: str, df: DataFrame) -> None:
@@ -82,38 +93,41 @@ def build_all(
     def load(name: str) -> DataFrame:
         return spark.read.format(fmt).load(paths[name])
 
-    # Shared intermediate: one aggregation of the raw events, staged in the
-    # shared checkpoint folder.
-    _write(user_day_activity(events), f"{stage}/user_day_activity", "parquet")
-    activity = spark.read.parquet(f"{stage}/user_day_activity")
-
-    save("calendar", calendar(activity, time_col="day"))
-    save("dim_users", dim_users(events))
-    save("fct_events", fact_events(events))
-    save("event_ordinal", event_ordinal(events))
-
-    if include_spine:
-        save("growth_transactions", user_day_spine(activity))
-        save("growth_accounting_frm_day", user_day_status(load("growth_transactions")))
-
-    for grain in ("day", "week", "month"):
-        name = GRAIN_NAME[grain]
-        save(f"growth_accounting_{name}", growth(activity, grain))
-        if grain != "day":
-            save(f"growth_accounting_{name}_strict", growth(activity, grain, mode="strict"))
-        save(f"status_report_{name}", status_report(load(f"growth_accounting_{name}"), GROWTH_KEYS[grain]))
-        save(f"transaction_breakdown_{name}", transaction_breakdown(activity, grain))
-    save("growth_accounting_consolidated", growth_consolidated(activity))
-
-    # Cohort tables from the stored user-days: distinct (user, period) of the
-    # user-day table equals that of the raw events.
-    for grain in ("day", "week", "month"):
-        name = GRAIN_NAME[grain]
-        periods = user_periods(activity.withColumnRenamed("day", "event_time"), grain)
-        save(f"triangle_retention_{name}", triangle(events, grain, periods=periods))
-        save(f"cohort_matrix_{name}", cohort_matrix(load(f"triangle_retention_{name}"), grain))
-    if not keep_stage:
-        _delete(spark, stage)
+    def view(name: str, df: DataFrame, stored: DataFrame | None = None) -> None:
+        """A model that may stay a view of ``df``; ``stored`` is a cheaper form to write."""
+        if lazy_views:
+            df.createOrReplaceTempView(name)
+        else:
+            save(name, df if stored is None else stored)
+
+    try:
+        # One aggregation of the raw events and one window by user, whose
+        # partitioning the files keep.
+        _write(user_days(user_day_activity(events)), f"{stage}/user_days", "parquet")
+        days = spark.read.parquet(f"{stage}/user_days")
+
+        view("calendar", calendar(events), calendar(days, time_col="day"))
+        view("dim_users", dim_users(events))
+        save("fct_events", fact_events(events))
+        view("event_ordinal", event_ordinal(events))
+
+        if include_spine:
+            save("growth_transactions", user_day_spine(days))
+            save("growth_accounting_frm_day", user_day_status(load("growth_transactions")))
+
+        for grain, name in GRAIN_NAME.items():
+            save(f"growth_accounting_{name}", growth(days, grain))
+            if grain != "day":
+                save(f"growth_accounting_{name}_strict", growth(days, grain, mode="strict"))
+            save(f"status_report_{name}", status_report_of(load(f"growth_accounting_{name}"), GROWTH_KEYS[grain]))
+            save(f"transaction_breakdown_{name}", transaction_breakdown(days, grain))
+            view(f"triangle_retention_{name}", triangle(events, grain), triangle_from_days(days, grain))
+            tri = triangle_from_days(days, grain) if lazy_views else load(f"triangle_retention_{name}")
+            save(f"cohort_matrix_{name}", cohort_matrix(tri, grain))
+        save("growth_accounting_consolidated", consolidated_rows(load("growth_accounting_daily")))
+    finally:
+        if not keep_stage:
+            _delete(spark, stage)
     if register_views:
         for name in paths:
             load(name).createOrReplaceTempView(name)

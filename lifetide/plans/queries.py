@@ -33,6 +33,15 @@ from lifetide.sources.events import load_source
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 GRAIN_NAME = {"day": "daily", "week": "weekly", "month": "monthly"}
+#: Keys under which report tables were registered before every grain was.
+EARLIER_NAMES = {
+    "cohort_matrix": "cohort_matrix_daily",
+    "cohort_matrix_orders": "cohort_matrix_monthly_orders",
+    "status_report": "status_report_daily",
+    "status_report_orders": "status_report_weekly_orders",
+    "transaction_breakdown": "transaction_breakdown_daily",
+    "transaction_breakdown_orders": "transaction_breakdown_monthly_orders",
+}
 
 
 @dataclass(frozen=True)
@@ -48,10 +57,6 @@ def _on(source: str, op: Callable[[DataFrame], DataFrame]) -> QueryFn:
     return run
 
 
-def _growth_keys(grain: str) -> list[str]:
-    return {"day": ["cal_day", "cal_month"], "week": ["cal_week", "cal_month"], "month": ["cal_month"]}[grain]
-
-
 def _build() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for source in ("events", "orders"):
@@ -81,52 +86,28 @@ def _build() -> dict[str, Query]:
             q[f"triangle_{GRAIN_NAME[grain]}{sfx}"] = Query(
                 _on(source, lambda ev, g=grain: triangle(ev, g)), oracle.triangle_sql(source, grain)
             )
-    # The gap-filled spine and its status rows: events only (the orders spine
-    # is 2.9 M rows at sf0.01; it is checked against the theta-join form in
-    # tests on the small fixture instead).
-    q["user_day_spine"] = Query(
-        _on("events", lambda ev: user_day_spine(user_day_activity(ev))), oracle.user_day_spine_sql("events")
-    )
-    q["user_day_status"] = Query(
-        _on("events", lambda ev: user_day_status(user_day_spine(user_day_activity(ev)))),
-        oracle.user_day_status_sql("events"),
-    )
-    # Dashboard tables.
-    q["cohort_matrix"] = Query(
-        _on("events", lambda ev: cohort_matrix(triangle(ev, "day"), "day")), oracle.cohort_matrix_sql("events", "day")
-    )
-    q["cohort_matrix_orders"] = Query(
-        _on("orders", lambda ev: cohort_matrix(triangle(ev, "month"), "month")),
-        oracle.cohort_matrix_sql("orders", "month"),
-    )
-    q["status_report"] = Query(
-        _on("events", lambda ev: status_report(growth(user_day_activity(ev), "day"), _growth_keys("day"))),
-        oracle.status_report_sql(oracle.growth_daily_sql("events"), _growth_keys("day")),
-    )
-    q["status_report_orders"] = Query(
-        _on("orders", lambda ev: status_report(growth(user_day_activity(ev), "week"), _growth_keys("week"))),
-        oracle.status_report_sql(oracle.growth_period_sql("orders", "week"), _growth_keys("week")),
-    )
-    q["cohort_matrix_weekly_orders"] = Query(
-        _on("orders", lambda ev: cohort_matrix(triangle(ev, "week"), "week")),
-        oracle.cohort_matrix_sql("orders", "week"),
-    )
-    q["status_report_monthly_orders"] = Query(
-        _on("orders", lambda ev: status_report(growth(user_day_activity(ev), "month"), _growth_keys("month"))),
-        oracle.status_report_sql(oracle.growth_period_sql("orders", "month"), _growth_keys("month")),
-    )
-    q["transaction_breakdown_weekly_orders"] = Query(
-        _on("orders", lambda ev: transaction_breakdown(user_day_activity(ev), "week")),
-        oracle.transaction_breakdown_sql("orders", "week"),
-    )
-    q["transaction_breakdown"] = Query(
-        _on("events", lambda ev: transaction_breakdown(user_day_activity(ev), "day")),
-        oracle.transaction_breakdown_sql("events", "day"),
-    )
-    q["transaction_breakdown_orders"] = Query(
-        _on("orders", lambda ev: transaction_breakdown(user_day_activity(ev), "month")),
-        oracle.transaction_breakdown_sql("orders", "month"),
-    )
+        q[f"user_day_spine{sfx}"] = Query(
+            _on(source, lambda ev: user_day_spine(user_day_activity(ev))), oracle.user_day_spine_sql(source)
+        )
+        q[f"user_day_status{sfx}"] = Query(
+            _on(source, lambda ev: user_day_status(user_day_spine(user_day_activity(ev)))),
+            oracle.user_day_status_sql(source),
+        )
+        # Dashboard tables, every grain.
+        for grain, name in GRAIN_NAME.items():
+            q[f"cohort_matrix_{name}{sfx}"] = Query(
+                _on(source, lambda ev, g=grain: cohort_matrix(triangle(ev, g), g)), oracle.cohort_matrix_sql(source, grain)
+            )
+            q[f"status_report_{name}{sfx}"] = Query(
+                _on(source, lambda ev, g=grain: status_report(user_day_activity(ev), g)), oracle.status_report_sql(source, grain)
+            )
+            q[f"transaction_breakdown_{name}{sfx}"] = Query(
+                _on(source, lambda ev, g=grain: transaction_breakdown(user_day_activity(ev), g)),
+                oracle.transaction_breakdown_sql(source, grain),
+            )
+    # Names of the first registrations.
+    for old, new in EARLIER_NAMES.items():
+        q[old] = q[new]
     return q
 
 
