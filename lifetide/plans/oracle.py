@@ -164,7 +164,7 @@ def _type_case(a: str, t: str, churn: str) -> str:
 
 def _sub_type_case(a: str, t: str, e: str, r: str, churn: str, strict: bool) -> str:
     """Decision table by activity class.  Without ``strict`` the
-    earned-and-redeemed test looks at the redeemed amount only, as published."""
+    earned-and-redeemed test looks at the redeemed amount only."""
     other = f"CASE WHEN {churn} THEN 'Churned' ELSE 'No Activity' END"
     both = f"{e} <> 0 AND {r} <> 0" if strict else f"{r} <> 0"
     miles = (
