@@ -4,11 +4,13 @@ One zstandard dictionary is trained on text labelled good and one on text
 labelled bad.  A text is cut into blocks of ``BLOCK`` bytes and every block is
 compressed with either; with the summed sizes g and b and the text's n bytes
 its difference is ``(b - g + PRIOR m) / (n + PRIOR)``, where m is the mean
-difference of the calibration texts (short texts stay near it).  A logistic
-curve fitted to other labelled texts, weighted to the labels' class
-frequencies, turns the difference into the score: the probability of label 1.
-The difference is first limited to where good texts end (their median, and as
-far below their first percentile), so that far outliers do not bend the curve.
+difference of the calibration texts.  A logistic curve fitted to other
+labelled texts, weighted to the labels' class frequencies, turns the
+difference into the score: the probability of label 1.  The curve's level and
+slope go from those of short texts to those of long ones as ``exp(-n /
+SHORT)`` falls, since the difference of a short text is noisier; the
+difference is limited below where good texts end, so that far outliers do not
+bend the curve.
 
 Learning takes at most ``DICTIONARY_ROWS`` + ``CALIBRATION_ROWS`` labelled
 texts of each class, the first by a hash of the id, and up to
@@ -46,18 +48,23 @@ DICTIONARY_ROWS = 1500
 CALIBRATION_ROWS = 1500
 BLOCKS_PER_TEXT = 16
 #: Bytes that stand for what is known before a text is read.
-PRIOR = 60.0
+PRIOR = 20.0
+#: Length in bytes by which a text stops counting as short.
+SHORT = 100.0
+#: Texts of this length or more place the limits of the difference.
+LONG = 500
 
 
 @dataclass(frozen=True)
 class Model:
     good: bytes | None
     bad: bytes | None
-    mean: float
-    intercept: float
-    slope: float
+    mean: float = 0.0
     low: float = 0.0
     high: float = 0.0
+    curve: tuple[float, ...] = ()
+    #: Score of every text where there is nothing to tell the classes by.
+    constant: float = 0.5
 
 
 def blocks(text: str | None) -> list[bytes]:
@@ -98,24 +105,31 @@ def difference(sizes: np.ndarray, mean: float) -> np.ndarray:
     return (bad - good + PRIOR * mean) / (raw + PRIOR)
 
 
-def scaled(x: np.ndarray, low: float, high: float) -> np.ndarray:
-    """From -1 at ``low`` to 0 at ``high``, limited to that."""
-    return (np.clip(x, low, high) - high) / max(high - low, 1e-9)
+def features(sizes: np.ndarray, mean: float, low: float, high: float) -> np.ndarray:
+    """The curve's inputs: the difference, scaled to -1 at ``low`` and 0 at
+    ``high``, for long and for short texts, and both levels."""
+    z = (difference(sizes, mean) - high) / max(high - low, 1e-9)
+    short = np.exp(-sizes[:, 2] / SHORT)
+    return np.stack([np.ones(len(z)), np.clip(z, -1, 1) * (1 - short), np.clip(z, -4, 1) * short, short], axis=1)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
-    """Intercept and slope of the weighted, slightly ridged logistic fit (Newton)."""
-    beta = np.zeros(2)
-    design = np.stack([np.ones_like(x), x], axis=1)
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        gradient = design.T @ (weight * (y - p)) - ridge * beta
-        hessian = (design * (weight * p * (1 - p))[:, None]).T @ design + ridge * np.eye(2)
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+    """Coefficients of the weighted, slightly ridged logistic fit (Newton)."""
+    beta = np.zeros(x.shape[1])
+    for _ in range(200):
+        p = probability(x, beta)
+        gradient = x.T @ (weight * (y - p)) - ridge * beta
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(beta))
         step = np.linalg.solve(hessian, gradient)
-        beta += step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
-        if np.abs(step).max() < 1e-9:
+        largest = np.abs(step).max()
+        beta += step * min(1.0, 4.0 / max(largest, 1e-12))
+        if largest < 1e-9:
             break
-    return float(beta[0]), float(beta[1])
+    return beta
+
+
+def probability(x: np.ndarray, beta: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
 
 
 def sizes_of(docs: DataFrame, model: Model) -> DataFrame:
@@ -155,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     count = {r["quality"]: r["n"] for r in marked.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
     if set(count) != {0, 1}:
         share = float(next(iter(count), 0.5))
-        return Model(None, None, 0.0, share, 0.0)
+        return Model(None, None, constant=share)
     chosen: dict[int, list[tuple[int, int]]] = {0: [], 1: []}
     for quality in (0, 1):
         rows = marked.where(F.col("quality") == quality).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -173,26 +187,27 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     taken = spread_blocks(of(0)).join(F.broadcast(spark.createDataFrame(chosen[0], "doc_id long, quality int")), "doc_id")
     for r in sorted(taken.select("doc_id", "quality", "blocks").collect(), key=lambda r: (r["doc_id"], r["quality"], r["blocks"])):
         samples[r["quality"]] += [bytes(b) for b in r["blocks"]]
-    model = Model(dictionary(samples[1]), dictionary(samples[0]), 0.0, 0.0, 0.0)
+    model = Model(dictionary(samples[1]), dictionary(samples[0]))
     if not model.good or not model.bad:
-        return Model(None, None, 0.0, count[1] / (count[0] + count[1]), 0.0)
+        return Model(None, None, constant=count[1] / (count[0] + count[1]))
     measured = sizes_of(of(1), model).join(F.broadcast(spark.createDataFrame(chosen[1], "doc_id long, quality int")), "doc_id")
     rows = np.array(sorted((r["doc_id"], r["quality"], r["good"], r["bad"], r["raw"]) for r in measured.collect()), float)
     y, sizes = rows[:, 1], rows[:, 2:]
     weight = np.where(y == 1, count[1] / max(1, (y == 1).sum()), count[0] / max(1, (y == 0).sum()))
     weight *= len(y) / weight.sum()
     mean = float(np.average(difference(sizes, 0.0), weights=weight))
-    x = difference(sizes, mean)
-    first, middle = np.quantile(x[y == 1], [0.01, 0.5])
+    good = y == 1
+    x = difference(sizes[good & (sizes[:, 2] >= LONG)] if (good & (sizes[:, 2] >= LONG)).any() else sizes[good], mean)
+    first, middle = np.quantile(x, [0.01, 0.5])
     low, high = float(2 * first - middle), float(middle)
-    intercept, slope = logistic(scaled(x, low, high), y, weight)
-    return Model(model.good, model.bad, mean, intercept, slope, low, high)
+    curve = logistic(features(sizes, mean, low, high), y, weight)
+    return Model(model.good, model.bad, mean, low, high, tuple(curve.tolist()))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` of every row of ``docs``."""
     if model.good is None:
-        return key_and_text(docs).select("doc_id", F.lit(model.intercept).alias("score"))
+        return key_and_text(docs).select("doc_id", F.lit(model.constant).alias("score"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(model.good, model.bad)
@@ -205,14 +220,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def scores(model: Model, sizes: Sizes, texts: list[str | None]) -> np.ndarray:
     found = np.array([sizes(t) for t in texts], float).reshape(-1, 3)
-    x = model.intercept + model.slope * scaled(difference(found, model.mean), model.low, model.high)
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return probability(features(found, model.mean, model.low, model.high), np.array(model.curve))
 
 
 def keep(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
     """The rows of ``docs``, whole, whose score reaches ``threshold``."""
     if model.good is None:
-        return docs if model.intercept >= threshold else docs.limit(0)
+        return docs if model.constant >= threshold else docs.limit(0)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
