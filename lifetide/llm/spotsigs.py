@@ -25,6 +25,8 @@ table gives an empty one; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,37 +88,35 @@ def likeness(a: str, b: str, floor: float = FLOOR) -> Column:
            ELSE size(array_intersect({a}, {b})) / cast(size({a}) + size({b}) - size(array_intersect({a}, {b})) AS double) END""")
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``docs`` with ``next_<column>`` of the next document for ``columns``."""
+def with_next(docs: DataFrame, columns: list[str], add: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``docs`` with ``next_<column>`` of the next document for ``columns``.
+    Columns made by ``add`` are made after the shuffle, so they do not travel."""
     size = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("doc_id").alias("n")).first()
     ranges = max(1, min(MAX_RANGES, (size["n"] or 0) // RANGE_ROWS))
     low = size["low"] or 0
     width = -(-((size["high"] or 0) - low + 1) // ranges)
     # Range 0 holds null ids.
     own = F.expr(f"coalesce(cast((cast(doc_id AS decimal(20, 0)) - {low}) DIV {width} AS int) + 1, 0)")
-    ids = docs.select("doc_id", own.alias("range")).groupBy("range").agg(F.min("doc_id").alias("first"))
-    order = Window.orderBy("range")
-    ends = ids.agg(F.max("range")).first()[0]
-    before = ids.select("first", F.coalesce(F.lag("range").over(order), F.lit(ends)).alias("before"))
-    sent = docs.join(F.broadcast(before), F.col("doc_id").eqNullSafe(F.col("first")), "left").select(
-        *docs.columns,
-        F.explode(
-            F.when(F.col("before").isNull(), F.array(F.struct(own.alias("range"), F.lit(False).alias("guest")))).otherwise(
-                F.array(F.struct(own.alias("range"), F.lit(False).alias("guest")), F.struct(F.col("before").alias("range"), F.lit(True).alias("guest")))
-            )
-        ).alias("_at"),
+    ids = docs.select("doc_id", own.alias("_range")).groupBy("_range").agg(F.min("doc_id").alias("_first"))
+    ends = ids.agg(F.max("_range")).first()[0]
+    before = ids.select("_first", F.coalesce(F.lag("_range").over(Window.orderBy("_range")), F.lit(ends)).alias("_before"))
+    place = F.array(F.struct(own.alias("_range"), F.lit(False).alias("_guest")))
+    guest = F.array(F.struct(F.col("_before").alias("_range"), F.lit(True).alias("_guest")))
+    sent = docs.join(F.broadcast(before), F.col("doc_id").eqNullSafe(F.col("_first")), "left").select(
+        *docs.columns, F.inline(F.when(F.col("_before").isNull(), place).otherwise(F.concat(place, guest)))
     )
-    line = Window.partitionBy("_at.range").orderBy(F.col("_at.guest"), F.col("doc_id"), F.col("text"))
-    following = F.lead(F.struct(*columns)).over(line)
-    return sent.withColumn("_next", following).where("NOT _at.guest").select(*docs.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in columns])
+    dealt = add(sent.repartition("_range"))
+    line = Window.partitionBy("_range").orderBy("_guest", "doc_id", "text")
+    paired = dealt.withColumn("_next", F.lead(F.struct(*columns)).over(line)).where("NOT _guest")
+    kept = [c for c in paired.columns if c not in ("_range", "_guest", "_next")]
+    return paired.select(*kept, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in columns])
 
 
 def edited_by_next(docs: DataFrame) -> DataFrame:
     """Every document with its signatures, the next document's, and those of
     its edited text: the last half of its code points replaced by as many of
     the next document's first (or all of them)."""
-    own = with_signatures(key_and_text(docs), "text", "sigs")
-    paired = with_next(own, ["text", "sigs"])
+    paired = with_next(key_and_text(docs), ["text", "sigs"], lambda df: with_signatures(df, "text", "sigs"))
     edited = paired.withColumn("n_chars", F.length("text").cast("long")).withColumn(
         "edited", F.expr("concat(substring(text, 1, cast(n_chars - n_chars DIV 2 AS int)), substring(next_text, 1, cast(n_chars DIV 2 AS int)))")
     )
