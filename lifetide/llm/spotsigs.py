@@ -8,6 +8,15 @@ fingerprint is the sorted set of the signatures' 64-bit hashes, all of them.
 A text with fewer than two content words has one signature, the hash of its
 words (of the text itself where there are none); an empty text has none.
 
+``similar`` links all fingerprints of a table at a Jaccard similarity: equal
+sets are one class; sets are partitioned by length so that one can only meet
+its own and the next partition; in them it is found through its rarest
+signatures (as many as two similar sets cannot all miss, rarest by the counts
+over the whole table), and pairs whose lengths rule them out are pruned before
+the sets are compared.  A signature in a third of all texts is among the
+rarest of almost none; the joins are ones whose hot keys adaptive execution
+splits.
+
 Likeness is the Jaccard similarity of two sets.  Sets are put into length
 classes first: where the lengths alone keep the similarity under ``FLOOR`` the
 sets are not compared and the likeness is 0.  Two empty sets are alike (1).
@@ -25,6 +34,7 @@ table gives an empty one; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -121,3 +131,34 @@ def edited_by_next(docs: DataFrame) -> DataFrame:
         "edited", F.expr("concat(substring(text, 1, cast(n_chars - n_chars DIV 2 AS int)), substring(next_text, 1, cast(n_chars DIV 2 AS int)))")
     )
     return with_signatures(edited.drop("text", "next_text"), "edited", "edited_sigs")
+
+
+def similar(prints: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """From ``prints (doc_id, sigs)``: membership ``(doc_id, class_id)`` and
+    links ``(a, b, likeness)`` between classes with ``a < b``.
+
+    A class holds the rows with equal sets and is named by its smallest
+    ``doc_id``; rows with a null id belong to classes but name none (a class
+    of null ids alone is left out).  Empty sets are one class without links.
+    """
+    named = prints.select("doc_id", "sigs", F.xxhash64("sigs").alias("set"))
+    classes = named.groupBy("set").agg(F.min("doc_id").alias("class_id"), F.first("sigs").alias("sigs")).where("class_id IS NOT NULL")
+    members = named.join(classes.select("set", "class_id"), "set").select("doc_id", "class_id")
+
+    length, step = F.size("sigs"), math.log(1 / similarity)
+    sets = classes.where(length > 0).select("class_id", "sigs", length.alias("n"), F.floor(F.log(length) / step + 1e-9).alias("part"))
+    held = sets.select("class_id", "n", "part", F.explode("sigs").alias("sig"))
+    count = held.groupBy("sig").agg(F.count(F.lit(1)).alias("df"))
+    ranked = held.join(count, "sig").groupBy("class_id", "n", "part").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("by_df"))
+    # Of two sets with this similarity, the n - ceil(similarity n) + 1 rarest of either hold a common one.
+    rare = ranked.select("class_id", "n", "part", F.explode(F.expr(f"slice(by_df, 1, cast(n - ceil({similarity}D * n - 1e-9D) + 1 AS int))")).alias("s"))
+    rare = rare.select("class_id", "n", "part", F.col("s.sig").alias("sig"))
+    short = rare.select(F.col("class_id").alias("x"), F.col("n").alias("nx"), "sig", F.explode(F.array("part", F.col("part") + 1)).alias("part"))
+    long = rare.select(F.col("class_id").alias("y"), F.col("n").alias("ny"), "sig", "part")
+    fits = f"(nx < ny OR nx = ny AND x < y) AND nx >= {similarity}D * ny - 1e-9D"
+    pairs = short.join(long, ["sig", "part"]).where(fits).select("x", "y").distinct()
+    a = sets.select(F.col("class_id").alias("x"), F.col("sigs").alias("sx"))
+    b = sets.select(F.col("class_id").alias("y"), F.col("sigs").alias("sy"))
+    compared = pairs.join(a, "x").join(b, "y").withColumn("likeness", likeness("sx", "sy"))
+    links = compared.where(F.col("likeness") >= similarity).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "likeness")
+    return members, links

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import random
 
 import duckdb
 import pytest
+from pyspark.sql import Row
 
 from lifetide.llm import host_reputation as hr
 from lifetide.llm import spotsigs
@@ -91,6 +94,30 @@ def test_next_document_across_ranges(spark):
     assert got == {i: f"t{j}" for i, j in zip(ids, ids[1:] + ids[:1])}
 
 
+@pytest.mark.parametrize("similarity", [0.5, 0.8])
+def test_similar_sets_against_brute_force(spark, similarity):
+    rng = random.Random(9)
+    rows = []
+    for k in range(25):
+        base = rng.sample(range(2000), rng.randint(1, 60))
+        for _ in range(rng.randint(1, 5)):
+            own = [x for x in base if rng.random() < 0.9] + rng.sample(range(2000, 4000), rng.randint(0, 4)) + [5000] * (k % 3 == 0)
+            rows.append(sorted(set(own)))
+    rows += [rows[0], rows[0], []]
+    docs = [(i * 7 % 1009, r) for i, r in enumerate(rows)] + [(None, rows[1]), (None, [9999])]
+    members, links = spotsigs.similar(spark.createDataFrame(docs, "doc_id long, sigs array<long>"), similarity)
+    name = {}
+    for i, r in docs:
+        if i is not None:
+            name[tuple(r)] = min(i, name.get(tuple(r), i))
+    assert sorted(map(str, members.collect())) == sorted(str(Row(doc_id=i, class_id=name[tuple(r)])) for i, r in docs if tuple(r) in name)
+    want = set()
+    for (x, a), (y, b) in itertools.combinations(name.items(), 2):
+        if x and y and len(set(x) & set(y)) / len(set(x) | set(y)) >= similarity:
+            want.add((min(a, b), max(a, b)))
+    assert want and {(r["a"], r["b"]) for r in links.collect()} == want and links.count() == len(want)
+
+
 URLS = [
     "https://A.Example.ORG/en/12?x", "http://example.org/es/5", "http://notexample.org/es/5", "http://org/x", "http://x.org", "http://a.com/de/",
     "http://a.com/fr/1#t", "http://a.com/en/1", "no-scheme/path", None, "ftp://u@h.net:80/en/7", "x://y://z/fr/", "http://?q", "http://com/de/1",
