@@ -66,40 +66,35 @@ def event_ordinal(events: DataFrame) -> DataFrame:
     result, so they are only counted:
 
     1. events per (user, instant), partially aggregated before the shuffle;
-    2. events before each instant: running sums within the second (at most a
-       million instants), of seconds within the hour (3600) and of hours
-       within the user (bounded by the calendar);
+    2. events before each instant: a running sum within the minute (bounded
+       by the clock: its microseconds) and one of minutes within the user
+       (bounded by the calendar);
     3. each instant's run of numbers, cut into chunks that are dealt out
        before they are expanded.
 
     NULL users form one group; NULL times sort first, like ascending SQL
     order, and are one instant.
     """
-    second = "date_trunc('second', event_time)"
     instants = events.groupBy("user_id", "event_time").agg(F.count(F.lit(1)).alias("_n"))
-    # Non-null keys, so that the joins below are plain equalities.
-    epoch = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+    # Non-null keys, so that the join below is a plain equality.
+    keys = ["_u", "_un", "_m", "_tn"]
     keyed = instants.selectExpr(
         "coalesce(user_id, 0) AS _u",
         "user_id IS NULL AS _un",
-        f"coalesce({second}, {epoch}) AS _s",
+        "coalesce(date_trunc('minute', event_time), TIMESTAMP_NTZ '1970-01-01 00:00:00') AS _m",
         "event_time IS NULL AS _tn",
         "event_time",
         "_n",
     )
-    in_second = Window.partitionBy("_u", "_un", "_tn", "_s").orderBy("event_time")
-    counted = keyed.select("*", (F.sum("_n").over(in_second) - F.col("_n")).alias("_before"))
-    seconds = keyed.groupBy("_u", "_un", "_tn", "_s").agg(F.sum("_n").alias("_n")).withColumn("_h", F.expr("date_trunc('hour', _s)"))
-    in_hour = Window.partitionBy("_u", "_un", "_tn", "_h").orderBy("_s")
-    hours = seconds.groupBy("_u", "_un", "_tn", "_h").agg(F.sum("_n").alias("_n"))
-    in_user = Window.partitionBy("_u", "_un").orderBy(F.col("_tn").desc(), F.col("_h"))
-    hours = hours.select("_u", "_un", "_tn", "_h", (F.sum("_n").over(in_user) - F.col("_n")).alias("_hour_base"))
-    bases = (
-        seconds.select("*", (F.sum("_n").over(in_hour) - F.col("_n")).alias("_second_base"))
-        .join(hours, ["_u", "_un", "_tn", "_h"])
-        .select("_u", "_un", "_tn", "_s", (F.col("_hour_base") + F.col("_second_base")).alias("_base"))
+    minute = Window.partitionBy(*keys)
+    counted = keyed.select(
+        "*", (F.sum("_n").over(minute.orderBy("event_time")) - F.col("_n")).alias("_before"), F.sum("_n").over(minute).alias("_total")
     )
-    runs = counted.join(bases, ["_u", "_un", "_tn", "_s"]).selectExpr(
+    # A minute's last instant stands for the minute.
+    minutes = counted.where("_before + _n = _total").select(*keys, "_total")
+    in_user = Window.partitionBy("_u", "_un").orderBy(F.col("_tn").desc(), F.col("_m"))
+    bases = minutes.select(*keys, (F.sum("_total").over(in_user) - F.col("_total")).alias("_base"))
+    runs = counted.join(bases, keys).selectExpr(
         "CASE WHEN NOT _un THEN _u END AS user_id",
         "event_time",
         "_base + _before AS _from",
