@@ -61,14 +61,26 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, drop: DataFrame | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the
-    lineage with files that outlive any executor."""
+    lineage with files that outlive any executor.  ``drop``: an earlier result
+    of this function that nothing reads any more; its files are deleted."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/lifetide-{label}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    if drop is not None:
+        discard(drop)
+    out = spark.read.schema(schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a result of ``stored``."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc_bucket(column: str, buckets: int):

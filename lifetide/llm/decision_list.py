@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lifetide.llm.common import key_and_text, stored
+from lifetide.llm.common import discard, key_and_text, stored
 
 SPACES = r"[\x20\x09-\x0D]+"
 #: Fixed value: the symbols of the contract.
@@ -181,6 +181,7 @@ def learn(measured: DataFrame, labels: DataFrame) -> list[Rule]:
             break
         rules.append(rule)
         left = left.where(f"NOT ({rule_sql(rule)})")
+    discard(rows)
     return rules
 
 

@@ -13,8 +13,8 @@ Gray-order index: fingerprints sorted by their rank in the reflected binary
 code are cut into leaves; a leaf keeps the bits that all its members share
 (mask and pattern), an upper node the bits shared by its leaves.  A search
 adds the differing shared bits on the way down and drops a whole node once
-the sum passes ``max_bits``.  A group emits a spanning forest of its links,
-never all pairs.  A group over ``GROUP_LIMIT`` is cut into parts by a
+the sum passes ``max_bits``.  A group over ``SMALL`` emits a spanning forest of
+its links, never all pairs.  A group over ``GROUP_LIMIT`` is cut into parts by a
 hash and every pair of parts is searched as a group of its own, so no task
 holds more than two parts at once and no link is lost.  (Such groups come from
 dense clusters; the fingerprints within a few bits of each other are bounded
@@ -46,11 +46,13 @@ from lifetide.llm.common import key_and_text, stored
 SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
-#: Bit blocks; with at most 4 differing bits two of six agree.
+#: Bit blocks; with at most 4 differing bits two of six agree: 15 keys of 21
+#: bits.  From some 10^8 documents on, eight blocks (70 keys of 32 bits) keep
+#: the groups small; the links are the same for any number over ``max_bits``.
 BLOCKS = 6
-#: Fingerprints searched in one task at most (twice as many for a pair of blocks).
+#: Fingerprints of a group, or of one part of it, that are searched at once.
 GROUP_LIMIT = 4096
-#: Cells up to this size are compared row against row.
+#: Groups up to this size are compared row against row.
 SMALL = 16
 #: Fingerprints in a leaf, and leaves in an upper node, of the index.
 LEAF, FAN = 32, 16
@@ -228,24 +230,30 @@ def star_batch(cell: np.ndarray, fps: np.ndarray, max_bits: int) -> pa.RecordBat
 
 def connected(edges: DataFrame, steps: int = 64) -> DataFrame:
     """``(node, root)`` with the smallest node reachable, for every node of
-    ``edges (a, b)``, by alternating large-star and small-star steps."""
+    ``edges (a, b)``, by alternating large-star and small-star steps until
+    nothing changes (their number grows with the logarithm of the nodes)."""
     pairs = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
+    state = summary(pairs)
     for _ in range(steps):
         both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
         # Large star: every larger neighbour of a node is tied to the node's minimum.
-        large = both.where("b > a").join(low, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.where("b > a").join(low, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large.where("a <> b").distinct()
         # Small star: a node and its smaller neighbours are tied to the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
-        joined = large.join(low, F.col("a") == F.col("n"))
-        small = joined.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
-        pairs = stored(small, "star")
-        state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        tied = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+        small = large.join(low, F.col("a") == F.col("n")).select(F.inline(tied)).where("a <> b").distinct()
+        pairs = stored(small, "star", drop=pairs)
+        before, state = state, summary(pairs)
         if state == before:
-            break
-        before = state
-    return pairs.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
+            return pairs.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
+    raise RuntimeError(f"components not settled after {steps} steps")
+
+
+def summary(pairs: DataFrame) -> tuple:
+    """Count and hash sum of a set of pairs: equal for equal sets."""
+    return tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
 
 
 def components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
