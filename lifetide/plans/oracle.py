@@ -267,6 +267,13 @@ def fct_events_sql(source: str) -> str:
     )
 
 
+def event_stream_sql(source: str) -> str:
+    return _with(SOURCES[source]) + (
+        "\nSELECT event_time, user_id, event_type, transaction_category, miles_amount, platform, utm_source, country "
+        "FROM event_stream"
+    )
+
+
 def event_ordinal_sql(source: str) -> str:
     return _with(SOURCES[source]) + """
 SELECT user_id, event_time,

@@ -41,7 +41,7 @@ GRAIN_NAME = {"day": "daily", "week": "weekly", "month": "monthly"}
 FILES_PER_DIRECTORY = 8
 
 
-def _write(df: DataFrame, path: str, fmt: str, partition_by: list[str] | None = None) -> None:
+def write_table(df: DataFrame, path: str, fmt: str, partition_by: list[str] | None = None) -> None:
     """Write ``df``; rows of a partitioned table are first brought together by
     directory, each spread over a few tasks, so files stay few and none is
     written by one task alone."""
@@ -87,7 +87,7 @@ def build_all(
 
     def save(name: str, df: DataFrame) -> None:
         path = f"{out}/{name}"
-        _write(df, path, fmt, parts.get(name))
+        write_table(df, path, fmt, parts.get(name))
         paths[name] = path
 
     def load(name: str) -> DataFrame:
@@ -103,7 +103,7 @@ def build_all(
     try:
         # One aggregation of the raw events and one window by user, whose
         # partitioning the files keep.
-        _write(user_days(user_day_activity(events)), f"{stage}/user_days", "parquet")
+        write_table(user_days(user_day_activity(events)), f"{stage}/user_days", "parquet")
         days = spark.read.parquet(f"{stage}/user_days")
 
         view("calendar", calendar(events), calendar(days, time_col="day"))

@@ -8,10 +8,13 @@ run the same operator on the orders adapter.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lifetide.operators import (
     calendar,
@@ -29,7 +32,9 @@ from lifetide.operators import (
     user_day_status,
 )
 from lifetide.plans import oracle
-from lifetide.sources.events import load_source
+from lifetide.plans.pipeline import write_table
+from lifetide.session import checkpoint_dir
+from lifetide.sources.events import load_source, read_event_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 GRAIN_NAME = {"day": "daily", "week": "weekly", "month": "monthly"}
@@ -57,6 +62,48 @@ def _on(source: str, op: Callable[[DataFrame], DataFrame]) -> QueryFn:
     return run
 
 
+def _folder(spark: SparkSession) -> str:
+    """A new folder in the cluster's shared one (a local one where none is set)."""
+    unset = not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None))
+    shared = checkpoint_dir(spark, tempfile.mkdtemp(prefix="lifetide-shared-") if unset else None)
+    return f"{shared.rstrip('/')}/lifetide-query-{uuid.uuid4().hex}"
+
+
+def _reread(source: str, fmt: str) -> QueryFn:
+    """The event stream written as text and read by ``read_event_stream``."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _folder(spark)
+        load_source(spark, sf_dir, source).write.format(fmt).options(header="true", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS").save(path)
+        back = read_event_stream(spark, path, fmt)
+        return back.withColumn("miles_amount", F.col("miles_amount").cast("bigint"))
+
+    return run
+
+
+def _table_sink(source: str) -> QueryFn:
+    """Daily growth written as a table partitioned by month, and read back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _folder(spark)
+        model = growth(user_day_activity(load_source(spark, sf_dir, source)), "day")
+        write_table(model, path, "parquet", ["cal_month"])
+        return spark.read.parquet(path)
+
+    return run
+
+
+def _view_sink(source: str) -> QueryFn:
+    """Weekly retention as a view that is computed when it is read."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        name = f"triangle_retention_weekly_{source}"
+        triangle(load_source(spark, sf_dir, source), "week").createOrReplaceTempView(name)
+        return spark.sql(f"SELECT * FROM {name}")
+
+    return run
+
+
 def _build() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for source in ("events", "orders"):
@@ -105,6 +152,11 @@ def _build() -> dict[str, Query]:
                 _on(source, lambda ev, g=grain: transaction_breakdown(user_day_activity(ev), g)),
                 oracle.transaction_breakdown_sql(source, grain),
             )
+        # The reader and the sinks, each against the model that went through it.
+        for fmt in ("csv", "json"):
+            q[f"event_stream_{fmt}{sfx}"] = Query(_reread(source, fmt), oracle.event_stream_sql(source))
+        q[f"table_sink{sfx}"] = Query(_table_sink(source), oracle.growth_daily_sql(source))
+        q[f"view_sink{sfx}"] = Query(_view_sink(source), oracle.triangle_sql(source, "week"))
     # Names of the first registrations.
     for old, new in EARLIER_NAMES.items():
         q[old] = q[new]
