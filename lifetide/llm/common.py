@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-#: Words whose hash one task keeps (about 60 MB).
-CACHE_WORDS = 400_000
+#: Words whose hash one task keeps (about 50 MB).
+CACHE_WORDS = 300_000
 
 
 class WordHashes(dict):
