@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lifetide.llm.bpe import slices
-from lifetide.llm.common import key_and_text, stored
+from lifetide.llm.common import discard, key_and_text, stored
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -181,7 +181,8 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, limi
     masks = block_masks(blocks, blocks - max_bits)
     keyed = nodes.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("mask", "key"))
     sizes = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    keyed = keyed.join(sizes, ["mask", "key"])
+    # Stored before the join: one straight on the aggregation's partitions could not be split.
+    keyed = keyed.join(stored(sizes, "sizes"), ["mask", "key"])
 
     # A group within the limit is one cell.  A larger one is cut into parts by
     # a hash; a row goes to the cell of its part with every part.
@@ -236,15 +237,18 @@ def connected(edges: DataFrame, steps: int = 64) -> DataFrame:
     state = summary(pairs)
     for _ in range(steps):
         both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+        # Minima are stored before their joins, so that the many links of one node can be split.
+        low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m")), "low")
         # Large star: every larger neighbour of a node is tied to the node's minimum.
         large = both.where("b > a").join(low, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = stored(large.where("a <> b").distinct(), "large", drop=low)
         # Small star: a node and its smaller neighbours are tied to the smallest of them.
-        low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
+        low = stored(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n"), "low")
         tied = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
         small = large.join(low, F.col("a") == F.col("n")).select(F.inline(tied)).where("a <> b").distinct()
         pairs = stored(small, "star", drop=pairs)
+        discard(low)
+        discard(large)
         before, state = state, summary(pairs)
         if state == before:
             return pairs.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")

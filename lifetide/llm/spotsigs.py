@@ -40,7 +40,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lifetide.llm.common import key_and_text
+from lifetide.llm.common import key_and_text, stored
 
 #: Common words of English, French, German and Spanish.
 COMMON = """
@@ -148,7 +148,8 @@ def similar(prints: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, Data
     length, step = F.size("sigs"), math.log(1 / similarity)
     sets = classes.where(length > 0).select("class_id", "sigs", length.alias("n"), F.floor(F.log(length) / step + 1e-9).alias("part"))
     held = sets.select("class_id", "n", "part", F.explode("sigs").alias("sig"))
-    count = held.groupBy("sig").agg(F.count(F.lit(1)).alias("df"))
+    # Stored before the join: one straight on the aggregation's partitions could not be split.
+    count = stored(held.groupBy("sig").agg(F.count(F.lit(1)).alias("df")), "df")
     ranked = held.join(count, "sig").groupBy("class_id", "n", "part").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("by_df"))
     # Of two sets with this similarity, the n - ceil(similarity n) + 1 rarest of either hold a common one.
     rare = ranked.select("class_id", "n", "part", F.explode(F.expr(f"slice(by_df, 1, cast(n - ceil({similarity}D * n - 1e-9D) + 1 AS int))")).alias("s"))
