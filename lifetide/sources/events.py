@@ -11,7 +11,6 @@ the scan; no filter is applied here, so every row of the table flows on.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lifetide.functions.labels import MILES_EARNED, MILES_REDEEMED, REWARD_SEARCH
