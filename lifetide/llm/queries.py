@@ -18,6 +18,7 @@ from lifetide.llm import (
     simhash,
     spotsigs,
     substring_dedup,
+    token_counts,
 )
 from lifetide.llm.common import crc_bucket, stored, table
 
@@ -28,6 +29,12 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def word_bpe_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_by_next(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -138,6 +145,15 @@ def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("kept", F.expr("NOT base_failed AND rejected_by IS NULL"))
 
 
+#: Fixed value: documents of more tokens are over the limit.
+TOKEN_LIMIT = 2048
+
+
+def op13_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count(table(spark, sf_dir, "documents"), word_bpe_path())
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spotsigs": op1_spotsigs,
     "op2_host_reputation": op2_host_reputation,
@@ -149,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
     "op9_simhash_gray_index": op9_simhash_gray_index,
     "op10_decision_list": op10_decision_list,
+    "op13_heap_token_counts": op13_heap_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {

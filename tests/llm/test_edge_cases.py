@@ -6,7 +6,7 @@ import pytest
 
 from lifetide.llm.queries import QUERIES
 
-PER_DOCUMENT = [q for q in QUERIES if q.split("_")[0] in ("op1", "op3", "op4", "op5", "op7", "op9", "op10")]
+PER_DOCUMENT = [q for q in QUERIES if q.split("_")[0] in ("op1", "op3", "op4", "op5", "op7", "op9", "op10", "op13")]
 
 
 @pytest.mark.parametrize("name", PER_DOCUMENT)
