@@ -11,6 +11,7 @@ from lifetide.llm import (
     bpe,
     compression_classifier,
     decision_list,
+    hard_negatives,
     host_reputation,
     packing,
     pitman_yor,
@@ -19,6 +20,7 @@ from lifetide.llm import (
     spotsigs,
     substring_dedup,
     token_counts,
+    whitening,
 )
 from lifetide.llm.common import crc_bucket, stored, table
 
@@ -145,6 +147,15 @@ def op10_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("kept", F.expr("NOT base_failed AND rejected_by IS NULL"))
 
 
+def op11_secondary_sort_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), anchors="vec_id % 50 = 0")
+
+
+def op12_jacobi_davidson_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 #: Fixed value: documents of more tokens are over the limit.
 TOKEN_LIMIT = 2048
 
@@ -165,10 +176,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minimum_bin_slack": op8_minimum_bin_slack,
     "op9_simhash_gray_index": op9_simhash_gray_index,
     "op10_decision_list": op10_decision_list,
+    "op11_secondary_sort_negatives": op11_secondary_sort_negatives,
+    "op12_jacobi_davidson_whitening": op12_jacobi_davidson_whitening,
     "op13_heap_token_counts": op13_heap_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_secondary_sort_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda e: floor(256 * e::DOUBLE)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+placed AS (
+  SELECT p.anchor_id, p.positive_id, n.id AS negative_id, p.positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.id) AS place
+  FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+   AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM placed WHERE place <= 3
+""",
     "op2_host_reputation": """
 WITH split AS (
   SELECT page_id,

@@ -66,6 +66,8 @@ def save_tables(spark, folder, docs, labels=(), pages=()):
     docs.write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame(list(pages), "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    vectors = [(i, [float(x) for x in (i % 7, i % 5, 1)], i % 3) for i, in docs.select("doc_id").collect()[:40] if i is not None]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
     return str(folder)
 
 
