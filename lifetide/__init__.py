@@ -8,6 +8,7 @@ laptop and on a cluster.  See README.md for the operator list.
 from lifetide.operators import (
     calendar,
     cohort_matrix,
+    cohort_matrix_wide,
     dim_users,
     event_ordinal,
     fact_events,
@@ -17,6 +18,7 @@ from lifetide.operators import (
     transaction_breakdown,
     triangle,
     user_day_activity,
+    user_day_runs,
     user_day_spine,
     user_day_status,
 )
@@ -29,7 +31,9 @@ from lifetide.sources.events import (
     from_orders_table,
     load_source,
     read_event_stream,
+    read_event_table,
 )
+from lifetide.sinks import publish, read_published, view_sql, write_table
 
 __all__ = [
     "EVENT_COLUMNS",
@@ -37,6 +41,7 @@ __all__ = [
     "build_all",
     "calendar",
     "cohort_matrix",
+    "cohort_matrix_wide",
     "conform_events",
     "dim_users",
     "event_ordinal",
@@ -46,11 +51,17 @@ __all__ = [
     "growth",
     "growth_consolidated",
     "load_source",
+    "publish",
     "read_event_stream",
+    "read_event_table",
+    "read_published",
     "status_report",
     "transaction_breakdown",
     "triangle",
     "user_day_activity",
+    "user_day_runs",
     "user_day_spine",
     "user_day_status",
+    "view_sql",
+    "write_table",
 ]

@@ -95,3 +95,41 @@ def user_day_spine(activity: DataFrame) -> DataFrame:
         "first_seen",
         *[f"CASE WHEN cal_day = day THEN {m} END AS {m}" for m in MEASURES],
     )
+
+
+#: Columns of a run of days that are the same on each of its days.
+_RUN_COLUMNS = ["trns_day", "prev_day", "is_new_user", "first_seen", *MEASURES]
+
+
+def user_day_runs(activity: DataFrame) -> DataFrame:
+    """The spine as runs of days that are alike: ``user_id, from_day, to_day``
+    and the spine's other columns.
+
+    An active day is a run of its own, the first idle day after it another
+    (only that one has a ``prev_day``, so only it can be churn), and all
+    further idle days up to the next active one are one run.  So there are at
+    most three rows per active day however long the gaps are, while the spine
+    has users x calendar span.  ``expand_runs`` gives the spine.
+    """
+    idle = ", ".join(f"'{m}', CAST(NULL AS {t})" for m, t in measure_types(activity).items())
+    same = ", ".join(f"'{m}', {m}" for m in MEASURES)
+    date = "CAST(NULL AS DATE)"
+
+    def run(start: str, end: str, trns: str, prev: str, new: str, measures: str) -> str:
+        return (
+            f"named_struct('from_day', {start}, 'to_day', {end}, 'trns_day', {trns}, 'prev_day', {prev}, "
+            f"'is_new_user', {new}, 'first_seen', first_seen, {measures})"
+        )
+
+    before = "CASE WHEN datediff(day, prev_active) = 1 THEN prev_active END"
+    runs = [
+        run("day", "day", "day", before, "day = first_seen", same),
+        f"CASE WHEN datediff(day, prev_active) > 1 THEN {run('date_add(prev_active, 1)', 'date_add(prev_active, 1)', date, 'prev_active', 'false', idle)} END",
+        f"CASE WHEN datediff(day, prev_active) > 2 THEN {run('date_add(prev_active, 2)', 'date_sub(day, 1)', date, date, 'false', idle)} END",
+    ]
+    return active_days(activity).selectExpr("user_id", f"explode(array({', '.join(runs)})) AS r").where("r IS NOT NULL").select("user_id", "r.*")
+
+
+def expand_runs(runs: DataFrame) -> DataFrame:
+    """The spine (``user_day_spine``) from ``user_day_runs``, one row a day."""
+    return runs.selectExpr("user_id", "explode(sequence(from_day, to_day)) AS cal_day", *_RUN_COLUMNS)

@@ -12,16 +12,11 @@ from lifetide.operators.growth import consolidated_groups
 from lifetide.operators.retention import COHORT_COLUMN
 
 
-def cohort_matrix(tri: DataFrame, grain: str = "day") -> DataFrame:
-    """The triangle heatmap's cells: one row per cohort and offset from 0 to
-    the last period that any cohort reaches, with ``users`` 0 and a NULL
-    ``retention_rate`` where nobody returned.
-
-    One aggregation of the triangle per cohort (a map of its offsets, at most
-    one per calendar period), the last period over that small table, and an
-    explode: one scan, a fixed schema, no limit on offsets and no job before
-    the action.
-    """
+def _cohort_cells(tri: DataFrame, grain: str) -> DataFrame:
+    """One row per cohort: a map of its offsets' cells (at most one per calendar
+    period), its size, and the offset ``last_offset`` of the last period that
+    any cohort reaches.  One aggregation of the triangle, then the last period
+    over that small table."""
     cohort = COHORT_COLUMN[grain]
     period = {
         "day": "date_add({c}, CAST(period_offset AS INT))",
@@ -38,7 +33,17 @@ def cohort_matrix(tri: DataFrame, grain: str = "day") -> DataFrame:
         )
     )
     ended = per_cohort.withColumn("last", F.expr("max(last) OVER ()"))
-    grid = ended.select(cohort, "cohort_size", "cells", F.expr(f"explode(sequence(0L, {period_offset_sql('last', cohort, grain)})) AS period_offset"))
+    return ended.select(cohort, "cohort_size", "cells", F.expr(period_offset_sql("last", cohort, grain)).alias("last_offset"))
+
+
+def cohort_matrix(tri: DataFrame, grain: str = "day") -> DataFrame:
+    """The triangle heatmap's cells: one row per cohort and offset from 0 to
+    the last period that any cohort reaches, with ``users`` 0 and a NULL
+    ``retention_rate`` where nobody returned.  One scan, a fixed schema, no
+    limit on offsets and no job before the action.
+    """
+    cohort = COHORT_COLUMN[grain]
+    grid = _cohort_cells(tri, grain).select(cohort, "cohort_size", "cells", F.expr("explode(sequence(0L, last_offset)) AS period_offset"))
     return grid.select(
         cohort,
         "period_offset",
@@ -48,6 +53,20 @@ def cohort_matrix(tri: DataFrame, grain: str = "day") -> DataFrame:
     )
 
 
+def cohort_matrix_wide(tri: DataFrame, grain: str = "day") -> DataFrame:
+    """The heatmap with one row per cohort: ``users`` and ``retention_rates``
+    are arrays whose element ``i`` is offset ``i``, up to the last period that
+    any cohort reaches.  The schema does not depend on the data, so no job
+    finds the offsets first, as a pivot would need."""
+    cells = _cohort_cells(tri, grain)
+    return cells.select(
+        COHORT_COLUMN[grain],
+        "cohort_size",
+        F.expr("transform(sequence(0L, last_offset), o -> coalesce(cells[o].users, 0L)) AS users"),
+        F.expr("transform(sequence(0L, last_offset), o -> cells[o].retention_rate) AS retention_rates"),
+    )
+
+
 def status_report(activity: DataFrame, grain: str = "day", mode: str = "parity") -> DataFrame:
     """Per period: one column per user type with the summed counts, taken from
     the consolidated groups before they are unpivoted.  A type that has no

@@ -451,6 +451,17 @@ JOIN periods p ON p.period >= c.cohort
 LEFT JOIN triangle t ON t.{cohort} = c.cohort AND t.period_offset = {offset}"""
 
 
+def cohort_matrix_wide_sql(source: str, grain: str) -> str:
+    """The cells of each cohort gathered into lists, in offset order."""
+    cohort = GRAIN_COHORT[grain]
+    share = "coalesce(CAST(CAST(floor(retention_rate * 1000000) AS BIGINT) AS VARCHAR), '')"
+    return f"""SELECT {cohort}, max(cohort_size) AS cohort_size,
+  array_to_string(list(CAST(users AS VARCHAR) ORDER BY period_offset), ',') AS users,
+  array_to_string(list({share} ORDER BY period_offset), ',') AS retention_rates
+FROM ({cohort_matrix_sql(source, grain)}) cells
+GROUP BY {cohort}"""
+
+
 def status_report_sql(source: str, grain: str) -> str:
     """Wide report over the long growth table of the grain."""
     growth_sql = growth_daily_sql(source) if grain == "day" else growth_period_sql(source, grain)

@@ -1,12 +1,17 @@
 """Build every model as stored tables, the way a scheduled job would.
 
 ``user_days`` (the per user-day measures with each user's neighbouring days)
-is the one shared intermediate: it is written once, clustered by user, under
-the cluster's shared checkpoint folder (``spark.checkpoint.dir``) and read
-back.  That cuts the lineage to the raw events, and the growth, spine, report
-and retention models need no window over users of their own.  Every model is
-a stored table under ``out_dir``; those that are cheap to recompute can stay
-views instead, computed when they are read.
+is the one shared intermediate: it is written once, under the cluster's shared
+checkpoint folder (``spark.checkpoint.dir``), as a table bucketed by user, and
+read back.  That cuts the lineage to the raw events, the growth, spine, report
+and retention models need no window over users of their own, and those that
+roll days up to a user's weeks or months need no shuffle by user either.
+
+A build is published as a whole (``lifetide.sinks``): all tables are written
+below one new version folder, and one marker makes it the current one.  A
+build that fails or is killed leaves the tables of before.  Models that are
+cheap to recompute can stay views instead, computed when they are read: of the
+session, or stored in the catalog as SQL.
 """
 
 from __future__ import annotations
@@ -14,44 +19,60 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from lifetide.functions.periods import month_start_sql, week_start_sql
 from lifetide.operators import (
     calendar,
     cohort_matrix,
+    cohort_matrix_wide,
     dim_users,
     event_ordinal,
     fact_events,
     growth,
+    run_status,
     status_report_of,
     transaction_breakdown,
     triangle,
     triangle_from_days,
     user_day_activity,
+    user_day_runs,
     user_day_spine,
     user_day_status,
     user_days,
 )
+from lifetide.operators.activity import MEASURES
 from lifetide.operators.growth import consolidated_rows
+from lifetide.operators.status import STATUS_NAMES
 from lifetide.session import checkpoint_dir
+from lifetide.sinks.tables import delete, new_version, publish_folder, published_folder, write_table
+from lifetide.sinks.views import create_view, view_sql
 
 GROWTH_KEYS = {"day": ["cal_day", "cal_month"], "week": ["cal_week", "cal_month"], "month": ["cal_month"]}
 GRAIN_NAME = {"day": "daily", "week": "weekly", "month": "monthly"}
-#: Tasks that write one directory of a partitioned table at most.
-FILES_PER_DIRECTORY = 8
-
-
-def write_table(df: DataFrame, path: str, fmt: str, partition_by: list[str] | None = None) -> None:
-    """Write ``df``; rows of a partitioned table are first brought together by
-    directory, each spread over a few tasks, so files stay few and none is
-    written by one task alone."""
-    if partition_by:
-        rest = [c for c in df.columns if c not in partition_by]
-        df = df.repartition(*partition_by, F.pmod(F.xxhash64(*rest), F.lit(FILES_PER_DIRECTORY)))
-    writer = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+#: Order of the stored tables whose models end in one.
+SORT_KEYS = {
+    "growth_transactions": ["user_id", "cal_day"],
+    "growth_transactions_runs": ["user_id", "from_day"],
+    "triangle_retention_daily": ["cohort_date", "period_offset"],
+    "triangle_retention_weekly": ["cohort_week_date", "period_offset"],
+    "triangle_retention_monthly": ["cohort_month_date", "period_offset"],
+}
+SPINES = ("days", "runs", None)
+
+
+def stage_user_days(spark: SparkSession, events: DataFrame, table: str, path: str) -> DataFrame:
+    """Store ``user_days`` of ``events`` as the catalog table ``table`` at
+    ``path``, bucketed by user, and read it back.
+
+    The rows come from one exchange by user with as many partitions as there
+    are buckets, so a bucket is one file, and Spark knows from the catalog that
+    a user's rows are together: aggregations and windows by user (and a user's
+    periods) above it need no exchange.  A user has a row per active day, so no
+    bucket follows one user's events."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    days = user_days(user_day_activity(events).repartition(buckets, "user_id"))
+    days.write.format("parquet").bucketBy(buckets, "user_id").sortBy("user_id", "day").option("path", path).saveAsTable(table)
+    return spark.table(table)
 
 
 def build_all(
@@ -64,30 +85,52 @@ def build_all(
     lazy_views: bool = False,
     partition_by: dict[str, list[str]] | None = None,
     keep_stage: bool = False,
+    spine: str | None = "days",
+    sorted_tables: bool = False,
+    event_table: str | None = None,
+    catalog_prefix: str | None = None,
 ) -> dict[str, str]:
-    """Write all models under ``out_dir`` (a shared location on a cluster).
-
-    Returns {model name: path}.  ``include_spine=False`` skips the
-    gap-filled user x day tables (``growth_transactions`` and
-    ``growth_accounting_frm_day``), whose size is users x active span; the
-    growth tables do not need them.  ``register_views`` also exposes every
-    stored model as a temporary view of the same name.  ``lazy_views`` keeps
-    the calendar, the user dimension, the event ordinals and the triangles as
-    temporary views over ``events`` that are computed when read, never stale,
-    instead of storing them.  ``partition_by`` maps a model name to
-    directory-partition columns (for example ``{"growth_transactions":
-    ["cal_day"]}``) so readers can prune by period.  The staged intermediate
-    is deleted when the build ends, also if a model fails, unless
-    ``keep_stage``.
+    """Write all models under ``out_dir`` (a shared location on a cluster) and
+    publish them as one build.
+
+    Returns {model name: path}; ``published_models`` finds the current build of
+    an ``out_dir`` later.  ``spine="days"`` stores the gap-filled user x day
+    tables (``growth_transactions`` and ``growth_accounting_frm_day``), whose
+    size is users x active span; ``spine="runs"`` stores runs of days that are
+    alike instead (``growth_transactions_runs`` and ``..._frm_day_runs``), of
+    the size of the active days; ``include_spine=False`` or ``spine=None``
+    skips them: the growth tables do not need them.  ``sorted_tables`` writes
+    the models that end in an order (``SORT_KEYS``) in it.
+
+    ``register_views`` also exposes every stored model as a temporary view of
+    the same name.  ``lazy_views`` keeps the calendar, the user dimension, the
+    event ordinals and the triangles as temporary views over ``events`` that
+    are computed when read, never stale, instead of storing them.  With
+    ``catalog_prefix`` views go to the catalog instead, under that prefix, so
+    that other sessions read them: stored models as views of the current build
+    (with runs expanded to days), the lazy ones as SQL over ``event_table``,
+    the catalog table that ``events`` were read from.
+
+    ``partition_by`` maps a model name to directory-partition columns (for
+    example ``{"growth_transactions": ["cal_day"]}``) so readers can prune by
+    period.  The staged intermediate is deleted when the build ends, also if a
+    model fails, unless ``keep_stage``; a failed build deletes its own tables
+    and leaves those of the build before.
     """
-    out = out_dir.rstrip("/")
-    stage = f"{checkpoint_dir(spark).rstrip('/')}/lifetide-stage-{uuid.uuid4().hex}"
+    if spine not in SPINES:
+        raise ValueError(f"unknown spine {spine!r}; expected one of {SPINES}")
+    if catalog_prefix is not None and lazy_views and event_table is None:
+        raise ValueError("stored views of events need the catalog table that they read")
+    out, version = out_dir.rstrip("/"), new_version()
+    build = uuid.uuid4().hex
+    stage, stage_table = f"{checkpoint_dir(spark).rstrip('/')}/lifetide-stage-{build}", f"lifetide_stage_{build}"
     paths: dict[str, str] = {}
+    lazy: list[str] = []
     parts = partition_by or {}
 
     def save(name: str, df: DataFrame) -> None:
-        path = f"{out}/{name}"
-        write_table(df, path, fmt, parts.get(name))
+        path = f"{out}/{version}/{name}"
+        write_table(df, path, fmt, parts.get(name), SORT_KEYS.get(name) if sorted_tables else None)
         paths[name] = path
 
     def load(name: str) -> DataFrame:
@@ -95,25 +138,29 @@ def build_all(
 
     def view(name: str, df: DataFrame, stored: DataFrame | None = None) -> None:
         """A model that may stay a view of ``df``; ``stored`` is a cheaper form to write."""
-        if lazy_views:
-            df.createOrReplaceTempView(name)
-        else:
+        if not lazy_views:
             save(name, df if stored is None else stored)
+        elif catalog_prefix is not None:
+            lazy.append(name)
+        else:
+            df.createOrReplaceTempView(name)
 
     try:
         # One aggregation of the raw events and one window by user, whose
-        # partitioning the files keep.
-        write_table(user_days(user_day_activity(events)), f"{stage}/user_days", "parquet")
-        days = spark.read.parquet(f"{stage}/user_days")
+        # partitioning the buckets keep.
+        days = stage_user_days(spark, events, stage_table, f"{stage}/user_days")
 
         view("calendar", calendar(events), calendar(days, time_col="day"))
         view("dim_users", dim_users(events))
         save("fct_events", fact_events(events))
         view("event_ordinal", event_ordinal(events))
 
-        if include_spine:
+        if include_spine and spine == "days":
             save("growth_transactions", user_day_spine(days))
             save("growth_accounting_frm_day", user_day_status(load("growth_transactions")))
+        elif include_spine and spine == "runs":
+            save("growth_transactions_runs", user_day_runs(days))
+            save("growth_accounting_frm_day_runs", run_status(load("growth_transactions_runs")))
 
         for grain, name in GRAIN_NAME.items():
             save(f"growth_accounting_{name}", growth(days, grain))
@@ -124,18 +171,42 @@ def build_all(
             view(f"triangle_retention_{name}", triangle(events, grain), triangle_from_days(days, grain))
             tri = triangle_from_days(days, grain) if lazy_views else load(f"triangle_retention_{name}")
             save(f"cohort_matrix_{name}", cohort_matrix(tri, grain))
+            save(f"cohort_matrix_wide_{name}", cohort_matrix_wide(tri, grain))
         save("growth_accounting_consolidated", consolidated_rows(load("growth_accounting_daily")))
+    except BaseException:
+        delete(spark, f"{out}/{version}")
+        raise
     finally:
+        spark.sql(f"DROP TABLE IF EXISTS {stage_table}")
         if not keep_stage:
-            _delete(spark, stage)
+            delete(spark, stage)
+    publish_folder(spark, out, version)
     if register_views:
         for name in paths:
             load(name).createOrReplaceTempView(name)
+    if catalog_prefix is not None:
+        for name, path in paths.items():
+            create_view(spark, f"{catalog_prefix}{name}", f"SELECT * FROM {fmt}.`{path}`")
+        for name, select in EXPANDED.items():
+            if f"{name}_runs" in paths:
+                create_view(spark, f"{catalog_prefix}{name}", select.format(f"{catalog_prefix}{name}_runs"))
+        for name in lazy:
+            create_view(spark, f"{catalog_prefix}{name}", view_sql(name, event_table))
     return paths
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    """Recursively delete ``path`` through the Hadoop FileSystem API."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+def published_models(spark: SparkSession, out_dir: str) -> str:
+    """Folder of the current build below ``out_dir``; models are its subfolders."""
+    return published_folder(spark, out_dir)
+
+
+_DAYS = "explode(sequence(from_day, to_day)) AS cal_day"
+#: Models stored as runs -> SQL text of their rows by day.
+EXPANDED = {
+    "growth_transactions": f"SELECT user_id, {_DAYS}, trns_day, prev_day, is_new_user, first_seen, {', '.join(MEASURES)} FROM {{}}",
+    "growth_accounting_frm_day": (
+        f"SELECT user_id, {week_start_sql('cal_day')} AS cal_week, {month_start_sql('cal_day')} AS cal_month, cal_day, "
+        f"trns_day, prev_day, {', '.join([*STATUS_NAMES, *MEASURES])} "
+        f"FROM (SELECT *, {_DAYS} FROM {{}})"
+    ),
+}

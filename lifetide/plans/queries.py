@@ -8,8 +8,6 @@ run the same operator on the orders adapter.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -19,22 +17,27 @@ from pyspark.sql import functions as F
 from lifetide.operators import (
     calendar,
     cohort_matrix,
+    cohort_matrix_wide,
     dim_users,
     event_ordinal,
+    expand_run_status,
+    expand_runs,
     fact_events,
     growth,
     growth_consolidated,
+    run_status,
     status_report,
     transaction_breakdown,
     triangle,
     user_day_activity,
+    user_day_runs,
     user_day_spine,
     user_day_status,
 )
 from lifetide.plans import oracle
-from lifetide.plans.pipeline import write_table
 from lifetide.session import checkpoint_dir
-from lifetide.sources.events import load_source, read_event_stream
+from lifetide.sinks import create_view, publish, read_published, view_sql, write_table
+from lifetide.sources.events import catalog_source, load_source, read_event_stream, read_event_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 GRAIN_NAME = {"day": "daily", "week": "weekly", "month": "monthly"}
@@ -62,33 +65,55 @@ def _on(source: str, op: Callable[[DataFrame], DataFrame]) -> QueryFn:
     return run
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared one (a local one where none is set)."""
-    unset = not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None))
-    shared = checkpoint_dir(spark, tempfile.mkdtemp(prefix="lifetide-shared-") if unset else None)
-    return f"{shared.rstrip('/')}/lifetide-query-{uuid.uuid4().hex}"
+def _folder(spark: SparkSession, name: str) -> str:
+    """The folder of one query's stored table in the cluster's shared folder:
+    the same in every run of the application, so that a run replaces the files
+    of the one before."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/lifetide-query-{spark.sparkContext.applicationId}/{name}"
 
 
 def _reread(source: str, fmt: str) -> QueryFn:
     """The event stream written as text and read by ``read_event_stream``."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = _folder(spark)
-        load_source(spark, sf_dir, source).write.format(fmt).options(header="true", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS").save(path)
+        path = _folder(spark, f"event_stream_{fmt}_{source}")
+        text = load_source(spark, sf_dir, source).write.mode("overwrite").format(fmt)
+        text.options(header="true", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS").save(path)
         back = read_event_stream(spark, path, fmt)
         return back.withColumn("miles_amount", F.col("miles_amount").cast("bigint"))
 
     return run
 
 
-def _table_sink(source: str) -> QueryFn:
-    """Daily growth written as a table partitioned by month, and read back."""
+def _from_catalog(source: str) -> QueryFn:
+    """The event stream by its name in the session catalog."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = _folder(spark)
-        model = growth(user_day_activity(load_source(spark, sf_dir, source)), "day")
-        write_table(model, path, "parquet", ["cal_month"])
-        return spark.read.parquet(path)
+        return read_event_table(spark, catalog_source(spark, sf_dir, source))
+
+    return run
+
+
+def _published(
+    name: str, source: str, op: Callable[[DataFrame], DataFrame], partition_by: list[str] | None = None, sort_by: list[str] | None = None
+) -> QueryFn:
+    """A model published as a table (partitioned, or sorted) and read back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _folder(spark, f"{name}_{source}")
+        publish(op(user_day_activity(load_source(spark, sf_dir, source))), path, "parquet", partition_by, sort_by)
+        return read_published(spark, path)
+
+    return run
+
+
+def _stored_runs(name: str, source: str, op: Callable[[DataFrame], DataFrame], expand: Callable[[DataFrame], DataFrame]) -> QueryFn:
+    """Runs of days as a stored table, expanded to days when it is read."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _folder(spark, f"{name}_{source}")
+        write_table(op(user_day_runs(user_day_activity(load_source(spark, sf_dir, source)))), path)
+        return expand(spark.read.parquet(path))
 
     return run
 
@@ -99,11 +124,41 @@ def _view_sink(source: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         name = f"triangle_retention_weekly_{source}"
         triangle(load_source(spark, sf_dir, source), "week").createOrReplaceTempView(name)
-        return spark.sql(f"SELECT * FROM {name}")
+        found = spark.table(name)
+        spark.catalog.dropTempView(name)
+        return found
 
     return run
 
 
+def _stored_view(source: str, model: str) -> QueryFn:
+    """A model as SQL stored in the catalog over a catalog table, read by its
+    name in another session."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        events = catalog_source(spark, sf_dir, source)
+        name = f"{events}_{model}"
+        create_view(spark, name, view_sql(model, events))
+        return spark.table(name)
+
+    return run
+
+
+def _wide(grain: str) -> Callable[[DataFrame], DataFrame]:
+    """The wide cohort matrix with its arrays as text: users, and retention in
+    whole millionths (an empty place where nobody returned)."""
+
+    def op(events: DataFrame) -> DataFrame:
+        wide = cohort_matrix_wide(triangle(events, grain), grain)
+        shares = "transform(retention_rates, r -> coalesce(CAST(CAST(floor(r * 1000000) AS BIGINT) AS STRING), ''))"
+        return wide.withColumns({
+            "users": F.expr("array_join(transform(users, u -> CAST(u AS STRING)), ',')"),
+            "retention_rates": F.expr(f"array_join({shares}, ',')"),
+        })
+
+    return op
+
+
 def _build() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for source in ("events", "orders"):
@@ -145,6 +200,7 @@ def _build() -> dict[str, Query]:
             q[f"cohort_matrix_{name}{sfx}"] = Query(
                 _on(source, lambda ev, g=grain: cohort_matrix(triangle(ev, g), g)), oracle.cohort_matrix_sql(source, grain)
             )
+            q[f"cohort_matrix_wide_{name}{sfx}"] = Query(_on(source, _wide(grain)), oracle.cohort_matrix_wide_sql(source, grain))
             q[f"status_report_{name}{sfx}"] = Query(
                 _on(source, lambda ev, g=grain: status_report(user_day_activity(ev), g)), oracle.status_report_sql(source, grain)
             )
@@ -155,8 +211,24 @@ def _build() -> dict[str, Query]:
         # The reader and the sinks, each against the model that went through it.
         for fmt in ("csv", "json"):
             q[f"event_stream_{fmt}{sfx}"] = Query(_reread(source, fmt), oracle.event_stream_sql(source))
-        q[f"table_sink{sfx}"] = Query(_table_sink(source), oracle.growth_daily_sql(source))
+        q[f"event_stream_table{sfx}"] = Query(_from_catalog(source), oracle.event_stream_sql(source))
+        q[f"table_sink{sfx}"] = Query(
+            _published("table_sink", source, lambda act: growth(act, "day"), partition_by=["cal_month"]), oracle.growth_daily_sql(source)
+        )
+        q[f"sorted_sink{sfx}"] = Query(
+            _published("sorted_sink", source, user_day_spine, sort_by=["user_id", "cal_day"]), oracle.user_day_spine_sql(source)
+        )
+        q[f"spine_runs{sfx}"] = Query(_stored_runs("spine_runs", source, lambda r: r, expand_runs), oracle.user_day_spine_sql(source))
+        q[f"status_runs{sfx}"] = Query(_stored_runs("status_runs", source, run_status, expand_run_status), oracle.user_day_status_sql(source))
         q[f"view_sink{sfx}"] = Query(_view_sink(source), oracle.triangle_sql(source, "week"))
+        stored = {
+            "calendar": oracle.calendar_sql(source),
+            "dim_users": oracle.dim_users_sql(source),
+            "fct_events": oracle.fct_events_sql(source),
+            "event_ordinal": oracle.event_ordinal_sql(source),
+        } | {f"triangle_retention_{name}": oracle.triangle_sql(source, grain) for grain, name in GRAIN_NAME.items()}
+        for model, sql in stored.items():
+            q[f"stored_view_{model}{sfx}"] = Query(_stored_view(source, model), sql)
     # Names of the first registrations.
     for old, new in EARLIER_NAMES.items():
         q[old] = q[new]

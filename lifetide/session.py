@@ -4,6 +4,8 @@ caller's session."""
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -39,7 +41,9 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.
-    Only where it is unset (tests on one machine) is ``fallback`` installed.
+    Only where it is unset on one machine (tests) is ``fallback`` installed, or
+    a new local folder; on a cluster that is an error, because executors would
+    write to disks of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -47,7 +51,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir is not set; name a folder there that all executors share")
+    fallback = fallback or tempfile.mkdtemp(prefix="lifetide-shared-")
     sc.setCheckpointDir(fallback)
     return fallback

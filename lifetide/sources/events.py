@@ -10,6 +10,8 @@ the scan; no filter is applied here, so every row of the table flows on.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -41,6 +43,13 @@ ENGAGEMENT_CATEGORY = "engagement"
 
 #: Columns without which no model can be built; the others default to NULL.
 REQUIRED_COLUMNS = ["event_time", "user_id", "event_type"]
+#: Kinds of value that a source column may be stored as; text is parsed.
+ACCEPTED_TYPES = {
+    "event_time": (T.TimestampType, T.TimestampNTZType, T.DateType, T.StringType),
+    "user_id": (T.IntegralType, T.DecimalType, T.StringType),
+    "miles_amount": (T.NumericType, T.StringType, T.NullType),
+}
+OTHER_TYPES = (T.StringType, T.NumericType, T.BooleanType, T.NullType)
 #: Digits after the point kept of amounts that come as floating point or text.
 FRACTION_DIGITS = 9
 
@@ -79,6 +88,18 @@ def _amount(column: str, kind: T.DataType) -> str:
     return f"CAST(`{column}` AS {'BIGINT' if digits == 0 else f'DECIMAL(38, {digits})'})"
 
 
+def check_event_schema(schema: T.StructType) -> None:
+    """Raise one error that names every required column that is missing and
+    every source column whose type cannot be read as it should be."""
+    names = schema.fieldNames()
+    faults = [f"required column {c} is missing" for c in REQUIRED_COLUMNS if c not in names]
+    for c in EVENT_COLUMNS:
+        if c in names and not isinstance(kind := schema[c].dataType, ACCEPTED_TYPES.get(c, OTHER_TYPES)):
+            faults.append(f"column {c} is {kind.simpleString()}")
+    if faults:
+        raise ValueError(f"not an event stream: {'; '.join(faults)} (columns: {names})")
+
+
 def conform_events(df: DataFrame) -> DataFrame:
     """Project any DataFrame carrying the source columns onto the eight
     columns of ``EVENT_SCHEMA``.
@@ -87,9 +108,7 @@ def conform_events(df: DataFrame) -> DataFrame:
     zone.  ``miles_amount`` is BIGINT for whole-number types and an exact
     DECIMAL for others.  Missing attributes are NULL; a missing required
     column is an error, and so is text that does not parse."""
-    missing = [c for c in REQUIRED_COLUMNS if c not in df.columns]
-    if missing:
-        raise ValueError(f"event stream without required columns {missing}; it has {df.columns}")
+    check_event_schema(df.schema)
     cols = []
     for field in EVENT_SCHEMA.fields:
         if field.name not in df.columns:
@@ -123,6 +142,15 @@ def read_event_stream(spark: SparkSession, path: str, fmt: str = "parquet", **op
     return conform_events(spark.read.format(fmt).options(**options).load(path))
 
 
+def read_event_table(spark: SparkSession, name: str) -> DataFrame:
+    """Read the event stream from a table or view of the session catalog.
+
+    The schema is checked by the catalog's entry, before any file is read, and
+    columns and filters that a model does not need are pruned at the scan as
+    for files."""
+    return conform_events(spark.table(name))
+
+
 def _case_index(expr: str, values: list[str]) -> str:
     """``values[expr]`` for a 0-based integer expression; NULL gives NULL."""
     whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
@@ -141,37 +169,54 @@ _MILES_COLUMNS = [
 ]
 
 
+#: Per test table: the columns read from it, and the source columns made of them.
+ADAPTERS: dict[str, tuple[list[str], list[str]]] = {
+    "events": (
+        [
+            "CAST(ts AS TIMESTAMP_NTZ) AS event_time",
+            "CAST(user_id AS BIGINT) AS user_id",
+            f"{_case_map('event_type', EVENTS_TYPE_MAP, keep_other=True)} AS event_type",
+            "value AS _amount",
+            "CAST(get_json_object(props, '$.k') AS BIGINT) AS _k",
+        ],
+        [
+            "event_time", "user_id", "event_type", *_MILES_COLUMNS,
+            f"{_case_index('_k % 3', PLATFORMS)} AS platform",
+            f"{_case_index('_k % 4', UTM_SOURCES)} AS utm_source",
+            f"{_case_index('_k % 5', COUNTRIES)} AS country",
+        ],
+    ),
+    "orders": (
+        [
+            "CAST(o_orderdate AS TIMESTAMP_NTZ) AS event_time",
+            "CAST(o_custkey AS BIGINT) AS user_id",
+            f"{_case_map('o_orderstatus', ORDERS_TYPE_MAP, keep_other=False)} AS event_type",
+            "o_totalprice AS _amount",
+            "o_orderpriority AS platform",
+            "concat('orders-', o_orderstatus) AS utm_source",
+            f"{_case_index('o_custkey % 5', COUNTRIES)} AS country",
+        ],
+        ["event_time", "user_id", "event_type", *_MILES_COLUMNS, "platform", "utm_source", "country"],
+    ),
+}
+
+
 def from_events_table(events: DataFrame) -> DataFrame:
     """Map the driver's ``events`` table (dense, one month) onto the source."""
-    staged = events.selectExpr(
-        "CAST(ts AS TIMESTAMP_NTZ) AS event_time",
-        "CAST(user_id AS BIGINT) AS user_id",
-        f"{_case_map('event_type', EVENTS_TYPE_MAP, keep_other=True)} AS event_type",
-        "value AS _amount",
-        "CAST(get_json_object(props, '$.k') AS BIGINT) AS _k",
-    )
-    return staged.selectExpr(
-        "event_time", "user_id", "event_type", *_MILES_COLUMNS,
-        f"{_case_index('_k % 3', PLATFORMS)} AS platform",
-        f"{_case_index('_k % 4', UTM_SOURCES)} AS utm_source",
-        f"{_case_index('_k % 5', COUNTRIES)} AS country",
-    )
+    staged, columns = ADAPTERS["events"]
+    return events.selectExpr(*staged).selectExpr(*columns)
 
 
 def from_orders_table(orders: DataFrame) -> DataFrame:
     """Map the driver's ``orders`` table (sparse, 6.6 years) onto the source."""
-    staged = orders.selectExpr(
-        "CAST(o_orderdate AS TIMESTAMP_NTZ) AS event_time",
-        "CAST(o_custkey AS BIGINT) AS user_id",
-        f"{_case_map('o_orderstatus', ORDERS_TYPE_MAP, keep_other=False)} AS event_type",
-        "o_totalprice AS _amount",
-        "o_orderpriority AS platform",
-        "concat('orders-', o_orderstatus) AS utm_source",
-        f"{_case_index('o_custkey % 5', COUNTRIES)} AS country",
-    )
-    return staged.selectExpr(
-        "event_time", "user_id", "event_type", *_MILES_COLUMNS, "platform", "utm_source", "country"
-    )
+    staged, columns = ADAPTERS["orders"]
+    return orders.selectExpr(*staged).selectExpr(*columns)
+
+
+def adapter_sql(source: str, table: str) -> str:
+    """The same mapping as SQL text over a catalog table."""
+    staged, columns = ADAPTERS[source]
+    return f"SELECT {', '.join(columns)} FROM (SELECT {', '.join(staged)} FROM {table})"
 
 
 SOURCES = {"events": from_events_table, "orders": from_orders_table}
@@ -187,6 +232,16 @@ RAW_SCHEMAS = {
 }
 
 
+def catalog_source(spark: SparkSession, sf_dir: str, source: str = "events") -> str:
+    """Enter a test table's files in the session catalog, and the event stream
+    over them as a view; returns the view's name.  No file is read or copied."""
+    path = f"{sf_dir.rstrip('/')}/{source}.parquet"
+    place = f"{source}_{zlib.crc32(path.encode()):08x}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS lifetide_raw_{place} ({RAW_SCHEMAS[source]}) USING parquet LOCATION '{path}'")
+    spark.sql(f"CREATE OR REPLACE VIEW lifetide_stream_{place} AS {adapter_sql(source, f'lifetide_raw_{place}')}")
+    return f"lifetide_stream_{place}"
+
+
 def load_source(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
     """Read ``{sf_dir}/{source}.parquet`` and adapt it to the source schema."""
     raw = spark.read.schema(RAW_SCHEMAS[source]).parquet(f"{sf_dir.rstrip('/')}/{source}.parquet")

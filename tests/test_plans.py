@@ -137,3 +137,38 @@ def test_dim_users_limits_groups_before_the_shuffle(spark, have_data):
     exchange = next(i for i, op in enumerate(ops) if op.startswith("Exchange"))
     assert any(op.startswith("WindowGroupLimit") and "Partial" in op for op in ops[exchange:])
     assert sum(op.startswith("FileScan") for op in ops) == 1
+
+
+def test_models_above_the_bucketed_stage_do_not_shuffle_by_user(spark, have_data):
+    """The stored user-days are bucketed by user, and Spark knows it."""
+    import tempfile
+
+    from lifetide.operators import growth, transaction_breakdown, triangle_from_days, user_day_activity, user_day_spine, user_day_status
+    from lifetide.plans.pipeline import stage_user_days
+    from lifetide.sources.events import load_source
+
+    events = load_source(spark, SF, "orders")
+    days = stage_user_days(spark, events, "plan_test_days", f"{tempfile.mkdtemp(prefix='lifetide-stage-')}/user_days")
+    try:
+        models = {f"growth_{g}_{m}": growth(days, g, mode=m) for g in ("day", "week", "month") for m in ("parity", "strict")}
+        models |= {f"breakdown_{g}": transaction_breakdown(days, g) for g in ("day", "week", "month")}
+        models |= {f"triangle_{g}": triangle_from_days(days, g) for g in ("day", "week", "month")}
+        models["status"] = user_day_status(user_day_spine(days))
+        for name, df in models.items():
+            p = plan_text(df)
+            assert "user_id" not in "".join(line for line in p.splitlines() if "Exchange" in line and "transaction" not in line), (name, p)
+        assert "Bucketed: true" in plan_text(models["growth_week_parity"])
+        # Without the buckets the weekly roll-up shuffles by user.
+        plain = growth(user_day_activity(events), "week")
+        assert "Exchange hashpartitioning(user_id" in plan_text(plain)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS plan_test_days")
+
+
+def test_catalog_source_is_pruned_at_the_scan(spark, have_data):
+    from lifetide.operators import triangle
+    from lifetide.sources.events import catalog_source, read_event_table
+
+    events = read_event_table(spark, catalog_source(spark, SF, "events"))
+    p = plan_text(triangle(events.where("user_id = 3"), "day"))
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p and "EqualTo(user_id,3)" in p, p

@@ -10,7 +10,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from lifetide.operators import growth, transaction_breakdown, user_day_activity
-from lifetide.sources.events import EVENT_COLUMNS, EVENT_SCHEMA, conform_events, read_event_stream
+from lifetide.sources.events import (
+    EVENT_COLUMNS,
+    EVENT_SCHEMA,
+    check_event_schema,
+    conform_events,
+    read_event_stream,
+    read_event_table,
+)
 from tests.conftest import make_events, ts
 
 
@@ -92,3 +99,21 @@ def test_fractional_miles_stay_exact(spark):
         assert transaction_breakdown(act, grain).agg(F.sum("miles_redeemed")).first()[0] == decimal.Decimal("0.50")
     double = conform_events(ev.withColumn("miles_amount", F.col("miles_amount").cast("double")))
     assert user_day_activity(double).agg(F.sum("miles_earned")).first()[0] == decimal.Decimal("2.05")
+
+
+def test_read_event_table_checks_the_catalog_entry(spark):
+    ev = make_events(spark, [(ts("2024-01-01"), 1, "click", None, "ios", "ads", "US"), (None, None, None)])
+    path = tempfile.mkdtemp(prefix="lifetide-table-")
+    ev.write.mode("overwrite").parquet(path)
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW odd AS SELECT CAST(1 AS DOUBLE) AS event_time, array(1L) AS user_id, 'x' AS platform")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS read_event_table_test USING parquet LOCATION '{path}'")
+    try:
+        back = read_event_table(spark, "read_event_table_test")
+        assert back.schema == EVENT_SCHEMA and _rows(back) == _rows(ev)
+        with pytest.raises(ValueError, match="event_type is missing.*event_time is double.*user_id is array"):
+            read_event_table(spark, "odd")
+        with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+            read_event_table(spark, "no_such_table")
+    finally:
+        spark.sql("DROP TABLE read_event_table_test")
+    check_event_schema(EVENT_SCHEMA)
