@@ -43,6 +43,8 @@ from lifetide.llm.vectors import complete, fixed, matrix
 
 #: Numbers of a block of vectors (2 MB as doubles).
 BLOCK_CELLS = 1 << 18
+#: Numbers that one task multiplies at least: less is not worth a task of its own.
+TASK_CELLS = 1 << 20
 #: MINRES steps for a correction, and outer steps before giving up.
 INNER_STEPS, OUTER_STEPS = 4, 300
 EPS = float(np.finfo(float).eps)
@@ -194,7 +196,7 @@ def _exact_sums(block: np.ndarray) -> list[int]:
 class Blocks:
     """The stored vectors, a block of integers a row, and sums over them."""
 
-    def __init__(self, vectors: DataFrame, dimension: int, scale: int, shift: int):
+    def __init__(self, vectors: DataFrame, n: int, dimension: int, scale: int, shift: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             step = max(1, BLOCK_CELLS // dimension)
             for batch in batches:
@@ -207,7 +209,7 @@ class Blocks:
 
         self.dimension = dimension
         self.table = stored(vectors.select("embedding").mapInArrow(run, "width int, block binary"), "blocks")
-        self.rdd = self.table.rdd
+        self.rdd = self.table.rdd.coalesce(max(1, -(-n * dimension // TASK_CELLS)))
 
     def total(self, of: Callable[[np.ndarray], object], plus: Callable) -> object:
         """``of`` a block, added up over all blocks (there must be one)."""
@@ -227,11 +229,11 @@ class Blocks:
 def fit(vectors: DataFrame, components: int = 8, scale: int = 1024, shift: int = 100_000) -> Whitener | None:
     """The whitener of all complete vectors; None if there are none."""
     usable = vectors.where(complete("embedding")).select("embedding")
-    longest = usable.agg(F.max(F.size("embedding")).alias("d")).first()["d"]
-    if longest is None:
+    size = usable.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d")).first()
+    if not size["n"]:
         return None
-    dimension = max(1, longest)
-    blocks = Blocks(usable, dimension, scale, shift)
+    dimension = max(1, size["d"])
+    blocks = Blocks(usable, size["n"], dimension, scale, shift)
     try:
         n, sums = blocks.total(lambda x: (len(x), _exact_sums(x)), lambda a, b: (a[0] + b[0], list(map(add, a[1], b[1]))))
         whole, rest = split_mean(sums, n)
