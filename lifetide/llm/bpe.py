@@ -12,8 +12,9 @@ Columns: ``encode`` takes ``doc_id, text`` and returns ``doc_id, ids`` (binary,
 little-endian unsigned 32-bit); ``decode`` takes ``doc_id, ids`` and returns
 ``doc_id, text``.  Other input columns are ignored.  A null text is an empty
 one (no ids); a null ``doc_id`` and repeated rows are kept as they are; an
-empty table gives an empty table.  Invalid UTF-8 in decoded bytes becomes
-U+FFFD.
+empty table gives an empty table.  Very long texts and very long runs of one
+character are encoded whole, in n log n steps.  Invalid UTF-8 in decoded bytes
+becomes U+FFFD.
 """
 
 from __future__ import annotations
@@ -113,13 +114,15 @@ class ForcedBoundaryBpe:
             return self._careful(head, rest)
 
     def _careful(self, head: str, rest: list[str]) -> bytes:
-        pieces = [head]
+        out, run = [], [head]
         for p in rest:
             if p and not p[0].isspace():
-                pieces.append(" " + p)
+                out.append(self._piece("".join(run)))
+                run = [" ", p]
             else:
-                pieces[-1] += " " + p
-        return b"".join(self._piece(p) for p in pieces if p)
+                run += (" ", p)
+        out.append(self._piece("".join(run)))
+        return b"".join(out)
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece between certain cuts of the pre-tokeniser."""
@@ -168,22 +171,29 @@ class ForcedBoundaryBpe:
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap over a linked list, n log n for long runs."""
-        n, get, none = len(ids), self.rank.get, len(self.made)
-        after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := get((ids[i], ids[i + 1]), none)) != none]
+        n, get, made = len(ids), self.rank.get, self.made
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        #: Rank of the pair that starts at each place, -1 if none or merged away.
+        pair = [get(p, -1) for p in zip(ids, ids[1:])]
+        pair.append(-1)
+        heap = [r << 32 | i for i, r in enumerate(pair) if r >= 0]
         heapq.heapify(heap)
         while heap:
-            rank, i, a, b = heapq.heappop(heap)
-            k = after[i] if alive[i] else n
-            if k >= n or ids[i] != a or ids[k] != b:
+            entry = heapq.heappop(heap)
+            rank, i = entry >> 32, entry & 0xFFFFFFFF
+            if pair[i] != rank:
                 continue
-            ids[i], alive[k], after[i] = self.made[rank], False, after[k]
+            k = after[i]
+            ids[i], ids[k], pair[k], after[i] = made[rank], -1, -1, after[k]
             if after[i] < n:
                 before[after[i]] = i
+            pair[i] = -1
             for left, right in ((i, after[i]), (before[i], i)):
-                if left >= 0 and right < n and (r := get((ids[left], ids[right]), none)) != none:
-                    heapq.heappush(heap, (r, left, ids[left], ids[right]))
-        return [x for x, keep in zip(ids, alive) if keep]
+                if left >= 0 and right < n:
+                    pair[left] = r = get((ids[left], ids[right]), -1)
+                    if r >= 0:
+                        heapq.heappush(heap, r << 32 | left)
+        return [x for x in ids if x >= 0]
 
     # -- decoding ---------------------------------------------------------
     def decode(self, packed: bytes) -> str:

@@ -19,12 +19,14 @@ table a task that runs again makes the same sequences.
 Returned per piece: ``doc_id, start, length, ids`` (binary, little-endian
 unsigned 32-bit), ``doc_tokens, sequence_id, offset``.  A null text is empty
 (one id, ``END``); a null ``doc_id`` is kept; a repeated row is a document of
-its own; an empty table gives no pieces; other columns are ignored.
+its own; an empty table gives no pieces; other columns are ignored; very long
+texts, also of nothing but white space, are packed whole.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lifetide.llm.bpe import PRETOKEN, printable_bytes, slices
+from lifetide.llm.bpe import PRETOKEN, ForcedBoundaryBpe, printable_bytes, slices
 from lifetide.llm.common import key_and_text
 
 END = 0
@@ -42,6 +44,12 @@ BLOCK_IDS = 4 << 20
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+#: ``tiktoken``'s pattern steps back over runs of white space and gives up at
+#: some length, so texts that hold a run of so many characters are encoded by
+#: ``ForcedBoundaryBpe``, which gives the same ids.
+LONG_RUN = 20_000
+
+
 def library_encoder(path: str):
     """Text -> ids (numpy) with a byte-level vocabulary file, special tokens included."""
     import tiktoken
@@ -52,7 +60,17 @@ def library_encoder(path: str):
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
     enc = tiktoken.Encoding("vocabulary", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: enc.encode_to_numpy(text, allowed_special="all")
+    other: list[ForcedBoundaryBpe] = []
+    run = re.compile(rf"\s{{{LONG_RUN}}}")
+
+    def encode(text: str) -> np.ndarray:
+        if len(text) < LONG_RUN or run.search(text) is None:
+            return enc.encode_to_numpy(text, allowed_special="all")
+        if not other:
+            other.append(ForcedBoundaryBpe(path))
+        return np.frombuffer(other[0].encode(text), "<u4")
+
+    return encode
 
 
 def fill(counts: list[int], room: int) -> tuple[int, list[int]]:

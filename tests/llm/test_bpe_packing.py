@@ -36,6 +36,33 @@ def test_ids_and_text_equal_the_library(library):
         assert bpe.decode(packed) == library.decode(ids, skip_special_tokens=False)
 
 
+LONG_RUNS = {
+    "spaces": " " * 1_200_000,
+    "tabs": "\t" * 1_200_000,
+    "mixed": "".join(random.Random(3).choices(" \t\n", k=1_200_000)),
+    "words between": (" " * 300_000 + "x") * 3 + "end  " * 20_000,
+    "one letter": "a" * 300_000,
+}
+
+
+@pytest.mark.parametrize("text", LONG_RUNS.values(), ids=LONG_RUNS)
+def test_very_long_runs(library, text):
+    ids = library.encode(text, add_special_tokens=False).ids
+    packed = ForcedBoundaryBpe(byte_bpe_path()).encode(text)
+    assert np.frombuffer(packed, "<u4").tolist() == ids
+    assert packing.library_encoder(byte_bpe_path())(text).tolist() == ids
+
+
+def test_a_very_long_run_is_packed(spark):
+    text = LONG_RUNS["spaces"]
+    docs = spark.createDataFrame([(1, "a b"), (2, text)], "doc_id long, text string")
+    rows = packing.pack(docs, byte_bpe_path()).where("doc_id = 2").orderBy("start").collect()
+    ids = np.concatenate([np.frombuffer(r["ids"], "<u4") for r in rows])
+    assert ids[-1] == packing.END and len(ids) == rows[0]["doc_tokens"]
+    assert [r["start"] for r in rows] == np.cumsum([0, *(r["length"] for r in rows[:-1])]).tolist()
+    assert ForcedBoundaryBpe(byte_bpe_path()).decode(ids[:-1].tobytes()) == text
+
+
 def test_forced_pairs_are_inside_no_token():
     bpe = ForcedBoundaryBpe(byte_bpe_path())
     raw = "zebra-crossing 日本語 xqzj".encode()
