@@ -51,10 +51,13 @@ def unused(df: DataFrame, name: str) -> str:
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a local folder is set only
-    where that is unset (tests, one machine)."""
+    where that is unset on one machine (tests).  On a cluster that is an error:
+    executors would write to disks of their own."""
     sc = spark.sparkContext
     folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder there that all executors share")
         folder = tempfile.mkdtemp(prefix="lifetide-shared-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
