@@ -17,19 +17,22 @@ the sets are compared.  A signature in a third of all texts is among the
 rarest of almost none; the joins are ones whose hot keys adaptive execution
 splits.
 
-Likeness is the Jaccard similarity of two sets.  Sets are put into length
-classes first: where the lengths alone keep the similarity under ``FLOOR`` the
-sets are not compared and the likeness is 0.  Two empty sets are alike (1).
-
-Neighbours: a document's next one (by ``doc_id``, ties by text, null ids
-first; after the last the first) is found without a global sort.  Ids are cut
-into equal ranges, a range's first document is also sent to the range before,
-and a window per range reads the next row; texts are shuffled once.  Ranges
-hold about ``RANGE_ROWS`` documents where ids are spread evenly, and their
-first ids (at most ``MAX_RANGES``) are what is broadcast.
-
-A null text is empty; repeated rows are documents of their own; an empty
-table gives an empty one; other columns are ignored.
+Likeness is the Jaccard similarity of two sets; two empty sets are alike (1).
+
+Neighbours: a document's next one (by ``doc_id``, null ids first, ties by the
+text, or, where one id has rows for several ranges, by a hash of the text and
+then the text; after the last the first) is found without
+a global sort.  Ids are cut into ranges of about ``RANGE_ROWS`` documents at
+their quantiles, so ids far off make no large range; where one id, or the null
+one, holds several ranges, its rows are dealt to them by the hash.  A range's
+first document is also sent to the range before, and a window per range reads
+the next row; texts are shuffled once.  The bounds and the ranges' first ids
+(at most ``MAX_RANGES``) are what is broadcast.
+
+A null text is empty; repeated rows are documents of their own (only rows with
+one id and one text stay in one range); an empty table gives an empty one;
+other columns are ignored.  Signatures are made in time linear in the text,
+however long its runs of common words are.
 """
 
 from __future__ import annotations
@@ -50,9 +53,8 @@ als am auch auf aus bei das dem den der des die ein eine einen einer es für ich
 al como con del el ella era es eran esta este fue las lo los más no para pero por si sin su sus también una uno y ya
 """.split()
 STRETCH = 4
-FLOOR = 0.01
 RANGE_ROWS = 256
-MAX_RANGES = 1 << 20
+MAX_RANGES = 1 << 16
 _MARK = "\x01"
 
 
@@ -63,10 +65,12 @@ def signatures(text: Column) -> Column:
     common = "|".join(sorted(set(COMMON), key=lambda w: (-len(w), w)))
     longest = max(map(len, COMMON))
     marked = F.regexp_replace(padded, f" (?=[^ ]{{1,{longest}}} )(?:{common})(?= )", f" {_MARK}")
-    marked = F.regexp_replace(marked, f"(?: [^ {_MARK}]+){{{STRETCH}}}(?= )", f"$0 {_MARK}")
+    marked = F.regexp_replace(marked, f"(?: [^ {_MARK}]++){{{STRETCH}}}(?= )", f"$0 {_MARK}")
     # A content word after one or more marks carries one; the first always does.
-    joined = F.regexp_replace(F.concat(F.lit(f" {_MARK}"), marked), f"(?: {_MARK})+ (?=[^ {_MARK}])", f" {_MARK}")
-    content = F.trim(F.regexp_replace(joined, f"(?: {_MARK})+ *$", ""))
+    # A run of marks is read once, from its first: the other places fail at once.
+    run = f"(?<!{_MARK})(?: {_MARK})++"
+    joined = F.regexp_replace(F.concat(F.lit(f" {_MARK}"), marked), f"{run} (?=[^ {_MARK}])", f" {_MARK}")
+    content = F.trim(F.regexp_replace(joined, f"{run} *$", ""))
     return F.struct(F.split(content, " ").alias("t"), F.split(F.translate(content, _MARK, ""), " ").alias("s"), words.alias("w"), text.alias("x"))
 
 
@@ -90,33 +94,63 @@ def fingerprint(sigs: str) -> Column:
     return F.array_join(F.col(sigs).cast("array<string>"), ",")
 
 
-def likeness(a: str, b: str, floor: float = FLOOR) -> Column:
-    """Jaccard similarity of two sets, pruned by their lengths."""
+def likeness(a: str, b: str) -> Column:
+    """Jaccard similarity of two sets."""
     return F.expr(f"""
       CASE WHEN size({a}) = 0 AND size({b}) = 0 THEN 1.0D
-           WHEN least(size({a}), size({b})) < {floor}D * greatest(size({a}), size({b})) THEN 0.0D
+           WHEN size({a}) = 0 OR size({b}) = 0 THEN 0.0D
            ELSE size(array_intersect({a}, {b})) / cast(size({a}) + size({b}) - size(array_intersect({a}, {b})) AS double) END""")
 
 
+def _below(bounds: list[int], value: str, least: bool) -> str:
+    """How many of the sorted ``bounds`` are under ``value`` (``least``) or
+    under or equal to it, by halving steps (SQL text)."""
+    if not bounds:
+        return "0"
+    # A literal of its own, made from text once when the plan is optimised.
+    known = f"cast(split('{','.join(map(str, bounds))}', ',') AS array<bigint>)"
+    steps = ", ".join(str(1 << i) for i in range(len(bounds).bit_length() - 1, -1, -1))
+    fits = "<" if least else "<="
+    return f"aggregate(array({steps}), 0, (p, s) -> CASE WHEN p + s <= {len(bounds)} AND get({known}, p + s - 1) {fits} {value} THEN p + s ELSE p END)"
+
+
+def ranges(docs: DataFrame) -> tuple[Column, bool]:
+    """The number of each row's range, which grows with ``doc_id`` and the hash
+    of the text, and whether any id has several."""
+    size = docs.agg(F.count("doc_id").alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    wanted = min(MAX_RANGES, size["n"] // RANGE_ROWS)
+    nameless = max(1, min(MAX_RANGES, -(-(size["rows"] - size["n"]) // RANGE_ROWS)))
+    bounds: list[int] = []
+    if wanted > 1:
+        shares = ", ".join(repr(i / wanted) for i in range(1, wanted))
+        bounds = docs.agg(F.expr(f"percentile_approx(doc_id, array({shares}), {4 * wanted})")).first()[0]
+    spread = "((xxhash64(text) / 18446744073709551616.0D) + 0.5D)"
+    under, upto = _below(bounds, "doc_id", True), _below(bounds, "doc_id", False)
+    shared = len(set(bounds)) < len(bounds)
+    # The ranges of an id that is several bounds are those after the bound before it.
+    named = f"CASE WHEN {upto} - {under} < 2 THEN {upto} ELSE {under} + least({upto} - {under}, 1 + cast(floor({spread} * ({upto} - {under})) AS int)) END" if shared else upto
+    lost = f"least({nameless - 1}, cast(floor({spread} * {nameless}) AS int))" if nameless > 1 else "0"
+    return F.expr(f"CASE WHEN doc_id IS NULL THEN {lost} ELSE {nameless} + {named} END"), shared or nameless > 1
+
+
 def with_next(docs: DataFrame, columns: list[str], add: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """``docs`` with ``next_<column>`` of the next document for ``columns``.
     Columns made by ``add`` are made after the shuffle, so they do not travel."""
-    size = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("doc_id").alias("n")).first()
-    ranges = max(1, min(MAX_RANGES, (size["n"] or 0) // RANGE_ROWS))
-    low = size["low"] or 0
-    width = -(-((size["high"] or 0) - low + 1) // ranges)
-    # Range 0 holds null ids.
-    own = F.expr(f"coalesce(cast((cast(doc_id AS decimal(20, 0)) - {low}) DIV {width} AS int) + 1, 0)")
-    ids = docs.select("doc_id", own.alias("_range")).groupBy("_range").agg(F.min("doc_id").alias("_first"))
-    ends = ids.agg(F.max("_range")).first()[0]
-    before = ids.select("_first", F.coalesce(F.lag("_range").over(Window.orderBy("_range")), F.lit(ends)).alias("_before"))
+    own, tied = ranges(docs)
+    tie = F.xxhash64("text") if tied else F.lit(0).cast("long")
+    firsts = docs.select(own.alias("_range"), F.struct("doc_id", tie.alias("tie")).alias("_at")).groupBy("_range").agg(F.min("_at").alias("_first"))
+    # Stored: the ends and the order of the ranges are read from it.
+    firsts = stored(firsts, "ranges")
+    ends = firsts.agg(F.max("_range")).first()[0]
+    before = firsts.select("_first", F.coalesce(F.lag("_range").over(Window.orderBy("_range")), F.lit(ends)).alias("_before"))
     place = F.array(F.struct(own.alias("_range"), F.lit(False).alias("_guest")))
     guest = F.array(F.struct(F.col("_before").alias("_range"), F.lit(True).alias("_guest")))
-    sent = docs.join(F.broadcast(before), F.col("doc_id").eqNullSafe(F.col("_first")), "left").select(
+    here = F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (tie == F.col("_first.tie"))
+    sent = docs.join(F.broadcast(before), here, "left").select(
         *docs.columns, F.inline(F.when(F.col("_before").isNull(), place).otherwise(F.concat(place, guest)))
     )
     dealt = add(sent.repartition("_range"))
-    line = Window.partitionBy("_range").orderBy("_guest", "doc_id", "text")
+    line = Window.partitionBy("_range").orderBy("_guest", "doc_id", *([F.xxhash64("text")] if tied else []), "text")
     paired = dealt.withColumn("_next", F.lead(F.struct(*columns)).over(line)).where("NOT _guest")
     kept = [c for c in paired.columns if c not in ("_range", "_guest", "_next")]
     return paired.select(*kept, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in columns])

@@ -5,10 +5,13 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import time
+from collections import Counter
 
 import duckdb
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from lifetide.llm import host_reputation as hr
 from lifetide.llm import spotsigs
@@ -75,7 +78,7 @@ def test_op1_digests_and_likeness(spark, messy_dir, messy_rows):
     for r in rows:
         a, b = as_set(r["fingerprint"]), as_set(r["edited_fingerprint"])
         exact = len(a & b) / len(a | b) if a | b else 1.0
-        assert abs(r["near_edited"] - exact) < 1e-12 or (exact < spotsigs.FLOOR and r["near_edited"] == 0)
+        assert abs(r["near_edited"] - exact) < 1e-12
         assert 0 <= r["near_next"] <= 1
     by_text = {}
     for i, t in messy_rows:
@@ -94,6 +97,41 @@ def test_next_document_across_ranges(spark):
     assert got == {i: f"t{j}" for i, j in zip(ids, ids[1:] + ids[:1])}
 
 
+@pytest.mark.parametrize("ids", [
+    [*range(400), 2**62], [*range(300), *range(10**12, 10**12 + 300), -(2**62)], [5] * 200 + list(range(200)), [None] * 300 + [1, 2],
+], ids=["far", "clusters", "one id", "no id"])
+def test_ranges_follow_the_rows(spark, monkeypatch, ids):
+    """Every range holds a few documents, and the order of ids (and of the
+    hash, for rows with one id) goes through all ranges."""
+    monkeypatch.setattr(spotsigs, "RANGE_ROWS", 16)
+    docs = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id long, text string").repartition(4)
+    own, _ = spotsigs.ranges(docs)
+    placed = docs.select("doc_id", "text", own.alias("range"), F.xxhash64("text").alias("h")).collect()
+    counts = Counter(r["range"] for r in placed)
+    assert max(counts.values()) <= 4 * 16 and len(counts) >= len(ids) // 48
+    key = lambda r: (r["doc_id"] is not None, r["doc_id"] or 0)
+    line = sorted(placed, key=lambda r: (r["range"], key(r)))
+    assert [key(r) for r in line] == sorted(map(key, placed))
+    after = {(r["doc_id"], r["text"]): r["next_text"] for r in spotsigs.with_next(docs, ["text"]).collect()}
+    order = [r["text"] for r in sorted(placed, key=lambda r: (key(r), r["h"] if ids.count(r["doc_id"]) > 1 else 0))]
+    text_after = dict(zip(order, order[1:] + order[:1]))
+    assert after == {(r["doc_id"], r["text"]): text_after[r["text"]] for r in placed}
+
+
+def test_likeness_is_exact_however_lengths_differ(spark):
+    row = spark.sql("SELECT array(1L) AS a, sequence(1L, 150L) AS b, cast(array() AS array<bigint>) AS c")
+    got = row.select(spotsigs.likeness("a", "b"), spotsigs.likeness("a", "c"), spotsigs.likeness("c", "c"), spotsigs.likeness("b", "b")).first()
+    assert tuple(got) == (1 / 150, 0.0, 1.0, 1.0)
+
+
+def test_long_runs_of_common_words_take_linear_time(spark):
+    texts = ["the " * 300_000, "the " * 150_000 + "harbour " + "of " * 150_000, "harbour " * 300_000]
+    started = time.time()
+    got = sigs(spark, texts)
+    assert time.time() - started < 30
+    assert len(got[0]) == 1 and len(got[1]) == 1 and len(got[2]) == 1
+
+
 @pytest.mark.parametrize("similarity", [0.5, 0.8])
 def test_similar_sets_against_brute_force(spark, similarity):
     rng = random.Random(9)
