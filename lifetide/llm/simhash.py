@@ -232,7 +232,8 @@ def star_batch(cell: np.ndarray, fps: np.ndarray, max_bits: int) -> pa.RecordBat
 def connected(edges: DataFrame, steps: int = 64) -> DataFrame:
     """``(node, root)`` with the smallest node reachable, for every node of
     ``edges (a, b)``, by alternating large-star and small-star steps until
-    nothing changes (their number grows with the logarithm of the nodes)."""
+    nothing changes (their number grows with the logarithm of the nodes).  The
+    result reads a stored table, which the caller may ``discard``."""
     pairs = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     state = summary(pairs)
     for _ in range(steps):
@@ -251,7 +252,9 @@ def connected(edges: DataFrame, steps: int = 64) -> DataFrame:
         discard(large)
         before, state = state, summary(pairs)
         if state == before:
-            return pairs.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
+            settled = pairs.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
+            settled.stored_path = pairs.stored_path
+            return settled
     raise RuntimeError(f"components not settled after {steps} steps")
 
 
@@ -268,6 +271,9 @@ def components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     rooted = stored(
         nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "roots"
     )
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    discard(roots)
+    # Stored before the join, so that the many fingerprints of one root can be split.
+    lowest = stored(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
+    named = stored(rooted.join(lowest, "root").select("fp", "component_id"), "named", drop=rooted)
+    discard(lowest)
+    return stored(prints.join(named, "fp").select("doc_id", "fp", "component_id"), "components", drop=prints)
