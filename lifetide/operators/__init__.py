@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators, one per model, plus reports."""
 
 from lifetide.operators.activity import active_days, expand_runs, user_day_activity, user_day_runs, user_day_spine, user_days
-from lifetide.operators.base import calendar, dim_users, event_ordinal, fact_events
+from lifetide.operators.base import calendar, dim_users, event_ordinal, event_ordinal_ranges, fact_events
 from lifetide.operators.growth import consolidated_groups, growth, growth_consolidated
 from lifetide.operators.reports import cohort_matrix, cohort_matrix_wide, status_report, status_report_of, transaction_breakdown
 from lifetide.operators.retention import triangle, triangle_from_days, user_periods
@@ -15,6 +15,7 @@ __all__ = [
     "consolidated_groups",
     "dim_users",
     "event_ordinal",
+    "event_ordinal_ranges",
     "expand_run_status",
     "expand_runs",
     "fact_events",

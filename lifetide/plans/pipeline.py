@@ -27,6 +27,7 @@ from lifetide.operators import (
     cohort_matrix_wide,
     dim_users,
     event_ordinal,
+    event_ordinal_ranges,
     fact_events,
     growth,
     run_status,
@@ -153,7 +154,7 @@ def build_all(
         view("calendar", calendar(events), calendar(days, time_col="day"))
         view("dim_users", dim_users(events))
         save("fct_events", fact_events(events))
-        view("event_ordinal", event_ordinal(events))
+        view("event_ordinal", event_ordinal(events) if lazy_views else event_ordinal_ranges(events))
 
         if include_spine and spine == "days":
             save("growth_transactions", user_day_spine(days))

@@ -19,7 +19,7 @@ from lifetide.operators import (
     cohort_matrix,
     cohort_matrix_wide,
     dim_users,
-    event_ordinal,
+    event_ordinal_ranges,
     expand_run_status,
     expand_runs,
     fact_events,
@@ -166,7 +166,7 @@ def _build() -> dict[str, Query]:
         q[f"events_calendar{sfx}"] = Query(_on(source, calendar), oracle.calendar_sql(source))
         q[f"dim_users{sfx}"] = Query(_on(source, dim_users), oracle.dim_users_sql(source))
         q[f"fct_events{sfx}"] = Query(_on(source, fact_events), oracle.fct_events_sql(source))
-        q[f"event_ordinal{sfx}"] = Query(_on(source, event_ordinal), oracle.event_ordinal_sql(source))
+        q[f"event_ordinal{sfx}"] = Query(_on(source, event_ordinal_ranges), oracle.event_ordinal_sql(source))
         q[f"user_day_activity{sfx}"] = Query(_on(source, user_day_activity), oracle.user_day_activity_sql(source))
         q[f"growth_daily{sfx}"] = Query(
             _on(source, lambda ev: growth(user_day_activity(ev), "day")), oracle.growth_daily_sql(source)

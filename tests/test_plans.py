@@ -84,7 +84,10 @@ def test_per_user_windows_run_on_aggregated_rows(spark, have_data, name):
 def test_event_ordinal_windows_are_bounded(spark, have_data):
     """No window holds a whole user's events: one numbers the instants of a
     user's minute, one the minutes of a user."""
-    ops = [op for _, op in _operators(plan_text(REGISTRY["event_ordinal"].run(spark, SF)))]
+    from lifetide.operators import event_ordinal
+    from lifetide.sources.events import load_source
+
+    ops = [op for _, op in _operators(plan_text(event_ordinal(load_source(spark, SF))))]
     windows = [op for op in ops if op.startswith("Window [")]
     per_user = [op for op in windows if "_m#" not in op.rsplit("], [", 2)[-2]]
     assert len(per_user) == 1 and len(windows) > 1
@@ -92,36 +95,65 @@ def test_event_ordinal_windows_are_bounded(spark, have_data):
     assert next(op for op in below if op.startswith("Filter")).count("_total")
 
 
-def test_event_ordinal_spreads_a_hot_user(spark):
-    """A third of all rows is one user inside one hour, a third one user
-    without times, partly at one instant: no task reads or makes a share of
-    the rows that follows them."""
-    from lifetide.operators import base, event_ordinal
+HOT = 30_000
+
 
-    n = 30_000
-    rows = spark.range(3 * n).selectExpr(
+@pytest.fixture(scope="module")
+def hot_events(spark):
+    """A third of all rows is one user inside one hour, a third one user (or
+    unknown ones) without times, partly at one instant."""
+    n = HOT
+    return spark.range(3 * n).selectExpr(
         f"""CASE WHEN id < {n} THEN TIMESTAMP_NTZ '2024-01-01 10:00:00' + make_dt_interval(0, 0, 0, id % 3000 + (id % 7) / 10)
                  WHEN id < {n + n // 2} THEN TIMESTAMP_NTZ '2024-01-02 10:00:00'
                  WHEN id < {2 * n} THEN NULL ELSE TIMESTAMP_NTZ '2024-01-03 00:00:00' + make_dt_interval(0, 0, 0, id) END AS event_time""",
-        f"CASE WHEN id < {n} THEN 1L WHEN id < {2 * n} THEN 2L ELSE id END AS user_id",
+        f"CASE WHEN id < {n} THEN 1L WHEN id < {2 * n} THEN 2L WHEN id % 3 = 0 THEN NULL ELSE id END AS user_id",
     )
-    old, base.ORDINAL_CHUNK = base.ORDINAL_CHUNK, 500
+
+
+@pytest.mark.parametrize("method", ["event_ordinal", "event_ordinal_ranges"])
+def test_event_ordinal_spreads_a_hot_user(spark, hot_events, monkeypatch, method):
+    """No task reads or makes a share of the rows that follows a hot user."""
+    from lifetide.operators import base
+
+    n = HOT
+    monkeypatch.setattr(base, "ORDINAL_CHUNK", 500)
+    monkeypatch.setattr(base, "ORDINAL_RANGE", 1500)
     saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "40")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        out = event_ordinal(rows)
+        out = getattr(base, method)(hot_events)
         made = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
         bad = out.groupBy("user_id").agg(F.count("*").alias("n"), F.min("session_number").alias("lo"), F.max("session_number").alias("hi"), F.countDistinct("session_number").alias("d"))
         assert bad.where("lo <> 1 OR hi <> n OR d <> n").count() == 0 and out.count() == 3 * n
         assert out.where("user_id = 2 AND event_time IS NULL").agg(F.max("session_number")).first()[0] == n // 2
+        plain = hot_events.selectExpr("user_id", "event_time", "row_number() OVER (PARTITION BY user_id ORDER BY event_time) AS session_number")
+        assert plain.exceptAll(out).count() == 0
     finally:
-        base.ORDINAL_CHUNK = old
         for k, v in saved.items():
             spark.conf.set(k, v)
     assert len(made) == 40 and max(r["count"] for r in made) < 4 * (3 * n / 40)
 
 
+def test_event_ordinal_ranges_are_even(spark, hot_events, monkeypatch):
+    """The hot user's instants are many ranges; windows are per range and user,
+    over instants, with two exchanges and no join."""
+    from lifetide.operators import base
+
+    monkeypatch.setattr(base, "ORDINAL_RANGE", 1500)
+    bounds = base._ordinal_bounds(hot_events, 3 * HOT)
+    assert len(bounds) > 40 and sum(u == 1 for u, _ in bounds) > 5
+    sizes = hot_events.distinct().groupBy(F.expr(base._range_sql(bounds)).alias("r")).count().collect()
+    assert max(r["count"] for r in sizes) < 6 * hot_events.distinct().count() / len(sizes)
+    p = plan_text(base.event_ordinal_ranges(hot_events))
+    assert p.count("Exchange hashpartitioning") == 2 and "Join" not in p
+    monkeypatch.setattr(base, "ORDINAL_CHUNK", 500)
+    assert plan_text(base.event_ordinal_ranges(hot_events)).count("Exchange ") == 3
+    monkeypatch.undo()
+    assert plan_text(base.event_ordinal_ranges(hot_events)).count("Exchange ") == 2
+
+
 def test_cohort_matrix_and_status_report_plans(spark, have_data):
     """One scan each; the report adds one exchange to the groups' four."""
     assert plan_text(REGISTRY["cohort_matrix_weekly_orders"].run(spark, SF)).count("FileScan parquet") == 1
