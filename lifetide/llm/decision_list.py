@@ -5,16 +5,23 @@ sequential covering from labelled statistics, and ``verdict`` turns it into
 one ordered conditional expression.
 
 Learning: a rule is a conjunction of thresholds.  It grows on two thirds of
-the labelled rows by the condition with the best FOIL gain, one aggregation
-over the rows that it still covers per condition (counts by feature, cut and
-label; nothing else reaches the driver).  On the other third its last
-conditions are pruned where that raises ``(p - n) / (p + n)``.  A rule is
-taken if its precision there reaches ``MIN_PRECISION``; the rows it covers
-leave, and the next rule is grown, until none is found or ``MAX_RULES`` are.
+the labelled rows by the span of one feature (one threshold or two) with the
+best FOIL gain, out of all spans between ``CUTS`` quantiles of the bad rows and
+of all rows that it still covers; the span's ends are then moved between finer
+and finer quantiles around them as long as the gain rises.  A step is an
+aggregation (counts by feature, bin and label); nothing else reaches the
+driver.  It grows until no span has a gain, however many conditions that are.
+On the other third its last conditions are pruned where that raises
+``(p - n) / (p + n)``.  A rule is taken if its precision there reaches
+``precision`` within a standard error, and the rows it covers leave; if not, the bad rows it covers
+start no further rule, but rules for other kinds of bad rows are still grown.
+Covering ends when bad rows that start a rule are fewer than ``support``, or
+when a rule does not raise the precision on the pruning rows at all.
+``precision`` and ``support`` (bad rows that a span must cover) are the only
+limits.
 
-Words in windows that repeat: the hash of every 3-word window and its
-position share one 64-bit number (position in the low bits, as many as the
-text needs), so a plain sort brings equal windows together.
+Words in windows that repeat: every 3-word window's 64-bit hash is sorted
+together with its position, which brings equal windows side by side.
 
 A null text has no words; null ids and repeated rows are measured like
 others; labels that are null, neither 0 nor 1, or without a document are
@@ -36,10 +43,10 @@ SPACES = r"[\x20\x09-\x0D]+"
 #: Fixed value: the symbols of the contract.
 SYMBOLS = "#*$%&|<>"
 CUTS = 24
-MAX_RULES = 8
-MAX_CONDITIONS = 3
-MIN_PRECISION = 0.9
-MIN_COVERED = 5
+#: Precision on the pruning rows that a rule needs, and bad rows that a span covers at least.
+PRECISION, SUPPORT = 0.9, 5
+#: Labelled rows of one task at least.
+TASK_ROWS = 100_000
 
 FEATURES = {
     "words": "n_words",
@@ -79,17 +86,11 @@ def measure(docs: DataFrame) -> DataFrame:
     hashed = counted.withColumn(
         "h", F.expr("CASE WHEN n_words >= 3 THEN transform(sequence(0, n_words - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2])) ELSE array() END")
     ).drop("w", "lines")
-    # Bits for the position: 2 ** k > n_words.
-    packed = hashed.withColumn("k", F.expr("length(bin(n_words))")).withColumn(
-        "s",
-        F.expr("CASE WHEN size(array_distinct(h)) < size(h) THEN sort_array(transform(h, (x, i) -> shiftleft(shiftright(x, k), k) | i)) ELSE array() END"),
+    paired = hashed.withColumn(
+        "s", F.expr("CASE WHEN size(array_distinct(h)) < size(h) THEN sort_array(transform(h, (x, i) -> struct(x AS x, i AS i))) ELSE array() END")
     ).drop("h")
-    at = packed.withColumn(
-        "p",
-        F.expr("""
-        sort_array(transform(
-          filter(s, (x, j) -> shiftright(x, k) = shiftright(get(s, j - 1), k) OR shiftright(x, k) = shiftright(get(s, j + 1), k)),
-          x -> cast(x - shiftleft(shiftright(x, k), k) AS int)))"""),
+    at = paired.withColumn(
+        "p", F.expr("sort_array(transform(filter(s, (e, j) -> e.x = get(s, j - 1).x OR e.x = get(s, j + 1).x), e -> e.i))")
     )
     covered_words = "CASE WHEN size(p) = 0 THEN 0 ELSE 3 + aggregate(transform(p, (x, j) -> CASE WHEN j = 0 THEN 0 ELSE least(3, x - p[j - 1]) END), 0, (n, x) -> n + x) END"
     numbers = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_capitals", "n_marks", "n_lines", "n_distinct"]
@@ -117,27 +118,109 @@ def rule_sql(rule: Rule, raw: bool = False) -> str:
     return " AND ".join(c.sql(FEATURES[c.feature] if raw else None) for c in rule)
 
 
-def best_condition(rows: DataFrame, cuts: dict[str, list[float]], bad: int, good: int) -> tuple[Condition, int, int] | None:
-    """The condition with the best FOIL gain over ``rows`` and what it covers."""
-    bins = [
-        F.struct(F.lit(name).alias("feature"), F.expr("+".join(f"int(f_{name} > {c!r}D)" for c in cuts[name]) or "0").alias("bin"))
-        for name in FEATURES
-    ]
+Counts = dict[tuple[str, int, int], int]
+#: A feature's span: over the first cut and up to the second; None is open.
+Span = tuple[str, float | None, float | None]
+
+
+def cut_points(rows: DataFrame, parts: list[tuple[str, str]]) -> list[list[float]]:
+    """For each (feature, SQL condition): quantiles of the feature over the bad
+    rows and over all of ``rows`` that the condition holds for."""
+    points = ", ".join(repr(i / (CUTS + 1)) for i in range(1, CUTS + 1))
+    found = rows.agg(
+        *[
+            F.expr(f"percentile_approx(f_{name}, array({points}), 1000) FILTER (WHERE {among} AND {which})").alias(f"q{k}_{i}")
+            for k, (name, among) in enumerate(parts)
+            for i, which in enumerate(("label = 0", "true"))
+        ]
+    ).first()
+    return [sorted({*(found[f"q{k}_0"] or ()), *(found[f"q{k}_1"] or ())}) for k in range(len(parts))]
+
+
+def every_cut(rows: DataFrame) -> dict[str, list[float]]:
+    return dict(zip(FEATURES, cut_points(rows, [(name, "true") for name in FEATURES])))
+
+
+def bin_sql(value: str, points: list[float]) -> str:
+    """How many of the sorted ``points`` are under ``value``, by halving steps;
+    the points are one literal, so steps with other points run the same code."""
+    if not points:
+        return "0"
+    known = f"cast(split('{','.join(map(repr, points))}', ',') AS array<double>)"
+    steps = ", ".join(str(1 << i) for i in range(len(points).bit_length() - 1, -1, -1))
+    return f"aggregate(array({steps}), 0, (p, s) -> CASE WHEN get({known}, p + s - 1) < {value} THEN p + s ELSE p END)"
+
+
+def binned(rows: DataFrame, cuts: dict[str, list[float]]) -> Counts:
+    """Rows by feature, bin (the cuts that the value exceeds) and label."""
+    bins = [F.struct(F.lit(name).alias("feature"), F.expr(bin_sql(f"f_{name}", points)).alias("bin")) for name, points in cuts.items()]
     found = rows.select("label", F.explode(F.array(*bins)).alias("b")).groupBy("b.feature", "b.bin", "label").count().collect()
-    counts: dict[tuple, int] = {(r["feature"], r["bin"], r["label"]): r["count"] for r in found}
-    best, best_gain = None, 1e-9
-    start = math.log2(bad / (bad + good))
+    return {(r["feature"], r["bin"], r["label"]): r["count"] for r in found}
+
+
+def foil_gain(p: int, n: int, bad: int, good: int, support: int) -> float:
+    """Bits saved for the ``p`` bad rows of a part of (``bad``, ``good``) rows."""
+    if p < support or p + n == bad + good:
+        return 0.0
+    return p * (math.log2(p / (p + n)) - math.log2(bad / (bad + good)))
+
+
+def best_span(rows: DataFrame, cuts: dict[str, list[float]], bad: int, good: int, support: int) -> tuple[float, Span, int, int]:
+    """The span between two cuts with the best FOIL gain: the gain, the span,
+    and the bad and good rows in it."""
+    counts = binned(rows, cuts)
+    best: tuple[float, Span, int, int] = (1e-9, ("", None, None), 0, 0)
     for name, points in cuts.items():
-        for i, cut in enumerate(points):
-            # Cut i is exceeded by the rows whose bin is over i.
-            high = [sum(counts.get((name, b, label), 0) for b in range(i + 1, len(points) + 1)) for label in (0, 1)]
-            for above, (p, n) in ((True, high), (False, [bad - high[0], good - high[1]])):
-                gain = p * (math.log2(p / (p + n)) - start) if p >= MIN_COVERED and p + n < bad + good else 0.0
-                if gain > best_gain:
-                    best, best_gain = (Condition(name, above, cut), p, n), gain
+        ends: list[float | None] = [None, *points, None]
+        for i in range(len(points) + 1):
+            p = n = 0
+            for j in range(i, len(points) + 1):
+                p, n = p + counts.get((name, j, 0), 0), n + counts.get((name, j, 1), 0)
+                gain = foil_gain(p, n, bad, good, support)
+                if gain > best[0]:
+                    best = (gain, (name, ends[i], ends[j + 1]), p, n)
     return best
 
 
+def refined(rows: DataFrame, found: tuple[float, Span, int, int], cuts: list[float], bad: int, good: int, support: int) -> tuple[float, Span, int, int]:
+    """``found`` with its ends moved between finer cuts around them, as long as
+    the gain rises."""
+    while True:
+        name, low, high = found[1]
+        reach = []
+        for end in (low, high):
+            if end is not None:
+                i = cuts.index(end)
+                reach.append((cuts[i - 1] if i else -math.inf, cuts[i + 1] if i + 1 < len(cuts) else math.inf))
+        x = f"f_{name}"
+        sides = [" AND ".join([f"{x} > {a!r}D"] * (a > -math.inf) + [f"{x} <= {b!r}D"] * (b < math.inf)) or "true" for a, b in reach]
+        finer = cut_points(rows, [(name, side) for side in sides])
+        cuts = sorted({*(c for points in finer for c in points), *(end for end in (low, high) if end is not None)})
+        better = best_span(rows, {name: cuts}, bad, good, support)
+        if better[0] <= found[0] + 1e-9:
+            return found
+        found = better
+
+
+def conditions(span: Span) -> Rule:
+    name, low, high = span
+    return tuple(Condition(name, above, cut) for above, cut in ((True, low), (False, high)) if cut is not None)
+
+
+def grown(rows: DataFrame, bad: int, good: int, support: int) -> Rule:
+    """A rule for bad ``rows``: spans are added until none has a gain."""
+    rule: Rule = ()
+    while bad >= support and good:
+        cuts = every_cut(rows)
+        found = best_span(rows, cuts, bad, good, support)
+        if not found[1][0]:
+            break
+        _, span, bad, good = refined(rows, found, cuts[found[1][0]], bad, good, support)
+        rule += conditions(span)
+        rows = rows.where(rule_sql(conditions(span)))
+    return rule
+
+
 def covered(rows: DataFrame, rules: list[Rule]) -> list[tuple[int, int]]:
     """(bad, good) rows that each rule covers."""
     sums = [
@@ -149,38 +232,31 @@ def covered(rows: DataFrame, rules: list[Rule]) -> list[tuple[int, int]]:
     return [(row[f"c{i}_0"] or 0, row[f"c{i}_1"] or 0) for i in range(len(rules))]
 
 
-def learn(measured: DataFrame, labels: DataFrame) -> list[Rule]:
+def learn(measured: DataFrame, labels: DataFrame, precision: float = PRECISION, support: int = SUPPORT) -> list[Rule]:
     """The ordered rules that reject, from ``labels (doc_id, quality)``."""
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where("label IN (0, 1)")
     rows = measured.select("doc_id", *features(measured)).join(marked, "doc_id")
     rows = stored(rows.withColumn("prune", F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).drop("doc_id"), "labelled")
-    points = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
-    quantiles = rows.where("label = 0").agg(*[F.percentile_approx(f"f_{name}", points, 1000).alias(name) for name in FEATURES]).first()
-    all_rows = rows.agg(*[F.percentile_approx(f"f_{name}", points, 1000).alias(name) for name in FEATURES]).first()
-    cuts = {name: sorted({*(quantiles[name] or ()), *(all_rows[name] or ())}) for name in FEATURES}
+    # Labelled rows are few to a file, and every step reads them.
+    left = seeds = rows.coalesce(max(1, rows.count() // TASK_ROWS))
     rules: list[Rule] = []
-    left = rows
-    while len(rules) < MAX_RULES:
-        grow, prune = left.where("NOT prune"), left.where("prune")
-        rule: Rule = ()
-        inside = grow
+    while True:
+        grow, prune = seeds.where("NOT prune"), left.where("prune")
         [(bad, good)] = covered(grow, [()])
-        while len(rule) < MAX_CONDITIONS and bad >= MIN_COVERED and good:
-            step = best_condition(inside, cuts, bad, good)
-            if step is None:
-                break
-            condition, bad, good = step
-            rule += (condition,)
-            inside = inside.where(condition.sql())
+        rule = grown(grow, bad, good, support)
         if not rule:
             break
-        shorter = [rule[:i] for i in range(1, len(rule) + 1)]
-        worth = [((p - n) / (p + n) if p + n else -1.0, p, n, r) for (p, n), r in zip(covered(prune, shorter), shorter)]
+        shorter = [rule[:i] for i in range(len(rule) + 1)]
+        (all_bad, all_good), *counts = covered(prune, shorter)
+        worth = [((p - n) / (p + n) if p + n else -1.0, p, n, r) for (p, n), r in zip(counts, shorter[1:])]
         _, p, n, rule = max(worth, key=lambda w: (w[0], -len(w[3])))
-        if not p or p / (p + n) < MIN_PRECISION:
+        if p and p / (p + n) >= precision - math.sqrt(precision * (1 - precision) / (p + n)):
+            rules.append(rule)
+            left, seeds = left.where(f"NOT ({rule_sql(rule)})"), seeds.where(f"NOT ({rule_sql(rule)})")
+        elif p and p / (p + n) > all_bad / (all_bad + all_good):
+            seeds = seeds.where(f"label = 1 OR NOT ({rule_sql(rule)})")
+        else:
             break
-        rules.append(rule)
-        left = left.where(f"NOT ({rule_sql(rule)})")
     discard(rows)
     return rules
 

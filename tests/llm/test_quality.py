@@ -102,10 +102,82 @@ def test_rules_are_short_conjunctions(spark, labelled):
     folder, _ = labelled
     measured = stored(dl.measure(spark.read.parquet(f"{folder}/documents.parquet")), "t")
     rules = dl.learn(measured, spark.read.parquet(f"{folder}/labels.parquet"))
-    assert rules and all(1 <= len(r) <= dl.MAX_CONDITIONS for r in rules)
+    assert rules and all(r and all(c.feature in dl.FEATURES for c in r) for r in rules)
     assert dl.learn(measured, spark.read.parquet(f"{folder}/labels.parquet").limit(0)) == []
 
 
+BANDS = [(f, lo) for f in "abcdef" for lo in (0.2, 0.7)]
+
+
+def banded(seed, good, width, each=100):
+    """Twelve kinds of bad rows, each within one band of one feature that holds
+    no good row."""
+    rng = random.Random(seed)
+    inside = lambda x: any(lo <= x < lo + width for lo in (0.2, 0.7))
+
+    def clean():
+        while inside(x := rng.random()):
+            pass
+        return x
+
+    rows = [{f: clean() for f in "abcdef"} | {"label": 1} for _ in range(good)]
+    for f, lo in BANDS:
+        rows += [{g: clean() for g in "abcdef"} | {f: lo + width * rng.random(), "label": 0} for _ in range(each)]
+    return rows
+
+
+def learned(spark, monkeypatch, rows, **more):
+    monkeypatch.setattr(dl, "FEATURES", {f: f for f in "abcdef"})
+    table = spark.createDataFrame([(i, *[r[f] for f in "abcdef"], r["label"]) for i, r in enumerate(rows)], "doc_id long, a double, b double, c double, d double, e double, f double, label int")
+    rules = dl.learn(table.drop("label"), table.selectExpr("doc_id", "label AS quality"), **more)
+    rejected = table.withColumn("rule", dl.verdict(rules)).where("rule IS NOT NULL").groupBy("label").count().collect()
+    return rules, {r["label"]: r["count"] for r in rejected}
+
+
+@pytest.mark.parametrize("good,width", [(2000, 0.2), (12000, 0.01)], ids=["wide", "narrow"])
+def test_every_kind_of_bad_row_has_a_rule(spark, monkeypatch, good, width):
+    rules, rejected = learned(spark, monkeypatch, banded(3, good, width))
+    assert len(rules) == len(BANDS)
+    assert rejected[0] >= 0.95 * 1200 and rejected.get(1, 0) <= 0.01 * good
+
+
+def test_labels_without_a_pattern_give_no_rules(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [{f: rng.random() for f in "abcdef"} | {"label": int(rng.random() < 0.8)} for _ in range(1500)]
+    rules, rejected = learned(spark, monkeypatch, rows)
+    assert rejected.get(1, 0) <= 0.01 * len(rows)
+
+
+def test_first_span_against_exhaustive_search(spark, monkeypatch):
+    """The refined span's gain is that of the best of all spans of all values."""
+    monkeypatch.setattr(dl, "FEATURES", {f: f for f in "abcdef"})
+    rows = banded(8, 400, 0.1, 30)
+    bad, good = sum(r["label"] == 0 for r in rows), sum(r["label"] for r in rows)
+    best = 0.0
+    for f in "abcdef":
+        line = sorted((r[f], r["label"]) for r in rows)
+        for i in range(len(line)):
+            p = n = 0
+            for _, label in line[i:]:
+                p, n = p + (label == 0), n + label
+                best = max(best, dl.foil_gain(p, n, bad, good, 5))
+    df = spark.createDataFrame([tuple(r[f] for f in "abcdef") + (r["label"],) for r in rows], ", ".join(f"f_{f} double" for f in "abcdef") + ", label int")
+    cuts = dl.every_cut(df)
+    found = dl.best_span(df, cuts, bad, good, 5)
+    found = dl.refined(df, found, cuts[found[1][0]], bad, good, 5)
+    assert found[0] >= 0.97 * best
+    (name, low, high), p, n = found[1:]
+    held = [r["label"] for r in rows if (low is None or r[name] > low) and (high is None or r[name] <= high)]
+    assert (held.count(0), held.count(1)) == (p, n)
+
+
+def test_repeated_windows_of_a_long_text_are_exact(spark):
+    rng = random.Random(12)
+    text = " ".join("".join(rng.choices("abcdefgh", k=3)) for _ in range(40_000))
+    [row] = dl.measure(frame(spark, [(1, text)])).collect()
+    assert row["n_repeat_words"] == brute(text)[4]
+
+
 def test_native_plans(spark, messy_dir):
     for name in ("op1_spotsigs", "op2_host_reputation", "op10_decision_list"):
         plan = QUERIES[name](spark, messy_dir)._jdf.queryExecution().executedPlan().toString()
