@@ -203,18 +203,27 @@ SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, posi
 """,
     "op2_host_reputation": """
 WITH split AS (
-  SELECT page_id,
+  SELECT page_id, row_number() OVER () AS line,
          CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
   FROM pages),
 addressed AS (
-  SELECT page_id,
+  SELECT page_id, line,
          translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
   FROM split),
-named AS (
-  SELECT *, array_to_string(list_slice(string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.'), -2, -1), '.') AS dom
-  FROM addressed),
-placed AS (SELECT *, string_split(dom, '.')[-1] AS suf FROM named),
+bared AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS bare FROM addressed),
+labelled AS (
+  SELECT *, string_split(bare, '.') AS labels, regexp_full_match(bare, '[0-9]+([.][0-9]+){3}') OR starts_with(bare, '[') AS numeric_host,
+         array_to_string(list_slice(string_split(bare, '.'), -2, -1), '.') AS two
+  FROM bared),
+listed AS (SELECT unnest(string_split('""" + " ".join(host_reputation.SUFFIXES) + """', ' ')) AS two_labels),
+placed AS (
+  SELECT page_id, line, host, path,
+         CASE WHEN numeric_host THEN bare
+              WHEN two IN (SELECT two_labels FROM listed) THEN array_to_string(list_slice(labels, greatest(-3, -len(labels)), -1), '.')
+              ELSE two END AS dom,
+         CASE WHEN numeric_host THEN '(address)' WHEN two IN (SELECT two_labels FROM listed) THEN two ELSE labels[-1] END AS suf
+  FROM labelled),
 outcomes AS (
   SELECT p.host, p.dom, p.suf, l.quality AS good
   FROM placed p JOIN labels l ON l.doc_id = try_cast(regexp_extract(p.path, '^/[a-z]+/([0-9]+)', 1) AS BIGINT)
@@ -236,7 +245,7 @@ one AS (
   SELECT coalesce((SELECT s FROM strengths WHERE lev = 1), 1000.0) AS s1, coalesce((SELECT s FROM strengths WHERE lev = 2), 1000.0) AS s2,
          coalesce((SELECT s FROM strengths WHERE lev = 3), 1000.0) AS s3, (SELECT share FROM overall) AS share),
 rated AS (
-  SELECT p.page_id, p.host, p.path,
+  SELECT p.page_id, p.line, p.host, p.path,
          coalesce(h.n, 0) AS n3, coalesce(h.k, 0) AS k3, s3,
          (coalesce(d.k, 0) + s2 * (coalesce(x.k, 0) + s1 * share) / (coalesce(x.n, 0) + s1)) / (coalesce(d.n, 0) + s2) AS m2
   FROM placed p CROSS JOIN one
@@ -248,7 +257,7 @@ rules(verdict, host, path) AS (
   VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 fitting AS (
   SELECT p.*, r.verdict AS said, r.host || r.path AS rule,
-         row_number() OVER (PARTITION BY p.page_id, p.host, p.path ORDER BY length(r.host || r.path) DESC NULLS LAST) AS place
+         row_number() OVER (PARTITION BY p.line ORDER BY length(r.host || r.path) DESC NULLS LAST) AS place
   FROM posterior p LEFT JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
 SELECT page_id, host, path, rule,
        coalesce(said, CASE WHEN a / (a + b) + 1.645 * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))) < 0.5 THEN 'block' ELSE 'allow' END) AS verdict

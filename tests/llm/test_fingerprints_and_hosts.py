@@ -190,3 +190,39 @@ def test_op2_equals_its_sql(spark, sf):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/{sf}/{t}.parquet')")
     ok, message = compare(QUERIES["op2_host_reputation"](spark, f"/root/testdata/{sf}"), con, ORACLE_SQL["op2_host_reputation"])
     assert ok, message
+
+
+HOSTED = [
+    "http://a.shop.co.uk/x", "http://b.shop.co.uk/x", "http://other.co.uk/x", "http://co.uk/x", "http://10.0.0.1/x", "http://10.0.0.2:80/x",
+    "http://me@10.0.0.1:8080/x", "http://[::1]:80/x", "http://www.example.com/en/7", "http://plain/x", "http://deep.a.b.example.org/en/2", "ftp:no", "", None,
+    "HTTP://WWW.Example.COM/en/3#x", "http://x.example.net/en/5", "http://x.example.net/en/6", "http://y.spam.info/en/8",
+]
+
+
+def test_levels_of_suffixes_and_addresses(spark):
+    hosts = spark.createDataFrame([(h,) for h in ("a.shop.co.uk", "co.uk", "10.0.0.1", "me@10.0.0.1:80", "[::1]:80", "www.example.com:80", "plain", "")], "host string")
+    got = [tuple(r)[1:] for r in hosts.select("host", *hr.levels("host")).collect()]
+    assert got == [
+        ("shop.co.uk", "co.uk"), ("co.uk", "co.uk"), ("10.0.0.1", "(address)"), ("10.0.0.1", "(address)"), ("[::1]", "(address)"),
+        ("example.com", "com"), ("plain", "plain"), ("", ""),
+    ]
+    assert [tuple(r) for r in hosts.limit(1).select(*hr.levels("host", [])).collect()] == [("co.uk", "uk")]
+
+
+def test_op2_on_suffixes_addresses_nulls_and_repeated_rows(spark, tmp_path):
+    """Equal to its SQL on hosts of every kind; other columns are not read."""
+    pages = [(i, u, f"{i}") for i, u in enumerate(HOSTED)] + [(0, HOSTED[0], "x"), (None, HOSTED[5], None), (99, None, None)]
+    frame_ = spark.createDataFrame([(*p, 1, "r") for p in pages], "page_id long, url string, html string, n1 int, domain string")
+    frame_.write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(1, 9)] + [(5, 0, 0), (6, None, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    out = QUERIES["op2_host_reputation"](spark, str(tmp_path))
+    ok, message = compare(out, con, ORACLE_SQL["op2_host_reputation"])
+    assert ok and out.count() == len(pages), message
+
+
+def test_op2_reads_each_table_once_after_the_counts(spark):
+    plan = QUERIES["op2_host_reputation"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("pages.parquet") == 1 and "labels.parquet" not in plan
