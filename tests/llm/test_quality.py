@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from lifetide.llm import compression_classifier as cc
@@ -51,6 +52,52 @@ def test_op4_on_held_out_rows(spark, labelled):
     assert sum(r["predicted"] for r in clean) / len(clean) > 0.95
 
 
+def plain_score(model, text):
+    """The score worked out step by step, every block compressed on its own."""
+    import math
+
+    import zstandard
+
+    def size(block, content):
+        data = zstandard.ZstdCompressionDict(content)
+        made = zstandard.ZstdCompressor(level=cc.LEVEL, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return len(made.compress(block))
+
+    raw = (text or "").encode()
+    parts = [raw[i : i + cc.BLOCK] for i in range(0, len(raw), cc.BLOCK)]
+    good, bad = sum(size(p, model.good) for p in parts), sum(size(p, model.bad) for p in parts)
+    d = (bad - good + cc.PRIOR * model.mean) / (len(raw) + cc.PRIOR)
+    z, short = (d - model.high) / (model.high - model.low), math.exp(-len(raw) / cc.SHORT)
+    x = [1, max(-1, min(1, z)) * (1 - short), max(-4, min(1, z)) * short, short]
+    return 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model.curve))))
+
+
+def test_scores_against_a_plain_version(spark, labelled, messy, messy_rows):
+    folder, _ = labelled
+    model = cc.train(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
+    rows = [r for r in messy_rows if r[0] in (10, 11, 103, 200, 201, 202, 203, 206, 207, 208, 211, 212)]
+    got = {r["doc_id"]: r["score"] for r in cc.score(frame(spark, rows), model).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert abs(got[i] - plain_score(model, t)) < 1e-9, i
+
+
+def test_curve_is_the_best_of_its_neighbours():
+    """No small change of a coefficient raises the penalised likelihood."""
+    rng = np.random.default_rng(5)
+    x = np.c_[np.ones(300), rng.standard_normal((300, 3))]
+    y, weight = (rng.random(300) < 0.7).astype(float), rng.uniform(0.5, 2, 300)
+
+    def worth(beta):
+        p = 1 / (1 + np.exp(-(x @ beta)))
+        return (weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() - 0.5 * 1e-2 * (beta**2).sum()
+
+    beta = cc.logistic(x, y, weight)
+    for i in range(4):
+        for step in (1e-3, -1e-3, 0.1, -0.1):
+            assert worth(beta + step * np.eye(4)[i]) < worth(beta)
+
+
 def test_keep_agrees_with_score(spark, labelled):
     folder, _ = labelled
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
