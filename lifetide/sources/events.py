@@ -238,6 +238,8 @@ def catalog_source(spark: SparkSession, sf_dir: str, source: str = "events") ->
     path = f"{sf_dir.rstrip('/')}/{source}.parquet"
     place = f"{source}_{zlib.crc32(path.encode()):08x}"
     spark.sql(f"CREATE TABLE IF NOT EXISTS lifetide_raw_{place} ({RAW_SCHEMAS[source]}) USING parquet LOCATION '{path}'")
+    # Files may have been replaced since another call listed them.
+    spark.catalog.refreshTable(f"lifetide_raw_{place}")
     spark.sql(f"CREATE OR REPLACE VIEW lifetide_stream_{place} AS {adapter_sql(source, f'lifetide_raw_{place}')}")
     return f"lifetide_stream_{place}"
 

@@ -117,3 +117,17 @@ def test_read_event_table_checks_the_catalog_entry(spark):
     finally:
         spark.sql("DROP TABLE read_event_table_test")
     check_event_schema(EVENT_SCHEMA)
+
+
+def test_catalog_source_follows_replaced_files(spark, tmp_path):
+    from lifetide.sources import catalog_source
+
+    def put(n):
+        rows = spark.range(n).selectExpr("id AS event_id", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS ts", "id AS user_id", "'view' AS event_type", "1D AS value", "'{}' AS props")
+        rows.write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+
+    put(3)
+    name = catalog_source(spark, str(tmp_path))
+    assert read_event_table(spark, name).count() == 3
+    put(5)
+    assert read_event_table(spark, catalog_source(spark, str(tmp_path))).count() == 5
