@@ -28,6 +28,7 @@ from lifetide.operators import (
     dim_users,
     event_ordinal,
     event_ordinal_ranges,
+    expand_runs,
     fact_events,
     growth,
     run_status,
@@ -130,8 +131,11 @@ def build_all(
     parts = partition_by or {}
 
     def save(name: str, df: DataFrame) -> None:
-        path = f"{out}/{version}/{name}"
-        write_table(df, path, fmt, parts.get(name), SORT_KEYS.get(name) if sorted_tables else None)
+        path, order, then = f"{out}/{version}/{name}", SORT_KEYS.get(name) if sorted_tables else None, None
+        if name == "growth_transactions" and order and name not in parts:
+            # Runs of days are sorted instead of the days in them.
+            df, order, then = user_day_runs(days), SORT_KEYS["growth_transactions_runs"], expand_runs
+        write_table(df, path, fmt, parts.get(name), order, then)
         paths[name] = path
 
     def load(name: str) -> DataFrame:

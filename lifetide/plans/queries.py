@@ -95,13 +95,18 @@ def _from_catalog(source: str) -> QueryFn:
 
 
 def _published(
-    name: str, source: str, op: Callable[[DataFrame], DataFrame], partition_by: list[str] | None = None, sort_by: list[str] | None = None
+    name: str,
+    source: str,
+    op: Callable[[DataFrame], DataFrame],
+    partition_by: list[str] | None = None,
+    sort_by: list[str] | None = None,
+    then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> QueryFn:
     """A model published as a table (partitioned, or sorted) and read back."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = _folder(spark, f"{name}_{source}")
-        publish(op(user_day_activity(load_source(spark, sf_dir, source))), path, "parquet", partition_by, sort_by)
+        publish(op(user_day_activity(load_source(spark, sf_dir, source))), path, "parquet", partition_by, sort_by, then=then)
         return read_published(spark, path)
 
     return run
@@ -216,7 +221,8 @@ def _build() -> dict[str, Query]:
             _published("table_sink", source, lambda act: growth(act, "day"), partition_by=["cal_month"]), oracle.growth_daily_sql(source)
         )
         q[f"sorted_sink{sfx}"] = Query(
-            _published("sorted_sink", source, user_day_spine, sort_by=["user_id", "cal_day"]), oracle.user_day_spine_sql(source)
+            _published("sorted_sink", source, user_day_runs, sort_by=["user_id", "from_day"], then=expand_runs),
+            oracle.user_day_spine_sql(source),
         )
         q[f"spine_runs{sfx}"] = Query(_stored_runs("spine_runs", source, lambda r: r, expand_runs), oracle.user_day_spine_sql(source))
         q[f"status_runs{sfx}"] = Query(_stored_runs("status_runs", source, run_status, expand_run_status), oracle.user_day_status_sql(source))

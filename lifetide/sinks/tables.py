@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ def write_table(
     fmt: str = "parquet",
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
+    then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write ``df`` to ``path``, replacing what is there.
 
@@ -47,6 +49,10 @@ def write_table(
     Without a fixed number of ranges adaptive execution joins neighbouring
     small ones.  Row groups then hold short spans of the sort columns and are
     skipped by their statistics.  With both, each directory is in order.
+    ``then`` is a step without a shuffle that is made on the sorted rows and
+    keeps their order (``expand_runs``: runs of days are ranged and sorted, the
+    many days in them only written); it may change the columns, but not those
+    of ``partition_by``.
     """
     partition_by, sort_by = partition_by or [], sort_by or []
     if sort_by:
@@ -56,6 +62,8 @@ def write_table(
         df = df.repartitionByRange(*order, *tie).sortWithinPartitions(*order, *tie)
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
+    if then is not None:
+        df = then(df)
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -73,6 +81,7 @@ def publish(
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
     keep: int = 1,
+    then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str:
     """Write ``df`` as the new version of the table at ``path`` and make it the
     current one; returns the version's folder.  Until then, and if the write
@@ -80,7 +89,7 @@ def publish(
     version = new_version()
     folder = f"{path.rstrip('/')}/{version}"
     try:
-        write_table(df, folder, fmt, partition_by, sort_by)
+        write_table(df, folder, fmt, partition_by, sort_by, then)
     except BaseException:
         delete(df.sparkSession, folder)
         raise

@@ -153,6 +153,15 @@ def test_sorted_files_are_in_order_end_to_end(spark, tmp_path):
     assert spark.read.parquet(path).where("user_id = 900").count() == df.where("user_id = 900").count()
 
 
+def test_sorted_runs_are_sorted_days(spark, tmp_path):
+    """Runs are ranged and sorted; the days written are in order and the spine."""
+    act, path = user_day_activity(load_source(spark, SF, "orders")), str(tmp_path / "t")
+    write_table(user_day_runs(act), path, sort_by=["user_id", "from_day"], then=expand_runs)
+    rows = [tuple(r.values()) for f in files(path) for r in pq.ParquetFile(f).read(columns=["user_id", "cal_day"]).to_pylist()]
+    assert len(rows) > 200_000 and rows == sorted(rows)
+    assert same(spark.read.parquet(path), user_day_spine(act))
+
+
 def test_ties_in_all_sort_columns_are_split(spark, tmp_path):
     df = spark.range(40_000).selectExpr("1L AS user_id", "DATE '2024-01-01' AS cal_day", "id AS payload")
     path = str(tmp_path / "t")
