@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -13,8 +14,10 @@ from lifetide.llm import secret_scan
 from lifetide.llm import substring_dedup as sd
 from lifetide.llm.common import WordHashes, stored, table
 from lifetide.llm.queries import byte_bpe_path, quality_model
+from tests.llm.conftest import frame, prose
 from tests.llm.test_secret_scan import brute as brute_spans
 from tests.llm.test_simhash import brute_fingerprint, brute_roots
+from tests.llm.test_substring_dedup import framed
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,6 +75,16 @@ def test_passages(outputs):
             assert len(after[i]) < len(before[i])
 
 
+def test_edited_copies_of_others_lines_are_cut(spark):
+    """Smaller documents have each line of the edited copy, and no passage."""
+    rng = random.Random(9)
+    words = prose(rng, 60).split()
+    copy = " ".join([*words[:29], "edited", *words[30:]])
+    rows = list(enumerate(framed(rng, [" ".join(words[:29]), " ".join(words[30:]), " ".join(words), copy])))
+    after = texts(corpus_pipeline.passages(spark, frame(spark, rows), SF))
+    assert {i: after[i] for i in (0, 1, 2)} == dict(rows[:3]) and after[3] == rows[3][1].replace(copy, "")
+
+
 def test_secrets(outputs):
     before, after = texts(outputs[3]), texts(outputs[4])
     assert set(before) == set(after)
