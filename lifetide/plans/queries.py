@@ -118,7 +118,9 @@ def _stored_runs(name: str, source: str, op: Callable[[DataFrame], DataFrame], e
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = _folder(spark, f"{name}_{source}")
         write_table(op(user_day_runs(user_day_activity(load_source(spark, sf_dir, source)))), path)
-        return expand(spark.read.parquet(path))
+        # The files are small for the days in them, so the runs are dealt out to as many tasks as a shuffle has.
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return expand(spark.read.parquet(path).repartition(tasks, "user_id", "from_day"))
 
     return run
 

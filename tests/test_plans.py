@@ -204,3 +204,15 @@ def test_catalog_source_is_pruned_at_the_scan(spark, have_data):
     events = read_event_table(spark, catalog_source(spark, SF, "events"))
     p = plan_text(triangle(events.where("user_id = 3"), "day"))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p and "EqualTo(user_id,3)" in p, p
+
+
+def test_days_are_expanded_in_as_many_tasks_as_a_shuffle_has(spark):
+    from lifetide.plans.queries import REGISTRY
+
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = []
+    for name in ("status_runs_orders", "user_day_status_orders"):
+        days = REGISTRY[name].run(spark, "/root/testdata/sf0.001")
+        assert days.rdd.getNumPartitions() == wanted
+        counts.append(days.count())
+    assert counts[0] == counts[1] > 0
