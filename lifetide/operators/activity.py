@@ -83,7 +83,9 @@ def user_day_spine(activity: DataFrame) -> DataFrame:
     cost is the output size.  ``prev_day`` is then the previous active day
     exactly when it is the day before.
     """
-    spine = active_days(activity).selectExpr(
+    # Adaptive execution sizes tasks by the active days, which are small for the days they give; a fixed number is kept.
+    tasks = int(activity.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spine = active_days(activity).repartition(tasks, "user_id", "day").selectExpr(
         "*", "explode(sequence(coalesce(date_add(prev_active, 1), day), day)) AS cal_day"
     )
     return spine.selectExpr(
