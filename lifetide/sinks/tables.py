@@ -46,8 +46,8 @@ def write_table(
     columns are cut at sampled bounds, so a user with a third of all rows is
     split between its days; rows that tie in them are ordered and split by a
     hash of the other columns (only rows equal in every column stay together).
-    Without a fixed number of ranges adaptive execution joins neighbouring
-    small ones.  Row groups then hold short spans of the sort columns and are
+    Adaptive execution joins neighbouring small ones (with ``then`` there are as
+    many as a shuffle has).  Row groups then hold short spans of the sort columns and are
     skipped by their statistics.  With both, each directory is in order.
     ``then`` is a step without a shuffle that is made on the sorted rows and
     keeps their order (``expand_runs``: runs of days are ranged and sorted, the
@@ -59,7 +59,9 @@ def write_table(
         order = [F.col(c).asc_nulls_first() for c in [*partition_by, *sort_by]]
         rest = [c for c in df.columns if c not in {*partition_by, *sort_by}]
         tie = [F.xxhash64(*rest).asc()] if rest else []
-        df = df.repartitionByRange(*order, *tie).sortWithinPartitions(*order, *tie)
+        # Adaptive execution would join ranges by the size of the rows before ``then``, which may make many of each.
+        ranges = [int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))] if then is not None else []
+        df = df.repartitionByRange(*ranges, *order, *tie).sortWithinPartitions(*order, *tie)
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
     if then is not None:

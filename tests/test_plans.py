@@ -216,3 +216,16 @@ def test_days_are_expanded_in_as_many_tasks_as_a_shuffle_has(spark):
         assert days.rdd.getNumPartitions() == wanted
         counts.append(days.count())
     assert counts[0] == counts[1] > 0
+
+
+def test_sorted_days_are_written_in_as_many_ranges_as_a_shuffle_has(spark):
+    from lifetide.plans.queries import REGISTRY
+
+    name = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")  # adaptive execution joins all that fits the advisory size
+    try:
+        days = REGISTRY["sorted_sink_orders"].run(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set(name, before)
+    assert len(days.inputFiles()) == int(spark.conf.get("spark.sql.shuffle.partitions"))
