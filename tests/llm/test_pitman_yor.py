@@ -137,3 +137,51 @@ def test_better_than_the_base_on_held_out_texts(spark):
     rows = [r for r in QUERIES["op5_pitman_yor"](spark, "/root/testdata/sf0.01").collect() if r["held_out"]]
     assert rows and all(r["score"] < 0 for r in rows)
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_every_context_has_a_restaurant(spark, monkeypatch):
+    """Contexts beyond those with a number: 500 equally frequent words in one order, of which 62 have a number."""
+    monkeypatch.setattr(py, "CONTEXTS", 64)
+    words = [f"w{i}" for i in range(500)]
+    docs = spark.createDataFrame([(i, " ".join(words[i % 500 :] + words[: i % 500])) for i in range(1000)], "doc_id long, text string")
+    r = py.score(docs, py.train(docs)).groupBy().sum("score", "n_tokens").first()
+    assert 10 ** (-r[0] / r[1]) < 1.1
+
+
+def test_probabilities_of_all_contexts_as_with_numbers(spark, messy, monkeypatch):
+    """With hardly any context numbered: probabilities sum to one in every context, and each token scores as its row says."""
+    whole = py.train(messy)
+    monkeypatch.setattr(py, "CONTEXTS", 6)
+    model = py.train(messy)
+    rare = {r["u"]: np.array(r["f"]) for r in model.rare.collect()}
+    rows = {r["w"]: r for r in model.words.collect()}
+    assert model.settings.discount == whole.settings.discount and len(model.frequent) == 4 and len(rare) > 1000
+    some = sorted(rare)[:200]
+    p1 = np.array([r["p1"] for r in rows.values()])
+    total = {u: float((rare[u] * model.unknown).mean() + (p1 * rare[u]).mean(axis=1).sum()) for u in some}
+    for r in rows.values():
+        for u, a in zip(r["context"], r["a"]):
+            if u in total:
+                total[u] += a - float((rare[u] * r["p1"]).mean())
+    assert np.allclose(list(total.values()), 1, atol=1e-5)
+    # Texts that training has not seen: known and new words in known and new contexts.
+    texts = messy.collect()
+    new = [(i + 1000, " ".join(w for x in (r["text"], texts[i - 1]["text"]) for w in (x or "").split()[: 40 + i][::-1]) + " neverseen thing and neverseen") for i, r in enumerate(texts[:20])]
+    both = spark.createDataFrame([(r["doc_id"], r["text"]) for r in texts] + new, "doc_id long, text string")
+    want = []
+    for doc_id, text in both.collect():
+        found, first = py.tokens(py.pa.array([text or ""]), py.WordReader())
+        score = 0.0
+        for w, u in zip(found.view(np.int64).tolist(), py.contexts(found, first, model.frequent, True).tolist()):
+            r = rows.get(w)
+            a = r["a"][r["context"].index(u)] if r and u in r["context"] else 0.0
+            near = 0 <= u < model.fallback.shape[1]
+            f = model.fallback[:, u] if near else rare.get(u, np.ones(2))
+            score += math.log10(a if a and not near else a + float(np.mean((np.array(r["p1"]) if r else model.unknown) * f)))
+        want.append((str(doc_id), len(found), round(score, 2)))
+    for head in (0, 50, py.HEAD):
+        got = [(str(r["doc_id"]), r["n_tokens"], round(r["score"], 2)) for r in py.score(both, model, head).collect()]
+        assert all(a[:2] == b[:2] and abs(a[2] - b[2]) < 0.03 for a, b in zip(sorted(got), sorted(want))) and len(got) == len(want)
+    # The seats are drawn anew, so scores are alike, not equal.
+    alike = [py.score(both, m).groupBy().sum("score").first()[0] for m in (whole, model)]
+    assert abs(alike[0] / alike[1] - 1) < 0.02
